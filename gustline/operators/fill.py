@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustline.functions.timeline import epoch_micros
-from gustline.operators.neighbours import after, before, with_neighbours
+from gustline.operators.neighbours import before, with_neighbours
 from gustline.schema import KEYS
 
 _POSITION = "__micros"
@@ -21,21 +21,28 @@ def forward(column: str) -> Column:
 
 
 def forward_backward(column: str) -> Column:
-    return F.coalesce(before(column)["value"], after(column)["value"])
+    return F.expr(f"coalesce(`__before_{column}`.value, `__after_{column}`.value)")
 
 
-def linear(column: str, position: Column) -> Column:
+def slope(column: str) -> Column:
+    """Change per position between the neighbours, 0 where one is missing."""
+    left, right = f"`__before_{column}`", f"`__after_{column}`"
+    return F.expr(f"coalesce(({right}.value - {left}.value) / ({right}.at - {left}.at), 0D)")
+
+
+def linear(column: str, position: str) -> Column:
     """Linear in time between the neighbours, the nearest value at both ends."""
-    left, right = before(column), after(column)
-    slope = (right["value"] - left["value"]) / (right["at"] - left["at"])
-    return F.coalesce(left["value"] + F.coalesce(slope * (position - left["at"]), F.lit(0.0)), right["value"])
+    left, right = f"`__before_{column}`", f"`__after_{column}`"
+    return F.expr(
+        f"coalesce({left}.value + coalesce(({right}.value - {left}.value) / ({right}.at - {left}.at) "
+        f"* (`{position}` - {left}.at), 0D), {right}.value)")
 
 
 _METHODS = {
     "ffill": lambda c: forward(c),
     "ffill_bfill": lambda c: forward_backward(c),
     # An exact hit needs no slope; it also keeps the stored value bit by bit.
-    "linear": lambda c: F.coalesce(F.col(c), linear(c, F.col(_POSITION))),
+    "linear": lambda c: F.coalesce(F.col(c), linear(c, _POSITION)),
 }
 
 

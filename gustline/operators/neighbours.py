@@ -38,56 +38,61 @@ def helper_columns(columns: Sequence[str]) -> list[str]:
     return names
 
 
-def _pair(at: Column, value: Column) -> Column:
-    return F.when(at.isNotNull() & value.isNotNull(), F.struct(at.alias("at"), value.alias("value")))
+def placed(df: DataFrame, keys: Sequence[str], position: str) -> DataFrame:
+    """Rows that belong to a series: every key and the position are known."""
+    for c in (*keys, position):
+        df = df.where(F.col(c).isNotNull())
+    return df
+
+
+def _pair(at: str, value: str) -> str:
+    return f"CASE WHEN {at} IS NOT NULL AND {value} IS NOT NULL THEN struct({at} AS at, {value} AS value) END"
+
+
+def _names(columns: Sequence[str]) -> str:
+    return ", ".join(f"`{c}`" for c in columns)
 
 
 def with_neighbours(df: DataFrame, position: str, columns: Sequence[str], keys: Sequence[str],
                     chunk: int) -> DataFrame:
     """Add the neighbour structs, the next row's position and the series' first position."""
     keys = list(keys)
-    pos = F.col(position)
-    # Both branches below start from this one exchange.
-    spread = df.withColumn(CHUNK, F.floor(pos / F.lit(chunk))).repartition(*keys, CHUNK)
+    # Both branches below start from this one exchange. The join would push its null checks into one branch
+    # only and so make the exchanges differ; stated here, they are part of both.
+    spread = placed(df, keys, position).withColumn(CHUNK, F.floor(F.col(position) / F.lit(chunk)))
+    spread = spread.where(F.col(CHUNK).isNotNull()).repartition(*keys, CHUNK)
 
+    present = {c: f"CASE WHEN `{c}` IS NOT NULL THEN `{position}` END" for c in columns}
     edges = spread.groupBy(*keys, CHUNK).agg(
-        F.min(pos).alias("__low"),
-        *[agg for c in columns for agg in (
-            F.max(F.when(F.col(c).isNotNull(), pos)).alias(f"__last_at_{c}"),
-            F.max_by(c, F.when(F.col(c).isNotNull(), pos)).alias(f"__last_{c}"),
-            F.min(F.when(F.col(c).isNotNull(), pos)).alias(f"__first_at_{c}"),
-            F.min_by(c, F.when(F.col(c).isNotNull(), pos)).alias(f"__first_{c}"),
-        )],
+        F.expr(f"min(`{position}`) AS __low"),
+        *[F.expr(text) for c in columns for text in (
+            f"max({present[c]}) AS `__last_at_{c}`", f"max_by(`{c}`, {present[c]}) AS `__last_{c}`",
+            f"min({present[c]}) AS `__first_at_{c}`", f"min_by(`{c}`, {present[c]}) AS `__first_{c}`")],
     )
-    rising = Window.partitionBy(*keys).orderBy(F.col(CHUNK))
-    falling = Window.partitionBy(*keys).orderBy(F.col(CHUNK).desc())
-    earlier = rising.rowsBetween(Window.unboundedPreceding, -1)
-    later = falling.rowsBetween(Window.unboundedPreceding, -1)
-    carries = edges.select(
-        *keys, CHUNK,
-        F.lead("__low").over(rising).alias("__next_low"),
-        F.min("__low").over(rising.rowsBetween(Window.unboundedPreceding, 0)).alias(FIRST_POSITION),
-        *[F.last(_pair(F.col(f"__last_at_{c}"), F.col(f"__last_{c}")), ignorenulls=True).over(earlier)
-          .alias(f"__carry_before_{c}") for c in columns],
-        *[F.last(_pair(F.col(f"__first_at_{c}"), F.col(f"__first_{c}")), ignorenulls=True).over(later)
-          .alias(f"__carry_after_{c}") for c in columns],
+    rising = f"PARTITION BY {_names(keys)} ORDER BY {CHUNK}"
+    strictly_before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    carries = edges.selectExpr(
+        *[f"`{k}`" for k in [*keys, CHUNK]],
+        f"lead(__low) OVER ({rising}) AS __next_low",
+        f"min(__low) OVER ({rising} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {FIRST_POSITION}",
+        *[f"last({_pair(f'`__last_at_{c}`', f'`__last_{c}`')}, true) OVER ({rising} {strictly_before}) "
+          f"AS `__carry_before_{c}`" for c in columns],
+        *[f"last({_pair(f'`__first_at_{c}`', f'`__first_{c}`')}, true) OVER ({rising} DESC {strictly_before}) "
+          f"AS `__carry_after_{c}`" for c in columns],
     )
 
-    local = Window.partitionBy(*keys, CHUNK)
-    upward = local.orderBy(pos)
-    downward = local.orderBy(pos.desc())
-    joined = spread.join(carries, [*keys, CHUNK])
-    return joined.select(
-        *df.columns, CHUNK, FIRST_POSITION,
-        F.coalesce(F.lead(pos).over(upward), F.col("__next_low")).alias(NEXT_POSITION),
-        *[F.coalesce(
-            F.last(_pair(pos, F.col(c)), ignorenulls=True)
-            .over(upward.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-            F.col(f"__carry_before_{c}")).alias(f"__before_{c}") for c in columns],
-        *[F.coalesce(
-            F.last(_pair(pos, F.col(c)), ignorenulls=True)
-            .over(downward.rowsBetween(Window.unboundedPreceding, -1)),
-            F.col(f"__carry_after_{c}")).alias(f"__after_{c}") for c in columns],
+    # One row per chunk, so a hash table of it fits each task; the series rows keep their spread by chunk.
+    joined = spread.join(carries.hint("shuffle_hash"), [*keys, CHUNK])
+    local = f"PARTITION BY {_names([*keys, CHUNK])} ORDER BY `{position}`"
+    so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    # The later neighbour is read in falling order: a frame to the end of the partition would be quadratic.
+    return joined.selectExpr(
+        *[f"`{c}`" for c in df.columns], CHUNK, FIRST_POSITION,
+        f"coalesce(lead(`{position}`) OVER ({local}), __next_low) AS {NEXT_POSITION}",
+        *[f"coalesce(last({_pair(f'`{position}`', f'`{c}`')}, true) OVER ({local} {so_far}), `__carry_before_{c}`) "
+          f"AS `__before_{c}`" for c in columns],
+        *[f"coalesce(last({_pair(f'`{position}`', f'`{c}`')}, true) OVER ({local} DESC {strictly_before}), "
+          f"`__carry_after_{c}`) AS `__after_{c}`" for c in columns],
     )
 
 
@@ -95,7 +100,7 @@ def with_row_numbers(df: DataFrame, order: Sequence[str], chunk_of: Column, keys
                      name: str) -> DataFrame:
     """Zero-based place of each row in its series; ``chunk_of`` must rise with the order columns."""
     keys = list(keys)
-    spread = df.withColumn(CHUNK, chunk_of).repartition(*keys, CHUNK)
+    spread = placed(df.withColumn(CHUNK, chunk_of), keys, CHUNK).repartition(*keys, CHUNK)
     rising = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = spread.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("__rows")).select(
         *keys, CHUNK, F.coalesce(F.sum("__rows").over(rising), F.lit(0)).alias("__offset"))

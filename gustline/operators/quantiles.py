@@ -107,19 +107,13 @@ def median_of_pair(pair: Column, rows: Column) -> Column:
     return F.when(rows % 2 == 0, (pair[0] + pair[1]) / 2).otherwise(pair[0])
 
 
-def median_of_counts(counts: Sequence[Column], rows: Column) -> Column:
-    """Median of values 0..k-1 from the count of each: bounded state whatever the group's size."""
-    def at(rank: Column) -> Column:
-        total = F.lit(0)
-        place = F.lit(None).cast("double")
-        branches = []
-        for value, n in enumerate(counts):
-            total = total + n
-            branches.append((rank <= total, float(value)))
-        for hit, value in reversed(branches):
-            place = F.when(hit, F.lit(value)).otherwise(place)
-        return place
-
-    lower = F.floor((rows + 1) / 2)
-    upper = F.floor(rows / 2) + 1
-    return F.when(rows > 0, (at(lower) + at(upper)) / 2)
+def median_of_counts(counts: Sequence[str]) -> Column:
+    """Median of values 0..k-1 from the columns that count each: bounded state whatever the group's size."""
+    rows = " + ".join(f"`{c}`" for c in counts)
+
+    def at(rank: str) -> str:
+        cases = " ".join(
+            f"WHEN {rank} <= {' + '.join(f'`{c}`' for c in counts[:value + 1])} THEN {value}D" for value in range(len(counts)))
+        return f"CASE {cases} END"
+
+    return F.expr(f"CASE WHEN {rows} > 0 THEN ({at(f'floor(({rows} + 1) / 2)')} + {at(f'(floor(({rows}) / 2) + 1)')}) / 2 END")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustline.functions.timeline import bucket_number, bucket_time, step_seconds
-from gustline.operators.neighbours import FIRST_POSITION, NEXT_POSITION, with_neighbours
+from gustline.operators.neighbours import NEXT_POSITION, placed, with_neighbours
 from gustline.operators.quantiles import (
     SMALL_GROUP, exact_quantiles, median_of_counts, median_of_pair, middle_pair,
 )
@@ -26,12 +26,12 @@ def known_rules(df: DataFrame, keys: Sequence[str] = KEYS, time: str = "valid")
 
 def large_buckets(df: DataFrame, step: int, keys: Sequence[str] = KEYS, time: str = "valid") -> int:
     """Number of buckets with more rows than the median sketch holds exactly: a count over keys and time."""
-    counts = _bucketed(df, step, time).groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__rows"))
+    counts = _bucketed(df, step, keys, time).groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__rows"))
     return counts.where(F.col("__rows") > SMALL_GROUP).count()
 
 
-def _bucketed(df: DataFrame, step: int, time: str) -> DataFrame:
-    return df.where(F.col(time).isNotNull()).withColumn(BUCKET, bucket_number(F.col(time), step))
+def _bucketed(df: DataFrame, step: int, keys: Sequence[str], time: str) -> DataFrame:
+    return placed(df, keys, time).withColumn(BUCKET, bucket_number(F.col(time), step))
 
 
 def bucket_aggregate(df: DataFrame, rules: dict[str, str], step: int, keys: Sequence[str] = KEYS,
@@ -44,7 +44,7 @@ def bucket_aggregate(df: DataFrame, rules: dict[str, str], step: int, keys: Sequ
     :func:`exact_quantiles`, which never holds a bucket in one place.
     """
     keys = list(keys)
-    rows = _bucketed(df, step, time)
+    rows = _bucketed(df, step, keys, time)
     medians = [c for c, rule in rules.items() if rule == "median"]
     if large is None:
         large = large_buckets(df, step, keys, time) if medians else 0
@@ -57,15 +57,14 @@ def bucket_aggregate(df: DataFrame, rules: dict[str, str], step: int, keys: Sequ
         elif rule == "median":
             aggregates += [middle_pair(F.col(c)).alias(f"__pair_{c}"), F.count(c).alias(f"__n_{c}")]
         elif rule == "code_median":
-            aggregates += [F.count_if(F.col(c) == float(i)).alias(f"__n{i}_{c}") for i in range(len(SKY_CODES))]
+            aggregates += [F.expr(f"count(CASE WHEN `{c}` = {i} THEN 1 END) AS `__n{i}_{c}`") for i in range(len(SKY_CODES))]
         else:
             raise ValueError(f"unknown rule {rule!r} for column {c!r}")
     grouped = rows.groupBy(*keys, BUCKET).agg(*aggregates)
 
     def reduced(c: str, rule: str) -> Column:
         if rule == "code_median":
-            counts = [F.col(f"__n{i}_{c}") for i in range(len(SKY_CODES))]
-            return median_of_counts(counts, sum(counts[1:], counts[0])).alias(c)
+            return median_of_counts([f"__n{i}_{c}" for i in range(len(SKY_CODES))]).alias(c)
         if rule == "median":
             small = median_of_pair(F.col(f"__pair_{c}"), F.col(f"__n_{c}"))
             return (F.coalesce(F.col(f"__large_{c}"), small) if large else small).alias(c)

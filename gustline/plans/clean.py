@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from gustline.functions.encode import cyclical, ordinal_code, positive_indicator, whole_code
 from gustline.functions.timeline import bucket_time, step_seconds
-from gustline.operators.fill import forward_backward, linear
-from gustline.operators.neighbours import FIRST_POSITION, with_neighbours
+from gustline.operators.fill import forward_backward, linear, slope
+from gustline.operators.neighbours import FIRST_POSITION, NEXT_POSITION, with_neighbours
 from gustline.operators.resample import BUCKET, CHUNK_BUCKETS, bucket_aggregate, expand_gaps
 from gustline.schema import (
     CHECKED_CODE_COLUMNS, DIRECTION_COLUMN, EXTRA_COLUMNS, INDICATOR_COLUMNS, KEYS, MAIN_COLUMNS, MEAN_COLUMNS,
@@ -18,6 +18,7 @@ from gustline.schema import (
 )
 
 SERIES_START = "series_start"
+_REPORTED = "__reported_"
 
 
 def kept_measurements(columns: Sequence[str], main: bool) -> list[str]:
@@ -28,13 +29,15 @@ def kept_measurements(columns: Sequence[str], main: bool) -> list[str]:
 
 def encode_reports(df: DataFrame, columns: Sequence[str], keys: Sequence[str], time: str) -> DataFrame:
     def encoded(c: str) -> Column:
+        if c.startswith(_REPORTED):
+            return F.when(F.col(c.removeprefix(_REPORTED)).isNotNull(), F.lit(1.0)).alias(c)
         if c in SKY_CODE_COLUMNS and dict(df.dtypes)[c] == "string":
             return ordinal_code(F.col(c)).alias(c)
         if c in INDICATOR_COLUMNS:
             return positive_indicator(F.col(c)).alias(c)
         return F.col(c)
 
-    return df.select(*keys, time, *[encoded(c) for c in columns])
+    return df.select(*keys, time, *[encoded(c) for c in [*columns, *_reported(columns)]])
 
 
 def clean(df: DataFrame, main: bool = True, frequency: str | int = "1 hour", keys: Sequence[str] = KEYS,
@@ -48,25 +51,44 @@ def clean(df: DataFrame, main: bool = True, frequency: str | int = "1 hour", key
     """
     step = step_seconds(frequency)
     columns = kept_measurements(df.columns, main)
-    rules = {c: RULES[c] for c in columns}
+    rules = {c: RULES[c] for c in columns} | {c: "max" for c in _reported(columns)}
     buckets = bucket_aggregate(encode_reports(df, columns, keys, time), rules, step, keys, time, large)
     checked = buckets.select(*keys, BUCKET, *[
-        whole_code(F.col(c)).alias(c) if c in CHECKED_CODE_COLUMNS else F.col(c) for c in columns])
-    carried = [c for c in columns if c not in INDICATOR_COLUMNS]
-    grid = expand_gaps(with_neighbours(checked, BUCKET, carried, keys, CHUNK_BUCKETS))
+        whole_code(F.col(c)).alias(c) if c in CHECKED_CODE_COLUMNS else F.col(c) for c in [*columns, *_reported(columns)]])
+    carried = [c for c in columns if c not in INDICATOR_COLUMNS] + _reported(columns)
+    series = with_neighbours(checked, BUCKET, carried, keys, CHUNK_BUCKETS)
+    # Only plain numbers pass the expansion: the value at the bucket and, for a line, its change per bucket.
+    known = series.select(
+        *keys, BUCKET, NEXT_POSITION, FIRST_POSITION,
+        *[x for c in columns for x in _known(c)])
     here = F.col("__grid")
 
     def filled(c: str) -> list[Column]:
         if c in INDICATOR_COLUMNS:
-            return [F.coalesce(F.when(here == F.col(BUCKET), F.col(c)), F.lit(0.0)).alias(c)]
+            value = F.coalesce(F.when(here == F.col(BUCKET), F.col(c)), F.lit(0.0))
+            return [F.when(F.col(_REPORTED + c), value).alias(c)]
         if c in MEAN_COLUMNS:
-            return [linear(c, here).alias(c)]
+            return [F.expr(f"`{c}` + `__slope_{c}` * (__grid - `{BUCKET}`)").alias(c)]
         if c == DIRECTION_COLUMN:
-            sine, cosine = cyclical(forward_backward(c), 360)
+            sine, cosine = cyclical(F.col(c), 360)
             return [sine.alias(f"{c}_sin"), cosine.alias(f"{c}_cos")]
-        return [forward_backward(c).alias(c)]
+        return [F.col(c)]
 
     # The direction's two columns come last.
     ordered = [c for c in columns if c != DIRECTION_COLUMN] + [c for c in columns if c == DIRECTION_COLUMN]
     start = [bucket_time(F.col(FIRST_POSITION), step).alias(SERIES_START)] if with_start else []
-    return grid.select(*keys, bucket_time(here, step).alias(time), *[x for c in ordered for x in filled(c)], *start)
+    return expand_gaps(known).select(
+        *keys, bucket_time(here, step).alias(time), *[x for c in ordered for x in filled(c)], *start)
+
+
+def _reported(columns: Sequence[str]) -> list[str]:
+    return [_REPORTED + c for c in columns if c in INDICATOR_COLUMNS]
+
+
+def _known(c: str) -> list[Column]:
+    if c in INDICATOR_COLUMNS:
+        # A station that never reports the measurement has no indicator either.
+        return [F.col(c), forward_backward(_REPORTED + c).isNotNull().alias(_REPORTED + c)]
+    if c in MEAN_COLUMNS:
+        return [linear(c, BUCKET).alias(c), slope(c).alias(f"__slope_{c}")]
+    return [forward_backward(c).alias(c)]

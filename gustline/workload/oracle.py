@@ -13,8 +13,8 @@ CODE = ("CASE replace(skyc1, ' ', '') WHEN 'CLR' THEN 0e0 WHEN 'FEW' THEN 1e0 WH
 
 
 def r6(expression: str) -> str:
-    """Six digits; the shift keeps exact halves from depending on the last bit of a sum."""
-    return f"(round(({expression}) + 1e-9, 6) + 0e0)"
+    """Six digits; the small shift keeps exact halves from depending on the last bit of a sum."""
+    return f"(floor(({expression}) * 1e6 + 501e-3) / 1e6)"
 
 
 def chain(*steps: tuple[str, str], final: str) -> str:

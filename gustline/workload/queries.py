@@ -41,7 +41,7 @@ def query(name: str, sql: str | None = None):
 def r6(column: Column | str) -> Column:
     """Same rounding as in the SQL."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.round(c + F.lit(1e-9), 6) + F.lit(0.0)
+    return F.floor(c * F.lit(1e6) + F.lit(0.501)) / F.lit(1e6)
 
 
 def rounded(df: DataFrame, columns) -> DataFrame:
