@@ -53,6 +53,20 @@ def _names(columns: Sequence[str]) -> str:
     return ", ".join(f"`{c}`" for c in columns)
 
 
+def _chunks(spread: DataFrame, group: Sequence[str], aggregates: Sequence[Column], used: Sequence[str]) -> DataFrame:
+    """Aggregate per chunk without giving up columns.
+
+    Columns the aggregates do not use would be pruned from this branch, and Spark would run everything
+    below the exchange twice, once per set of columns. Reading them (the condition always holds) keeps the
+    two exchanges equal and so shared.
+    """
+    others = [c for c in spread.columns if c not in used and c not in group]
+    if not others:
+        return spread.groupBy(*group).agg(*aggregates)
+    read = F.expr(f"count(nullif(xxhash64({_names(others)}), 0)) AS __read")
+    return spread.groupBy(*group).agg(*aggregates, read).where("__read >= 0").drop("__read")
+
+
 def with_neighbours(df: DataFrame, position: str, columns: Sequence[str], keys: Sequence[str],
                     chunk: int) -> DataFrame:
     """Add the neighbour structs, the next row's position and the series' first position."""
@@ -63,12 +77,12 @@ def with_neighbours(df: DataFrame, position: str, columns: Sequence[str], keys:
     spread = spread.where(F.col(CHUNK).isNotNull()).repartition(*keys, CHUNK)
 
     present = {c: f"CASE WHEN `{c}` IS NOT NULL THEN `{position}` END" for c in columns}
-    edges = spread.groupBy(*keys, CHUNK).agg(
+    edges = _chunks(spread, [*keys, CHUNK], [
         F.expr(f"min(`{position}`) AS __low"),
         *[F.expr(text) for c in columns for text in (
             f"max({present[c]}) AS `__last_at_{c}`", f"max_by(`{c}`, {present[c]}) AS `__last_{c}`",
             f"min({present[c]}) AS `__first_at_{c}`", f"min_by(`{c}`, {present[c]}) AS `__first_{c}`")],
-    )
+    ], [position, *columns])
     rising = f"PARTITION BY {_names(keys)} ORDER BY {CHUNK}"
     strictly_before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
     carries = edges.selectExpr(
@@ -102,8 +116,8 @@ def with_row_numbers(df: DataFrame, order: Sequence[str], chunk_of: Column, keys
     keys = list(keys)
     spread = placed(df.withColumn(CHUNK, chunk_of), keys, CHUNK).repartition(*keys, CHUNK)
     rising = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = spread.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("__rows")).select(
-        *keys, CHUNK, F.coalesce(F.sum("__rows").over(rising), F.lit(0)).alias("__offset"))
+    counts = _chunks(spread, [*keys, CHUNK], [F.count(F.lit(1)).alias("__rows")], [])
+    offsets = counts.select(*keys, CHUNK, F.coalesce(F.sum("__rows").over(rising), F.lit(0)).alias("__offset"))
     local = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    return spread.join(offsets, [*keys, CHUNK]).select(
+    return spread.join(offsets.hint("shuffle_hash"), [*keys, CHUNK]).select(
         *df.columns, (F.row_number().over(local) - 1 + F.col("__offset")).alias(name))

@@ -20,9 +20,11 @@ _CELLS = 48
 _ROW = ", ".join(f"c{i} string" for i in range(_CELLS))
 
 
-def _cells(line: Column) -> Column:
-    row = F.from_csv(line, _ROW, {"mode": "PERMISSIVE"})
-    return F.array(*[row[f"c{i}"] for i in range(_CELLS)])
+def _with_cells(df: DataFrame, line: str, name: str) -> DataFrame:
+    """Add the cells of a CSV line as an array; quoted commas do not split."""
+    parsed = df.withColumn("__row", F.from_csv(line, F.lit(_ROW), {"mode": "PERMISSIVE"}))
+    # The row is a column of its own, so a line is parsed once and not once per cell.
+    return parsed.withColumn(name, F.array(*[f"__row.c{i}" for i in range(_CELLS)])).drop("__row")
 
 
 def parse_payloads(df: DataFrame, payload: str = "payload", keep: Sequence[str] = (), extra_columns: bool = False,
@@ -33,22 +35,22 @@ def parse_payloads(df: DataFrame, payload: str = "payload", keep: Sequence[str]
     row in its payload, ``also`` further payload columns and their types.
     """
     names = [(f.name, f.dataType.simpleString()) for f in REPORT.fields if extra_columns or f.name not in _LEFT_OUT]
-    names += list((also or {}).items())
+    names = [(n, k) for n, k in [*names, *(also or {}).items()] if n not in keep]
     accepted = df.where(~F.startswith(F.col(payload), F.lit(_REFUSED)))
-    lines = F.split(F.regexp_replace(F.col(payload), "\r", ""), "\n")
-    headed = accepted.select(
-        *keep, _cells(lines[0]).alias("__head"), F.posexplode(lines).alias("__line", "__text")
-    ).where((F.col("__line") > 0) & (F.col("__text") != ""))
-    parsed = headed.select(*keep, "__head", "__line", _cells(F.col("__text")).alias("__cells"))
+    texts = accepted.select(*keep, F.split(F.regexp_replace(payload, "\r", ""), "\n").alias("__lines"))
+    headed = _with_cells(texts.withColumn("__first", F.col("__lines")[0]), "__first", "__head")
+    # Places of the columns are looked up once per payload.
+    placed = headed.select(*keep, "__lines", *[
+        F.nullif(F.array_position("__head", n), F.lit(0).cast("bigint")).cast("int").alias(f"__at_{n}") for n, _ in names])
+    lines = placed.select(*keep, *[f"__at_{n}" for n, _ in names], F.posexplode("__lines").alias("__line", "__text"))
+    parsed = _with_cells(lines.where((F.col("__line") > 0) & (F.col("__text") != "")), "__text", "__cells")
 
     def cell(name: str, kind: str) -> Column:
-        place = F.array_position("__head", name)
-        text = F.try_element_at("__cells", F.nullif(place, F.lit(0).cast("bigint")).cast("int"))
-        text = F.nullif(F.trim(text), F.lit(""))
+        text = F.nullif(F.trim(F.try_element_at("__cells", F.col(f"__at_{name}"))), F.lit(""))
         return (text if kind == "string" else text.try_cast(kind)).alias(name)
 
     number = [(F.col("__line") - 1).cast("bigint").alias(line_number)] if line_number else []
-    return parsed.select(*keep, *[cell(n, k) for n, k in names if n not in keep], *number)
+    return parsed.select(*keep, *[cell(n, k) for n, k in names], *number)
 
 
 def _stamp(number: int, time: Column) -> Column:
