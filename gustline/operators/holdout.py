@@ -37,7 +37,8 @@ def mark_test(df: DataFrame, key: str, test_size: float = 0.25, seed: int = 0, e
         "__head", "__n", F.sum("__n").over(running).alias("__upto"),
         F.ceil(F.sum("__n").over(whole) * F.lit(test_size)).alias("__quota"))
     heads = heads.select("__head", (F.col("__quota") - F.col("__upto") + F.col("__n")).alias("__room"), "__n")
-    decided = hashed.join(heads, "__head")
+    # Sixteen values of four digits: never more than 65,536 rows.
+    decided = hashed.join(F.broadcast(heads), "__head")
     inside = F.col("__room") >= F.col("__n")
     open_rows = decided.where((F.col("__room") > 0) & ~inside)
     by_hash = Window.partitionBy("__head").orderBy("__hash", key)

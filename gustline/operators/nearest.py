@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustline.functions.geo import planar_distance
+from gustline.storage import materialize
 
 # Cells are halved until none holds more distinct station points than this, up to the given depth.
 _CELL_STATIONS = 32
@@ -117,7 +118,9 @@ def nearest_station(points: DataFrame, stations: DataFrame, by: Sequence[str] =
     keys = list(dict.fromkeys([*within, *by, "lat", "lon"]))
     distinct = points.select(*keys).distinct()
     cell = [_cell(F.col("lat"), size).alias("c_lat"), _cell(F.col("lon"), size).alias("c_lon")]
-    candidates = _candidates(points.select(*within, *cell).distinct(), places, size, doublings, within)
+    # A few stations per occupied cell, written: the join with the points is planned by its size.
+    candidates = materialize(
+        _candidates(points.select(*within, *cell).distinct(), places, size, doublings, within), "candidates")
     met = distinct.select(*keys, *cell).join(candidates, [*within, "c_lat", "c_lon"])
     distance = planar_distance(F.col("lat"), F.col("lon"), F.col("s_lat"), F.col("s_lon"))
     best = met.groupBy(*keys).agg(

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from gustline.functions.timeline import month_angle, month_name
 from gustline.operators.quantiles import exact_quantiles
+from gustline.storage import materialize
 
 # Most distinct values a text column may have to be counted by category; grid points of a
 # density curve and how many bandwidths it reaches past the data; whisker length in quartile ranges.
@@ -75,97 +76,98 @@ def _group(keys: Sequence[str]) -> list[str]:
     return [*keys, "column"]
 
 
-def quartiles(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Per column: ``rows``, ``q1``, ``median``, ``q3``; exact."""
-    long = unpivot(df, columns, keys)
-    found = exact_quantiles(long, _group(keys), "value", [0.25, 0.5, 0.75])
+def summaries(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Per column: ``n``, ``least``, ``most``, ``mean``, ``deviation``, ``q1``, ``median``, ``q3``; exact.
+
+    One row per column and key, written, so the passes that use it plan their join by its size.
+    """
+    found = exact_quantiles(unpivot(df, columns, keys), _group(keys), "value", [0.25, 0.5, 0.75])
     q = F.col("quantiles")
-    return found.select(*_group(keys), "rows", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
+    return materialize(found.select(
+        *_group(keys), F.col("rows").alias("n"), "least", "most", "mean", "deviation",
+        q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3")), "summary")
 
 
-def box_stats(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Quartiles, mean, whiskers at the last real values within 1.5 quartile ranges, number of outliers."""
-    group = _group(keys)
-    quarter = quartiles(df, columns, keys)
+def _held(df: DataFrame, columns: Sequence[str], keys: Sequence[str], beside: DataFrame) -> DataFrame:
+    """Present values beside their column's row of a small table."""
+    return unpivot(df, columns, keys).where(F.col("value").isNotNull()).join(beside, _group(keys))
+
+
+def _within_whiskers() -> Column:
     spread = F.col("q3") - F.col("q1")
-    inner = F.col("value").between(F.col("q1") - WHISKER * spread, F.col("q3") + WHISKER * spread)
-    held = unpivot(df, columns, keys).where(F.col("value").isNotNull()).join(quarter, group)
-    return held.groupBy(*group).agg(
-        F.first("rows").alias("n"), F.first("q1").alias("q1"), F.first("median").alias("median"),
-        F.first("q3").alias("q3"), F.avg("value").alias("mean"),
+    return F.col("value").between(F.col("q1") - WHISKER * spread, F.col("q3") + WHISKER * spread)
+
+
+def box_stats(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), summary: DataFrame | None = None) -> DataFrame:
+    """Quartiles, mean, whiskers at the last real values within 1.5 quartile ranges, number of outliers."""
+    summary = summaries(df, columns, keys) if summary is None else summary
+    inner = _within_whiskers()
+    return _held(df, columns, keys, summary).groupBy(*_group(keys)).agg(
+        *[F.first(c).alias(c) for c in ("n", "q1", "median", "q3", "mean")],
         F.min(F.when(inner, F.col("value"))).alias("whisker_low"),
         F.max(F.when(inner, F.col("value"))).alias("whisker_high"),
-        F.count_if(~inner).alias("outliers"))
+        F.count(F.when(~inner, 1)).alias("outliers"))
 
 
-def outliers(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def outliers(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), summary: DataFrame | None = None) -> DataFrame:
     """Distinct values beyond the whiskers and how often they occur."""
-    group = _group(keys)
-    spread = F.col("q3") - F.col("q1")
-    inner = F.col("value").between(F.col("q1") - WHISKER * spread, F.col("q3") + WHISKER * spread)
-    return (unpivot(df, columns, keys).where(F.col("value").isNotNull()).join(quartiles(df, columns, keys), group)
-            .where(~inner).groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n")))
+    summary = summaries(df, columns, keys) if summary is None else summary
+    beyond = _held(df, columns, keys, summary).where(~_within_whiskers())
+    return beyond.groupBy(*_group(keys), "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def histogram_bins(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def histogram_bins(summary: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Per column: ``low``, ``width``, ``bins``.
 
     The bin width is the smaller of the Freedman-Diaconis and the Sturges width; a column without spread
     gets one bin of width 1 around its value.
     """
-    group = _group(keys)
-    range_ = unpivot(df, columns, keys).where(F.col("value").isNotNull()).groupBy(*group).agg(
-        F.min("value").alias("least"), F.max("value").alias("most"))
     span = F.col("most") - F.col("least")
-    rows = F.col("rows").cast("double")
-    # Cube roots as written in the oracle.
+    rows = F.col("n").cast("double")
     diaconis = 2 * (F.col("q3") - F.col("q1")) / F.pow(rows, F.lit(1.0 / 3.0))
     sturges = span / (F.log2(rows) + 1)
     guess = F.when(diaconis > 0, F.least(diaconis, sturges)).otherwise(sturges)
+    # Rounded first: a quotient a hair above a whole number is that number.
     bins = F.when(span > 0, F.ceil(F.round(span / guess, 9))).otherwise(F.lit(1)).cast("bigint")
-    return quartiles(df, columns, keys).join(range_, group).select(
-        *group, "rows",
-        F.when(span > 0, F.col("least")).otherwise(F.col("least") - 0.5).alias("low"),
+    return summary.select(
+        *_group(keys), F.when(span > 0, F.col("least")).otherwise(F.col("least") - 0.5).alias("low"),
         F.when(span > 0, span / bins).otherwise(F.lit(1.0)).alias("width"), bins.alias("bins"))
 
 
-def histogram(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+def histogram(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), summary: DataFrame | None = None) -> DataFrame:
     """Rows per non-empty bin; the last bin holds its upper bound."""
-    group = _group(keys)
-    bins = histogram_bins(df, columns, keys)
+    summary = summaries(df, columns, keys) if summary is None else summary
     place = F.least(F.floor((F.col("value") - F.col("low")) / F.col("width")), F.col("bins") - 1)
-    held = unpivot(df, columns, keys).where(F.col("value").isNotNull()).join(bins, group)
-    return held.groupBy(*group, place.alias("bin")).agg(
-        F.first(F.col("low") + place * F.col("width")).alias("bin_start"), F.first("width").alias("bin_width"),
-        F.count(F.lit(1)).alias("n"))
+    held = _held(df, columns, keys, histogram_bins(summary, keys))
+    counted = held.groupBy(*_group(keys), place.alias("bin"), "low", "width").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(*_group(keys), "bin", (F.col("low") + F.col("bin") * F.col("width")).alias("bin_start"),
+                          F.col("width").alias("bin_width"), "n")
 
 
 def density(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), points: int = GRID_POINTS,
-            cut: float = GRID_CUT) -> DataFrame:
+            cut: float = GRID_CUT, summary: DataFrame | None = None) -> DataFrame:
     """Gaussian kernel density (Scott's bandwidth) on an even grid past the data's ends.
 
     Equal values are counted first. Each remaining value adds to every grid point; those sums are partial
     aggregates in the task that holds the value, so one row per task and grid point is exchanged.
     """
     group = _group(keys)
+    summary = summaries(df, columns, keys) if summary is None else summary
     values = unpivot(df, columns, keys).where(F.col("value").isNotNull()).groupBy(*group, "value").agg(
         F.count(F.lit(1)).alias("__n"))
-    moments = unpivot(df, columns, keys).where(F.col("value").isNotNull()).groupBy(*group).agg(
-        F.count(F.lit(1)).alias("rows"), F.stddev_samp("value").alias("__std"),
-        F.min("value").alias("__min"), F.max("value").alias("__max"))
-    width = F.col("__std") * F.pow(F.col("rows").cast("double"), F.lit(-0.2))
-    curve = moments.where(F.col("__std") > 0).select(
-        *group, "rows", width.alias("bandwidth"), (F.col("__min") - cut * width).alias("__from"),
-        ((F.col("__max") - F.col("__min") + 2 * cut * width) / (points - 1)).alias("__step"))
+    width = F.col("deviation") * F.pow(F.col("n").cast("double"), F.lit(-0.2))
+    curve = summary.where(F.col("deviation") > 0).select(
+        *group, "n", width.alias("bandwidth"), (F.col("least") - cut * width).alias("__from"),
+        ((F.col("most") - F.col("least") + 2 * cut * width) / (points - 1)).alias("__step"))
     spread = values.join(curve, group).select(
-        *group, "value", "__n", "rows", "bandwidth", "__from", "__step",
+        *group, "value", "__n", "n", "bandwidth", "__from", "__step",
         F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     x = F.col("__from") + F.col("point") * F.col("__step")
     z = (x - F.col("value")) / F.col("bandwidth")
     return spread.groupBy(*group, "point").agg(
         F.first(x).alias("x"),
         (F.sum(F.col("__n") * F.exp(-0.5 * z * z))
-         / (F.first("rows") * F.first("bandwidth") * F.sqrt(2 * F.pi()))).alias("density"))
+         / (F.first("n") * F.first("bandwidth") * F.sqrt(2 * F.pi()))).alias("density"))
 
 
 # --- time --------------------------------------------------------------------------------------------

@@ -1,8 +1,9 @@
 """Exact order statistics without gathering a group in one place.
 
-Pass 1 keeps a bounded sketch per group that brackets every wanted rank. Pass 2 counts the rows below
-each bracket (partial aggregation) and ranks only the distinct values inside it, a fraction of the group
-in the order of the sketch's error. The result is exact, with linear interpolation between neighbours.
+Pass 1 keeps a bounded sketch per group that brackets every wanted rank. Pass 2 counts the rows of each
+distinct value inside a bracket and of each stretch between brackets (partial aggregation), so only those
+few counts are ordered: a fraction of the group in the order of the sketch's error. The result is exact,
+with linear interpolation between neighbours.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gustline.storage import materialize
+
 # The sketch's rank error is at most rows / ACCURACY; up to SMALL_GROUP rows it holds every value.
 ACCURACY = 40_000
 SMALL_GROUP = 10_000
@@ -21,80 +24,56 @@ def _bracket(probability: float) -> tuple[float, float]:
     return max(0.0, probability - 2 / ACCURACY), min(1.0, probability + 2 / ACCURACY)
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float],
-                    sketch: DataFrame | None = None) -> DataFrame:
-    """Per group: ``rows`` (present values) and ``quantiles``, an array in the order of the probabilities.
-
-    ``sketch`` may hold the result of :func:`sketch_groups` for the groups wanted.
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
+    """Per group: ``rows`` (present values), ``least``, ``most``, ``mean``, ``deviation`` (sample) and
+    ``quantiles``, an array in the order of the probabilities.
     """
     keys = list(keys)
-    if sketch is None:
-        sketch = sketch_groups(df, keys, value, probabilities)
-    span = range(len(probabilities))
-    # One row per group, so this side is small; the join strategy follows its measured size.
-    held = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v")).join(sketch, keys)
+    present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
+    # One row per group, written: its size is known when the join below is planned.
+    sketch = materialize(_sketch(present, keys, probabilities), "sketch")
+
+    # A cell is one value inside a bracket, or all values between two brackets. Cells rise with the values.
     v = F.col("__v")
-    low, high = F.col("__low"), F.col("__high")
-
-    outside = held.groupBy(*keys).agg(
-        F.first("__rows").alias("rows"),
-        *[agg for i in span for agg in (
-            F.count_if(v < low[i]).alias(f"__below_{i}"),
-            F.count_if(v <= high[i]).alias(f"__upto_{i}"),
-            F.max(F.when(v < low[i], v)).alias(f"__prev_{i}"),
-            F.min(F.when(v > high[i], v)).alias(f"__next_{i}"),
-        )],
-    )
-    # The two middle ranks of every probability, counted from 1.
-    ranks = F.array(*[
-        F.struct(
-            F.lit(i).alias("i"),
-            (F.floor(F.lit(float(p)) * (F.col("rows") - 1)) + 1).alias("lower"),
-            (F.ceil(F.lit(float(p)) * (F.col("rows") - 1)) + 1).alias("upper"),
-            (F.lit(float(p)) * (F.col("rows") - 1) - F.floor(F.lit(float(p)) * (F.col("rows") - 1))).alias("part"),
-            F.col(f"__below_{i}").alias("below"), F.col(f"__upto_{i}").alias("upto"),
-            F.col(f"__prev_{i}").alias("prev"), F.col(f"__next_{i}").alias("next"),
-        ) for i, p in enumerate(probabilities)])
-    wanted = outside.select(*keys, "rows", F.explode(ranks).alias("r")).select(*keys, "rows", "r.*")
-
-    inside = (
-        held.select(*keys, "__v", F.explode(F.filter(
-            F.array(*[F.struct(F.lit(i).alias("i"), low[i].alias("l"), high[i].alias("h")) for i in span]),
-            lambda b: (v >= b["l"]) & (v <= b["h"]))).alias("b"))
-        .groupBy(*keys, F.col("b.i").alias("i"), "__v").agg(F.count(F.lit(1)).alias("__n"))
+    inside = F.exists("__brackets", lambda b: (v >= b["low"]) & (v <= b["high"]))
+    region = F.size(F.filter("__brackets", lambda b: b["low"] <= v)) + F.size(F.filter("__brackets", lambda b: b["high"] < v))
+    cells = (
+        present.join(sketch.select(*keys, "__brackets"), keys)
+        .groupBy(*keys, region.alias("__region"), F.when(inside, v).alias("__value"))
+        .agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
     )
-    running = Window.partitionBy(*keys, "i").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = inside.withColumn("__cum", F.sum("__n").over(running))
-    joined = wanted.join(ranked, [*keys, "i"], "left")
-    first = F.col("below") + F.col("__cum") - F.col("__n") + 1
-    last = F.col("below") + F.col("__cum")
-
-    def at(rank: str) -> Column:
-        r = F.col(rank)
-        inner = F.max(F.when(r.between(first, last), F.col("__v")))
-        return F.coalesce(
-            inner,
-            F.max(F.when(r == F.col("below"), F.col("prev"))),
-            F.max(F.when(r == F.col("upto") + 1, F.col("next"))))
-
-    picked = joined.groupBy(*keys, "i").agg(
-        F.first("rows").alias("rows"), F.first("part").alias("__part"),
-        at("lower").alias("__a"), at("upper").alias("__b"))
-    a, b, part = F.col("__a"), F.col("__b"), F.col("__part")
-    return picked.groupBy(*keys).agg(
-        F.first("rows").alias("rows"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("i", (a + (b - a) * part).alias("q")))),
-            lambda s: s["q"]).alias("quantiles"))
-
-
-def sketch_groups(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
-    """Per group: ``__rows`` and the arrays ``__low`` and ``__high`` that enclose each wanted rank."""
-    brackets = [_bracket(p) for p in probabilities]
-    return df.where(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        F.percentile_approx(value, [b[0] for b in brackets], ACCURACY).alias("__low"),
-        F.percentile_approx(value, [b[1] for b in brackets], ACCURACY).alias("__high"))
+    running = Window.partitionBy(*keys).orderBy("__region", "__value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = cells.withColumn("__last", F.sum("__n").over(running)).join(sketch, keys)
+
+    def at(rank: Column) -> Column:
+        """Value at a rank: any rank of a single value, the first or last one of a stretch."""
+        first = F.col("__last") - F.col("__n") + 1
+        return F.max(
+            F.when(F.col("__value").isNotNull() & rank.between(first, F.col("__last")), F.col("__value"))
+            .when(rank == F.col("__last"), F.col("__high")).when(rank == first, F.col("__low")))
+
+    def quantile(p: float) -> tuple[Column, Column, Column]:
+        place = F.lit(float(p)) * (F.col("rows") - 1)
+        return at(F.floor(place) + 1), at(F.ceil(place) + 1), F.first(place - F.floor(place))
+
+    parts = [quantile(p) for p in probabilities]
+    kept = ("rows", "least", "most", "mean", "deviation")
+    return ranked.groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in kept],
+        F.array(*[low + (high - low) * part for low, high, part in parts]).alias("quantiles"))
+
+
+def _sketch(present: DataFrame, keys: list[str], probabilities: Sequence[float]) -> DataFrame:
+    """Moments and, per probability, a bracket around its rank."""
+    ends = [end for p in probabilities for end in _bracket(p)]
+    found = present.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("__v").alias("least"), F.max("__v").alias("most"),
+        F.avg("__v").alias("mean"), F.stddev_samp("__v").alias("deviation"),
+        F.percentile_approx("__v", ends, ACCURACY).alias("__ends"))
+    brackets = F.array(*[
+        F.struct(F.col("__ends")[2 * i].alias("low"), F.col("__ends")[2 * i + 1].alias("high"))
+        for i in range(len(probabilities))])
+    return found.withColumn("__brackets", brackets).drop("__ends")
 
 
 def middle_pair(value: Column) -> Column:

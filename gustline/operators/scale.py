@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from gustline.schema import KEYS
+from gustline.storage import materialize
 
 PARAMETERS = ("position", "center", "scale", "width", "floor", "clip")
 SCALERS = ("minmax", "standard")
@@ -74,7 +75,6 @@ def apply_scaler(df: DataFrame, params: DataFrame, columns: Sequence[str] | None
     """
     fitted = list(columns) if columns is not None else fitted_columns(params)
     usable = [c for c in fitted if c in df.columns]
-    # One row per station: the measured size decides between broadcast and shuffle.
     wide = params.groupBy(*keys).pivot("column", usable).agg(
         F.first(F.struct("center", "scale", "width", "floor", "clip")))
     wide = wide.select(*keys, *[F.col(c).alias(f"__p_{c}") for c in usable])
@@ -95,7 +95,8 @@ def scale(df: DataFrame, scaler: str | DataFrame = "minmax", keys: Sequence[str]
     if isinstance(scaler, DataFrame):
         return apply_scaler(df, scaler, keys=keys, time=time), scaler
     columns = options.get("columns") or _measurements(df, keys, time)
-    params = fit_scaler(df, scaler, keys=keys, time=time, **{**options, "columns": columns})
+    # Fitted once and written: its size is known when the join is planned.
+    params = materialize(fit_scaler(df, scaler, keys=keys, time=time, **{**options, "columns": columns}), "scaler")
     return apply_scaler(df, params, columns, keys, time), params
 
 
@@ -118,8 +119,6 @@ def stored_scaler(df: DataFrame, path: str, scaler: str, variant: str = "", refi
     fresh = fit_scaler(fresh_rows, scaler, keys=keys, time=time, variant=variant, **options).where(wanted)
     order = [*identity, "scaler", "variant", "column", *PARAMETERS]
     target = f"{path}/scaler={scaler}/variant={variant or 'all'}"
-    from gustline.storage import materialize
-
     # Written aside first: the store is still being read while new rows are fitted.
     fresh = materialize(fresh.select(*order), "scaler")
     if stored is None:

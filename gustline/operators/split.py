@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gustline.functions.timeline import epoch_micros, step_seconds
 from gustline.operators.neighbours import with_row_numbers
 from gustline.schema import KEYS
+from gustline.storage import materialize
 
 DAY_SLOTS = 24
 
@@ -39,7 +40,8 @@ def split_series(df: DataFrame, columns: Sequence[str] | None = None, keys: Sequ
     rows = df
     if start is None:
         start = "__start"
-        rows = df.join(df.groupBy(*keys).agg(F.min(time).alias(start)), list(keys))
+        # One row per station, written: the join is planned by its size.
+        rows = df.join(materialize(df.groupBy(*keys).agg(F.min(time).alias(start)), "starts"), list(keys))
     place = F.floor((epoch_micros(F.col(time)) - epoch_micros(F.col(start))) / F.lit(step * 1_000_000))
     placed = rows.select(
         *keys, *columns,

@@ -29,8 +29,9 @@ def distribution_tables(df: DataFrame, columns: Sequence[str] | None = None, key
     others = [c for c in columns if c not in numeric]
     tables = {"missing": P.missing_counts(df, columns, keys)}
     if numeric:
-        tables |= {"histogram": P.histogram(df, numeric, keys), "density": P.density(df, numeric, keys),
-                   "box": P.box_stats(df, numeric, keys), "outliers": P.outliers(df, numeric, keys)}
+        summary = P.summaries(df, numeric, keys)
+        tables |= {name: table(df, numeric, keys, summary=summary) for name, table in (
+            ("histogram", P.histogram), ("density", P.density), ("box", P.box_stats), ("outliers", P.outliers))}
     if others:
         few = {r["column"] for r in P.column_gates(df, others).where("has_few_values").collect()}
         counted = [c for c in others if c in few]

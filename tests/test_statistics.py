@@ -103,7 +103,7 @@ def test_histogram_counts_every_value(spark):
     assert sums == {"x": 500, "same": 501}
     present = [v for v in values if v is not None]
     edges = np.histogram_bin_edges(present, bins="auto")
-    bins = {r.column: r for r in profile.histogram_bins(df, ["x", "same"]).collect()}
+    bins = {r.column: r for r in profile.histogram_bins(profile.summaries(df, ["x", "same"])).collect()}
     assert bins["x"]["bins"] == len(edges) - 1
     counts, _ = np.histogram(present, bins=edges)
     assert [r.n for r in found.where("column = 'x'").orderBy("bin").collect()] == [c for c in counts if c]
