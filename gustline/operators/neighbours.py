@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gustline.storage import materialize
+
 CHUNK = "__chunk"
 NEXT_POSITION = "__next_position"
 FIRST_POSITION = "__first_position"
@@ -110,14 +112,20 @@ def with_neighbours(df: DataFrame, position: str, columns: Sequence[str], keys:
     )
 
 
-def with_row_numbers(df: DataFrame, order: Sequence[str], chunk_of: Column, keys: Sequence[str],
-                     name: str) -> DataFrame:
-    """Zero-based place of each row in its series; ``chunk_of`` must rise with the order columns."""
+def with_row_numbers(df: DataFrame, order: Sequence[str], keys: Sequence[str], name: str) -> DataFrame:
+    """Zero-based place of each row in its series; the order columns must tell the rows of a series apart.
+
+    Rows are range-partitioned by keys and order, so a large series is spread over many partitions in
+    order. Places are counted within a partition and shifted by the series' rows in the earlier ones.
+    """
     keys = list(keys)
-    spread = placed(df.withColumn(CHUNK, chunk_of), keys, CHUNK).repartition(*keys, CHUNK)
-    rising = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    counts = _chunks(spread, [*keys, CHUNK], [F.count(F.lit(1)).alias("__rows")], [])
-    offsets = counts.select(*keys, CHUNK, F.coalesce(F.sum("__rows").over(rising), F.lit(0)).alias("__offset"))
+    # Written, as the partition's number becomes data: it must not change when a task is run again.
+    spread = materialize(
+        df.repartitionByRange(*keys, *order).withColumn(CHUNK, F.spark_partition_id()), "ranges")
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = spread.groupBy(*keys, CHUNK).agg(F.count(F.lit(1)).alias("__rows")).select(
+        *keys, CHUNK, F.coalesce(F.sum("__rows").over(earlier), F.lit(0)).alias("__offset"))
     local = Window.partitionBy(*keys, CHUNK).orderBy(*order)
-    return spread.join(offsets.hint("shuffle_hash"), [*keys, CHUNK]).select(
-        *df.columns, (F.row_number().over(local) - 1 + F.col("__offset")).alias(name))
+    numbered = spread.withColumn("__place", F.row_number().over(local) - 1)
+    return numbered.join(offsets.hint("shuffle_hash"), [*keys, CHUNK]).select(
+        *df.columns, (F.col("__place") + F.col("__offset")).alias(name))

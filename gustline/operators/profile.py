@@ -173,7 +173,7 @@ def density(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), poi
 # --- time --------------------------------------------------------------------------------------------
 
 def _period_means(df: DataFrame, columns: Sequence[str], keys: Sequence[str], time: str, unit: str) -> DataFrame:
-    start = F.date_trunc(unit, F.col(time)).cast("timestamp_ntz")
+    start = F.trunc(F.to_date(time), unit).cast("timestamp_ntz")
     means = df.where(F.col(time).isNotNull()).groupBy(*keys, start.alias("period")).agg(*[F.avg(c).alias(c) for c in columns])
     return unpivot(means, columns, [*keys], ["period"]).where(F.col("value").isNotNull())
 

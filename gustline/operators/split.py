@@ -55,15 +55,9 @@ def split_series(df: DataFrame, columns: Sequence[str] | None = None, keys: Sequ
 
 
 def split_rows(df: DataFrame, columns: Sequence[str], width: int, keys: Sequence[str] = KEYS,
-               order: Sequence[str] = ("valid",), chunk_of: Column | None = None) -> DataFrame:
-    """Like :func:`split_series` for any order: rows are counted, not timed; the index is ``row``.
-
-    ``chunk_of`` rises with the order and bounds what one task numbers at a time (default: the month of
-    the first order column).
-    """
-    if chunk_of is None:
-        chunk_of = F.year(order[0]) * 12 + F.month(order[0])
-    numbered = with_row_numbers(df, order, chunk_of, keys, "__place")
+               order: Sequence[str] = ("valid",)) -> DataFrame:
+    """Like :func:`split_series` for any order: rows are counted, not timed; the index is ``row``."""
+    numbered = with_row_numbers(df, order, keys, "__place")
     chunks = numbered.groupBy(*keys, F.floor(F.col("__place") / width).alias("row")).agg(
         F.sort_array(F.collect_list(F.struct("__place", *columns))).alias("__cells"))
     return _long_rows(chunks, columns, [*keys, "row"], width)

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,7 +105,9 @@ def _clean_table(spark, layout: Layout, stations, since, until, main: bool) -> D
 
 def _hour(since):
     """The first bucket starts with the hour of the first report."""
-    return None if since is None else str(since)[:13].ljust(13, "0") + ":00:00" if len(str(since)) > 10 else since
+    if since is None:
+        return None
+    return datetime.fromisoformat(str(since)).replace(minute=0, second=0, microsecond=0)
 
 
 def run_scale(spark: SparkSession, layout: Layout, stations=None, since=None, until=None, main: bool = True,

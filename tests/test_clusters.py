@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import table
 from gustline.operators import cluster, dtw, smooth, split
+from gustline.operators.neighbours import with_row_numbers
 
 
 def hourly(obs, count, stations=("a",), start=13):
@@ -35,12 +36,19 @@ def test_unsplit_restores_the_series(obs):
 
 def test_rows_by_count_across_chunks(spark):
     df = spark.range(103).selectExpr("'N' as network", "id % 2 as station", "id as place", "double(id) as v")
-    found = table(split.split_rows(df, ["v"], 10, order=("place",), chunk_of=F.floor(F.col("place") / 7)).where("station = 1")
-                  .select("row", "values"), "row")
+    found = table(split.split_rows(df, ["v"], 10, order=("place",)).where("station = 1").select("row", "values"), "row")
     odd = [float(i) for i in range(1, 103, 2)]
     assert [v for _, vs in found for v in vs][:51] == odd and found[-1][1] == [odd[-1]] * 10
 
 
+def test_one_series_is_numbered_by_many_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(20_000).selectExpr("'N' as k", "20000 - id as place").repartition(5)
+    numbered = with_row_numbers(df, ["place"], ["k"], "n")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert numbered.where("n <> place - 1").count() == 0 and numbered.count() == 20_000
+
+
 def test_row_scaling(spark):
     df = spark.createDataFrame([([1.0, 3.0, None],), ([2.0, 2.0, 2.0],)], "values array<double>")
     assert table(split.scale_rows(df)) == [([0.0, 1.0, None],), ([0.0, 0.0, 0.0],)]
