@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 # full weight and beyond which it gets none.
 FRAC, PASSES, DELTA = 2.0 / 3.0, 3, 0.0
 NEAR, FAR = 0.001, 0.999
+# Residuals this small beside the row's largest value are rounding and count as zero; the robust weights would
+# otherwise divide noise by noise.
+_ROUNDING = 1e-10
+# A residual on the edge of the robust weight has weight zero, not a weight made of rounding.
+_EDGE = 1e-9
 
 
 def _windows(x: np.ndarray, k: int) -> np.ndarray:
@@ -56,6 +61,7 @@ def lowess_matrix(x: np.ndarray, y: np.ndarray, frac: float = FRAC, passes: int
     anchors = _anchors(x, delta)
     robust = np.ones_like(y)
     fit = y.copy()
+    noise = _ROUNDING * np.abs(y).max(axis=1, keepdims=True)
     for turn in range(passes + 1):
         for i in anchors:
             w = tricube[i] * robust[:, index[i]]
@@ -77,9 +83,10 @@ def lowess_matrix(x: np.ndarray, y: np.ndarray, frac: float = FRAC, passes: int
         if turn == passes:
             break
         residual = np.abs(y - fit)
+        residual[residual <= noise] = 0.0
         scale = 6.0 * np.median(residual, axis=1)[:, None]
         ratio = np.divide(residual, scale, out=np.where(residual > 0, 1.0, 0.0), where=scale > 0)
-        robust = np.where(ratio >= 1, 0.0, (1 - np.minimum(ratio, 1.0) ** 2) ** 2)
+        robust = np.where(ratio >= 1 - _EDGE, 0.0, (1 - np.minimum(ratio, 1.0) ** 2) ** 2)
     return fit
 
 

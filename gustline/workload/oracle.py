@@ -142,9 +142,11 @@ def lowess_steps(n: int, k: int, source: str = "cells", name: str = "smooth") ->
             abs(p.value - CASE WHEN f.sw > 0 THEN f.fit ELSE p.value END) AS e
             FROM p{t} p JOIN f{t} f USING (network, station, "column", day, slot)"""))
         steps.append((f"p{t + 1}", f"""SELECT network, station, "column", day, slot, value, fit,
-            CASE WHEN s > 0 THEN CASE WHEN e / s >= 1 THEN 0e0 ELSE power(1 - power(e / s, 2), 2) END
+            CASE WHEN s > 0 THEN CASE WHEN e / s >= 1 - 1e-9 THEN 0e0 ELSE power(1 - power(e / s, 2), 2) END
                  WHEN e > 0 THEN 0e0 ELSE 1e0 END AS rw
-            FROM (SELECT *, 6 * median(e) OVER (PARTITION BY network, station, "column", day) AS s FROM e{t}) q"""))
+            FROM (SELECT *, 6 * median(e) OVER (PARTITION BY network, station, "column", day) AS s
+              FROM (SELECT * REPLACE (CASE WHEN e <= 1e-10 * max(abs(value)) OVER (PARTITION BY network, station, "column", day)
+                THEN 0e0 ELSE e END AS e) FROM e{t}) z) q"""))
     steps.append((name, """SELECT network, station, "column", day, slot, value, fit AS smooth FROM p4"""))
     return steps
 

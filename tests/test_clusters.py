@@ -74,8 +74,9 @@ def plain_lowess(x, y, frac, passes):
             sx = (w * (x[near] - mx) ** 2).sum()
             fit[i] = my + ((w * (x[near] - mx) * y[near]).sum() / sx if sx > 1e-12 else 0) * (x[i] - mx)
         e = np.abs(y - fit)
+        e[e <= 1e-10 * np.abs(y).max()] = 0
         s = 6 * np.median(e)
-        robust = np.where(e < s, (1 - (e / s) ** 2) ** 2, 0.0) if s > 0 else np.where(e > 0, 0.0, 1.0)
+        robust = np.where(e < s * (1 - 1e-9), (1 - (e / s) ** 2) ** 2, 0.0) if s > 0 else np.where(e > 0, 0.0, 1.0)
     return fit
 
 
