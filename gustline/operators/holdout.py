@@ -20,32 +20,26 @@ def hash_digits(key: str, seed: int) -> Column:
 def mark_test(df: DataFrame, key: str, test_size: float = 0.25, seed: int = 0, exact: bool = False) -> DataFrame:
     """Add ``is_test``. By default each row is decided alone and the share is approximate.
 
-    ``exact`` marks exactly ``ceil(rows * test_size)`` rows: the smallest hashes. Rows are counted by the
-    first four hash digits; only the one group of digits that holds the limit is ordered, a 65,536th of
-    the rows.
+    ``exact`` marks exactly ``ceil(rows * test_size)`` rows (with unique keys): those with the smallest
+    hashes. Rows are counted by the first four hash digits; only the one group of digits that holds the
+    limit is ordered, a 65,536th of the rows, and the limit's hash decides every row.
     """
     digits = hash_digits(key, seed)
     if not exact:
         limit = f"{int(test_size * 16**8):08x}" if test_size < 1 else "g"
         return df.withColumn("is_test", F.substring(digits, 1, 8) < F.lit(limit))
-    hashed = df.withColumn("__hash", digits).withColumn("__head", F.substring("__hash", 1, 4))
+    hashed = df.select(digits.alias("__hash")).withColumn("__head", F.substring("__hash", 1, 4))
     heads = hashed.groupBy("__head").agg(F.count(F.lit(1)).alias("__n"))
-    # At most 65,536 rows, so one ordered pass over them is small whatever the table's size.
+    # Four hexadecimal digits: never more than 65,536 rows, so one ordered pass over them is small.
     running = Window.partitionBy(F.lit(0)).orderBy("__head").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(F.lit(0))
-    heads = heads.select(
-        "__head", "__n", F.sum("__n").over(running).alias("__upto"),
-        F.ceil(F.sum("__n").over(whole) * F.lit(test_size)).alias("__quota"))
-    heads = heads.select("__head", (F.col("__quota") - F.col("__upto") + F.col("__n")).alias("__room"), "__n")
-    # Sixteen values of four digits: never more than 65,536 rows.
-    decided = hashed.join(F.broadcast(heads), "__head")
-    inside = F.col("__room") >= F.col("__n")
-    open_rows = decided.where((F.col("__room") > 0) & ~inside)
-    by_hash = Window.partitionBy("__head").orderBy("__hash", key)
-    ranked = open_rows.withColumn("__r", F.row_number().over(by_hash))
-    ranked = ranked.select(*df.columns, (F.col("__r") <= F.col("__room")).alias("is_test"))
-    clear = decided.where((F.col("__room") <= 0) | inside).select(*df.columns, (F.col("__room") > 0).alias("is_test"))
-    return clear.unionByName(ranked)
+    upto, quota = F.sum("__n").over(running), F.ceil(F.sum("__n").over(Window.partitionBy(F.lit(0))) * F.lit(test_size))
+    limit = (
+        heads.select("__head", (quota - upto + F.col("__n")).alias("__room"), "__n")
+        .where(F.col("__room").between(1, F.col("__n"))).first())
+    if limit is None:
+        return df.withColumn("is_test", F.lit(False))
+    last = hashed.where(F.col("__head") == limit["__head"]).orderBy("__hash").offset(limit["__room"] - 1).first()
+    return df.withColumn("is_test", digits <= F.lit(last["__hash"]))
 
 
 def train_test(df: DataFrame, key: str, labels: Sequence[str] | None = None, **options) -> tuple[DataFrame, ...]:

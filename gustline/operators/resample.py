@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustline.functions.timeline import bucket_number, bucket_time, step_seconds
+from gustline.functions.timeline import bucket_number, bucket_start, bucket_time, step_seconds
 from gustline.operators.neighbours import NEXT_POSITION, placed, with_neighbours
 from gustline.operators.quantiles import (
     SMALL_GROUP, exact_quantiles, median_of_counts, median_of_pair, middle_pair,
@@ -31,12 +31,12 @@ def large_buckets(df: DataFrame, step: int, keys: Sequence[str] = KEYS, time: st
 
 
 def _bucketed(df: DataFrame, step: int, keys: Sequence[str], time: str) -> DataFrame:
-    return placed(df, keys, time).withColumn(BUCKET, bucket_number(F.col(time), step))
+    return placed(df, keys, time).withColumn(BUCKET, bucket_start(F.col(time), step))
 
 
 def bucket_aggregate(df: DataFrame, rules: dict[str, str], step: int, keys: Sequence[str] = KEYS,
                      time: str = "valid", large: int | None = None) -> DataFrame:
-    """One row per key and non-empty bucket: mean, max or exact median of each column; nulls are skipped.
+    """One row per key and non-empty, numbered bucket: mean, max or exact median of each column; nulls are skipped.
 
     Medians of code columns come from one counter per code. Other medians use a bounded sketch, exact up
     to ``SMALL_GROUP`` rows. ``large`` is the number of buckets above that, counted here if not given
@@ -73,7 +73,8 @@ def bucket_aggregate(df: DataFrame, rules: dict[str, str], step: int, keys: Sequ
     if large:
         medians_of_large = _large_medians(rows, medians, keys, large)
         grouped = grouped.join(medians_of_large, [*keys, BUCKET], "left")
-    return grouped.select(*keys, BUCKET, *[reduced(c, r) for c, r in rules.items()])
+    number = bucket_number(F.col(BUCKET), step).alias(BUCKET)
+    return grouped.select(*keys, number, *[reduced(c, r) for c, r in rules.items()])
 
 
 # A list of this many buckets is a few megabytes; beyond it Spark picks the join by size and splits skew.

@@ -131,7 +131,7 @@ def fire_info(spark, folder):
 def select_config(spark, folder):
     lines = V.table(spark, folder, "nation").selectExpr("concat('  net_', cast(n_nationkey as string), ' ') as value")
     path = scratch_path(spark, "selection")
-    lines.unionByName(lines.limit(1).selectExpr("'   ' as value")).write.text(path)
+    lines.unionByName(lines.selectExpr("'   ' as value")).write.text(path)
     chosen = files.read_selection(spark, path, "network")
     return tables.station_info(V.stations(spark, folder), networks=chosen, main=True)
 
