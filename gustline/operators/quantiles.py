@@ -13,11 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gustline.operators.running import with_running_total
 from gustline.storage import materialize
 
 # The sketch's rank error is at most rows / ACCURACY; up to SMALL_GROUP rows it holds every value.
 ACCURACY = 40_000
 SMALL_GROUP = 10_000
+# Up to this many cells, counted, one task may order a group's; more are ordered by ranges.
+_ORDERED_CELLS = 1_000_000
 
 
 def _bracket(probability: float) -> tuple[float, float]:
@@ -37,13 +40,11 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
     v = F.col("__v")
     inside = F.exists("__brackets", lambda b: (v >= b["low"]) & (v <= b["high"]))
     region = F.size(F.filter("__brackets", lambda b: b["low"] <= v)) + F.size(F.filter("__brackets", lambda b: b["high"] < v))
-    cells = (
+    cells = materialize(
         present.join(sketch.select(*keys, "__brackets"), keys)
         .groupBy(*keys, region.alias("__region"), F.when(inside, v).alias("__value"))
-        .agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high"))
-    )
-    running = Window.partitionBy(*keys).orderBy("__region", "__value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = cells.withColumn("__last", F.sum("__n").over(running)).join(sketch, keys)
+        .agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high")), "cells")
+    ranked = _running(cells, keys).join(sketch, keys)
 
     def at(rank: Column) -> Column:
         """Value at a rank: any rank of a single value, the first or last one of a stretch."""
@@ -63,6 +64,15 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilitie
         F.array(*[low + (high - low) * part for low, high, part in parts]).alias("quantiles"))
 
 
+def _running(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``__last``, the rank of each cell's last row."""
+    order = ["__region", "__value"]
+    if cells.count() > _ORDERED_CELLS:
+        return with_running_total(cells, order, keys, F.col("__n"), "__last")
+    running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return cells.withColumn("__last", F.sum("__n").over(running))
+
+
 def _sketch(present: DataFrame, keys: list[str], probabilities: Sequence[float]) -> DataFrame:
     """Moments and, per probability, a bracket around its rank."""
     ends = [end for p in probabilities for end in _bracket(p)]

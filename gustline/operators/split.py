@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gustline.functions.timeline import epoch_micros, step_seconds
-from gustline.operators.neighbours import with_row_numbers
+from gustline.operators.running import with_row_numbers
 from gustline.schema import KEYS
 from gustline.storage import materialize
 

@@ -250,7 +250,7 @@ def payload_parse(spark, folder):
     return payloads.parse_payloads(_payloads(spark, folder), keep=["network"]).select("network", "station", "valid", *O.ALL)
 
 
-_BASE = "http://service.example/asos?"
+_BASE = "http://service.example/reports?"
 
 
 @query("q_request_manifest", O.chain(O.STATIONS, final=f"""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import table
 from gustline.operators import cluster, dtw, smooth, split
-from gustline.operators.neighbours import with_row_numbers
+from gustline.operators.running import with_row_numbers
 
 
 def hourly(obs, count, stations=("a",), start=13):

@@ -46,10 +46,10 @@ def test_ingest_keeps_the_best_report(landed):
 
 
 def test_requests(spark):
-    stations = spark.createDataFrame([("N", "LGAV")], "network string, sid string")
+    stations = spark.createDataFrame([("N", "STNA")], "network string, sid string")
     address = payloads.request_manifest(stations, "http://x/?", "2018-01-01", "2018-01-02 03:04:00", report="routine", trace=True).first().request
     assert address == ("http://x/?data=all&report_type=3&tz=Etc/UTC&format=onlycomma&missing=empty&year1=2018&month1=01&day1=01&hour1=00"
-                       "&minute1=00&year2=2018&month2=01&day2=02&hour2=03&minute2=04&&station=LGAV")
+                       "&minute1=00&year2=2018&month2=01&day2=02&hour2=03&minute2=04&&station=STNA")
     assert "report_type" not in payloads.request_manifest(stations, "", "2018-01-01", "2018-01-02").first().request
     assert payloads.request_all(spark, "", "2018-01-01", "2018-01-02", elevation=True).count() == 1
     assert payloads.request_all(spark, "", "2018-01-01", "2018-01-02 00:00:01").count() == 0
@@ -57,19 +57,19 @@ def test_requests(spark):
 
 def test_geojson(spark):
     text = """{"count": 1, "features": [{"properties": {"elevation": 3.9, "sname": "A  B", "state": null, "country": "G R",
-      "sid": "LGAL", "network": "N", "time_domain": "(1932-Now)", "wfo": "w"}, "geometry": {"coordinates": [25.9, 40.8]}},
+      "sid": "STNL", "network": "N", "time_domain": "(1932-Now)", "wfo": "w"}, "geometry": {"coordinates": [25.9, 40.8]}},
       {"properties": {"sname": "C", "sid": "X", "time_domain": "(1990-2001)"}, "geometry": {"coordinates": [1, 2]}}]}"""
     df = spark.createDataFrame([(text,), ('{"count": 0, "features": []}',)], "document string")
     rows = {r.sid: r for r in documents.geojson_stations(df, "document", extra_columns=True).collect()}
-    assert (rows["LGAL"].sname, rows["LGAL"].country, rows["LGAL"].start, rows["LGAL"].end, rows["LGAL"].lat) == ("A B", "GR", "1932", "", 40.8)
-    assert rows["X"].end == "2001" and rows["LGAL"].wfo == "w" and rows["LGAL"].state is None
+    assert (rows["STNL"].sname, rows["STNL"].country, rows["STNL"].start, rows["STNL"].end, rows["STNL"].lat) == ("A B", "GR", "1932", "", 40.8)
+    assert rows["X"].end == "2001" and rows["STNL"].wfo == "w" and rows["STNL"].state is None
     assert "wfo" not in documents.geojson_stations(df, "document").columns
 
 
 def test_option_list(spark):
-    page = '<form name="netselect"><select><option  value="AL_ASOS" selected>Alabama &amp; <b>co</b></option>\n<OPTION value="B">B\nb</OPTION></select></form>'
+    page = '<form name="netselect"><select><option  value="AL_NET" selected>Alabama &amp; <b>co</b></option>\n<OPTION value="B">B\nb</OPTION></select></form>'
     df = spark.createDataFrame([(page,)], "html string")
-    assert table(documents.network_options(df, "html"), "network") == [("AL_ASOS", "Alabama & co"), ("B", "B\nb")]
+    assert table(documents.network_options(df, "html"), "network") == [("AL_NET", "Alabama & co"), ("B", "B\nb")]
 
 
 def test_union_fills_missing_columns(spark):
@@ -78,9 +78,9 @@ def test_union_fills_missing_columns(spark):
 
 
 def test_selections(spark, tmp_path):
-    (tmp_path / "networks.txt").write_text("  gr__asos \n\nal_asos\n   \n")
+    (tmp_path / "networks.txt").write_text("  gr__net \n\nal_net\n   \n")
     (tmp_path / "dates.txt").write_text("2018/01/01\n 31/12/2020 10:20:30 \n2022/01/01 05:00:00\nnonsense\n")
-    assert table(files.read_selection(spark, str(tmp_path / "networks.txt"), "network"), "network") == [("AL_ASOS",), ("GR__ASOS",)]
+    assert table(files.read_selection(spark, str(tmp_path / "networks.txt"), "network"), "network") == [("AL_NET",), ("GR__NET",)]
     found = [r[0] for r in files.read_selection(spark, str(tmp_path / "dates.txt"), "valid").collect()]
     assert found == [dt.datetime(2018, 1, 1), dt.datetime(2020, 12, 31, 10, 20, 30), dt.datetime(2022, 1, 1, 5), None]
 

@@ -33,8 +33,10 @@ def test_quantiles_equal_numpy(spark, values, accuracy):
         assert np.allclose(found[0]["quantiles"], np.quantile(present, probabilities), atol=1e-9)
 
 
-def test_quantiles_of_a_hot_group_with_a_coarse_sketch(spark, monkeypatch):
+@pytest.mark.parametrize("ordered", [1_000_000, 10])
+def test_quantiles_of_a_hot_group_with_a_coarse_sketch(spark, monkeypatch, ordered):
     monkeypatch.setattr(Q, "ACCURACY", 200)
+    monkeypatch.setattr(Q, "_ORDERED_CELLS", ordered)
     rng = random.Random(2)
     data = [("hot", rng.choice([7.0, rng.gauss(0, 1), rng.expovariate(1)])) for _ in range(20_000)] + [("cold", 1.0)]
     found = {r.k: r.quantiles for r in Q.exact_quantiles(
