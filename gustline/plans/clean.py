@@ -16,6 +16,7 @@ from gustline.schema import (
     CHECKED_CODE_COLUMNS, DIRECTION_COLUMN, EXTRA_COLUMNS, INDICATOR_COLUMNS, KEYS, MAIN_COLUMNS, MEAN_COLUMNS,
     RULES, SKY_CODE_COLUMNS,
 )
+from gustline.sources.tables import without_nan
 
 SERIES_START = "series_start"
 _REPORTED = "__reported_"
@@ -28,10 +29,13 @@ def kept_measurements(columns: Sequence[str], main: bool) -> list[str]:
 
 
 def encode_reports(df: DataFrame, columns: Sequence[str], keys: Sequence[str], time: str) -> DataFrame:
+    df = without_nan(df)
+    kinds = dict(df.dtypes)
+
     def encoded(c: str) -> Column:
         if c.startswith(_REPORTED):
             return F.when(F.col(c.removeprefix(_REPORTED)).isNotNull(), F.lit(1.0)).alias(c)
-        if c in SKY_CODE_COLUMNS and dict(df.dtypes)[c] == "string":
+        if c in SKY_CODE_COLUMNS and kinds[c] == "string":
             return ordinal_code(F.col(c)).alias(c)
         if c in INDICATOR_COLUMNS:
             return positive_indicator(F.col(c)).alias(c)

@@ -12,7 +12,7 @@ from gustline.operators import profile as P
 from gustline.operators.cluster import with_labels
 from gustline.operators.smooth import smooth_rows
 from gustline.operators.split import unsplit
-from gustline.plans.stages import Layout
+from gustline.plans.stages import Layout, stored_days
 from gustline.schema import KEYS
 from gustline.sources.tables import observations, scan_observations
 
@@ -113,7 +113,7 @@ def station_reports(spark: SparkSession, layout: Layout, category: str = "fetche
                     stations=None, since=None, until=None, main: bool = False) -> dict[str, DataFrame]:
     """All report tables of a stored dataset, per station."""
     if category == "modeled":
-        split = observations(spark.read.parquet(layout.split("clean")), stations=stations)
+        split = stored_days(spark, layout, stations, since, until)
         wide = observations(spark.read.parquet(layout.clusters), stations=stations)
         found = [c for c in wide.columns if c not in (*KEYS, "day")]
         cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("cluster")) for c in found])

@@ -144,10 +144,15 @@ def run_preprocess(spark: SparkSession, layout: Layout, stations=None, since=Non
         run_split(spark, layout, stations, since, until, main, split, scaler)
 
 
-def run_cluster(spark: SparkSession, layout: Layout, stations=None, clusters: int = 5, refit: bool = False,
-                **options) -> DataFrame:
+def stored_days(spark: SparkSession, layout: Layout, stations=None, since=None, until=None) -> DataFrame:
+    """Split clean rows of the stations whose day starts in the range."""
+    return observations(spark.read.parquet(layout.split("clean")), _hour(since), until, stations=stations, time="day")
+
+
+def run_cluster(spark: SparkSession, layout: Layout, stations=None, since=None, until=None, clusters: int = 5,
+                refit: bool = False, **options) -> DataFrame:
     """Cluster the days of the seven main measurements; one row per station and day, a label per column."""
-    split = observations(spark.read.parquet(layout.split("clean")), stations=stations)
+    split = stored_days(spark, layout, stations, since, until)
     split = split.where(F.col("column").isin(*MAIN_COLUMNS))
     model = stored_dtw_model(split, layout.models, clusters, refit, **options)
     labels = align_labels(assign_dtw(split, model), MAIN_COLUMNS)

@@ -47,7 +47,8 @@ def parse_payloads(df: DataFrame, payload: str = "payload", keep: Sequence[str]
 
     def cell(name: str, kind: str) -> Column:
         text = F.nullif(F.trim(F.try_element_at("__cells", F.col(f"__at_{name}"))), F.lit(""))
-        return (text if kind == "string" else text.try_cast(kind)).alias(name)
+        value = text if kind == "string" else text.try_cast(kind)
+        return (F.nanvl(value, F.lit(None)) if kind == "double" else value).alias(name)
 
     number = [(F.col("__line") - 1).cast("bigint").alias(line_number)] if line_number else []
     return parsed.select(*keep, *[cell(n, k) for n, k in names], *number)

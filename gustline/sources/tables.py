@@ -14,8 +14,14 @@ from gustline.operators.select import main_columns as pick_main
 from gustline.operators.select import members, min_spread, overlapping
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """Not-a-number counts as missing: it becomes null on the way in, so one kind of missing is left."""
+    doubles = [c for c, kind in df.dtypes if kind in ("double", "float")]
+    return df.withColumns({c: F.nanvl(c, F.lit(None)) for c in doubles}) if doubles else df
+
+
 def _csv(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return without_nan(spark.read.schema(schema).option("header", True).csv(path))
 
 
 def scan_observations(spark: SparkSession, path, category: str = "fetched", since=None, until=None,
@@ -28,7 +34,7 @@ def scan_observations(spark: SparkSession, path, category: str = "fetched", sinc
     reach the file scan. ``until`` is included.
     """
     if kind == "parquet":
-        df = spark.read.parquet(path)
+        df = without_nan(spark.read.parquet(path))
     elif category == "fetched":
         df = _csv(spark, path, S.OBSERVATIONS)
     elif category in ("preprocessed", "modeled"):
@@ -39,12 +45,12 @@ def scan_observations(spark: SparkSession, path, category: str = "fetched", sinc
 
 
 def observations(df: DataFrame, since=None, until=None, networks=None, stations=None, main: bool = False,
-                 columns: Sequence[str] | None = None) -> DataFrame:
+                 columns: Sequence[str] | None = None, time: str = "valid") -> DataFrame:
     """The same selection on any observation frame. ``stations``: an ID, a list, or a station frame."""
     if since is not None:
-        df = df.where(F.col("valid") >= F.lit(str(since)).cast("timestamp_ntz"))
+        df = df.where(F.col(time) >= F.lit(str(since)).cast("timestamp_ntz"))
     if until is not None:
-        df = df.where(F.col("valid") <= F.lit(str(until)).cast("timestamp_ntz"))
+        df = df.where(F.col(time) <= F.lit(str(until)).cast("timestamp_ntz"))
     df = members(df, "network", networks, "network")
     if isinstance(stations, DataFrame):
         shared = [F.col("sid").alias("station")] + (["network"] if "network" in stations.columns else [])

@@ -115,6 +115,11 @@ def test_direction_becomes_sine_and_cosine(obs):
     assert [(round(r.drct_sin, 9), round(r.drct_cos, 9)) for r in found.orderBy("valid").collect()] == [(1, 0), (1, 0), (0, -1)]
 
 
+def test_not_a_number_is_missing(obs):
+    rows = [("a", "2024-01-01 00:00", 1.0), ("a", "2024-01-01 01:00", float("nan")), ("a", "2024-01-01 02:00", 3.0)]
+    assert hours(clean(obs(rows, ["tmpf"]))) == [1.0, 2.0, 3.0]
+
+
 def test_clean_keeps_only_known_columns(obs):
     df = obs([("a", "2024-01-01 00:00", 1.0, 2.0, "x")], ["tmpf", "mslp", "wxcodes string"])
     assert clean(df).columns == ["network", "station", "valid", "tmpf"]

@@ -194,7 +194,9 @@ def test_stages_end_to_end(spark, landed, obs, tmp_path):
     assert spark.read.parquet(layout.scaled("minmax")).agg(F.max("tmpf")).first()[0] == 1.0
     assert set(spark.read.parquet(layout.split("scaled_standard")).select("station").distinct().collect()[0]) == {"a"}
     assert spark.read.parquet(layout.split("clean")).count() == 12
-    labels = stages.run_cluster(spark, layout, clusters=2, seed=1, max_iter=2)
+    part = stages.run_cluster(spark, layout, since="2024-02-02", until="2024-02-03 12:00:00", clusters=1, max_iter=1)
+    assert part.count() == 2
+    labels = stages.run_cluster(spark, layout, clusters=2, refit=True, seed=1, max_iter=2)
     assert labels.count() == 6 and {"tmpf", "skyc1", "feel"} <= set(labels.columns)
     tables_ = reports.station_reports(spark, layout, "modeled")
     assert tables_["stacked"].count() == 12 * 24 and tables_["centers"].count() == 2 * 2 * 24
