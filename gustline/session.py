@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 
@@ -21,3 +25,25 @@ def local_session(cpus: str = "8", app: str = "gustline") -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, from whatever folder the session was started. Once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    with tempfile.TemporaryDirectory() as folder:
+        path = os.path.join(folder, "gustline-package.zip")
+        with zipfile.ZipFile(path, "w") as archive:
+            for at, _, names in os.walk(root):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        full = os.path.join(at, name)
+                        archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+        # The context copies the file; workers fetch it from there.
+        context.addPyFile(path)
+    _shipped.add(context.applicationId)
