@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import zipfile
@@ -36,14 +37,15 @@ def ship(spark: SparkSession) -> None:
     if context.applicationId in _shipped:
         return
     root = os.path.dirname(os.path.abspath(__file__))
-    with tempfile.TemporaryDirectory() as folder:
-        path = os.path.join(folder, "gustline-package.zip")
-        with zipfile.ZipFile(path, "w") as archive:
-            for at, _, names in os.walk(root):
-                for name in sorted(names):
-                    if name.endswith(".py"):
-                        full = os.path.join(at, name)
-                        archive.write(full, os.path.relpath(full, os.path.dirname(root)))
-        # The context copies the file; workers fetch it from there.
-        context.addPyFile(path)
+    # Executors fetch the file from here as long as the application runs.
+    folder = tempfile.TemporaryDirectory(prefix="gustline-package-")
+    atexit.register(folder.cleanup)
+    path = os.path.join(folder.name, "gustline-package.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for at, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(at, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(root)))
+    context.addPyFile(path)
     _shipped.add(context.applicationId)
