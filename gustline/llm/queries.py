@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import rules
+from gustline.llm import rules, toxicity
 from gustline.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,12 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     found = rules.fit(stats, table(spark, folder, "labels"))
     return rules.apply(stats, found).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = remainder("doc_id", 5) == 0
+    model = toxicity.fit(docs, table(spark, folder, "labels"), ~held)
+    return toxicity.score(docs, model).withColumn("held_out", held).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int")).select("doc_id", "held_out", "score", "predicted", "n_windows")
