@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import rules, toxicity
+from gustline.llm import decontaminate, rules, toxicity
 from gustline.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,41 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, folder, "labels"), ~held)
     return toxicity.score(docs, model).withColumn("held_out", held).withColumn(
         "predicted", (F.col("score") >= 0.5).cast("int")).select("doc_id", "held_out", "score", "predicted", "n_windows")
+
+
+_OP9_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS m, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)),
+m AS (SELECT DISTINCT m FROM bw),
+dw AS (
+  SELECT r, i, m, array_to_string(w[i:i + m - 1], ' ') AS g
+  FROM (SELECT r, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM d, m WHERE len(w) >= m)),
+h AS (SELECT dw.r, dw.i, dw.m, bw.item_id FROM dw JOIN bw ON dw.g = bw.g AND dw.m = bw.m),
+n AS (
+  SELECT r, count(DISTINCT j) AS n_hit
+  FROM (SELECT DISTINCT r, unnest(generate_series(i, i + m - 1)) AS j FROM h) GROUP BY r),
+s AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM h) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN s USING (r)
+"""
+
+
+@query("op9_decontamination", _OP9_SQL)
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
