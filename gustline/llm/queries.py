@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import decontaminate, rules, toxicity
+from gustline.llm import decontaminate, rules, simhash, toxicity
 from gustline.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"), keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op7_simhash")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
