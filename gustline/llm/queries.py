@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import decontaminate, rules, simhash, toxicity
+from gustline.llm import decontaminate, language, rules, simhash, toxicity
 from gustline.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,11 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = remainder("doc_id", 4) == 2
+    found = language.identify(docs, language.fit(docs, ~held), keep=["doc_id"])
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", F.size("lang_spans").cast("bigint").alias("n_spans"))
