@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import decontaminate, language, rules, simhash, toxicity
+from gustline.llm import decontaminate, language, pseudonyms, rules, simhash, toxicity
 from gustline.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,14 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     held = remainder("doc_id", 4) == 2
     found = language.identify(docs, language.fit(docs, ~held), keep=["doc_id"])
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", F.size("lang_spans").cast("bigint").alias("n_spans"))
+
+
+#: Production keys come from a secret store; the registered query needs the same pseudonyms in every run.
+PSEUDONYM_KEY = b"gustline pseudonyms, registered query"
+
+
+@query("op8_pii")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = pseudonyms.pseudonymize(table(spark, folder, "documents"), PSEUDONYM_KEY, keep=["doc_id"])
+    counts = [F.coalesce(F.col("pii")[kind], F.lit(0)).cast("bigint").alias(f"n_{kind}") for kind, _, _ in pseudonyms.KINDS]
+    return found.select("doc_id", "text", *counts)
