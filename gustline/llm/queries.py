@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import decontaminate, language, pseudonyms, rules, simhash, toxicity
+from gustline.llm import decontaminate, language, mixing, pseudonyms, rules, simhash, toxicity
 from gustline.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,11 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = pseudonyms.pseudonymize(table(spark, folder, "documents"), PSEUDONYM_KEY, keep=["doc_id"])
     counts = [F.coalesce(F.col("pii")[kind], F.lit(0)).cast("bigint").alias(f"n_{kind}") for kind, _, _ in pseudonyms.KINDS]
     return found.select("doc_id", "text", *counts)
+
+
+@query("op10_mixing")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    taken, sources = mixing.mix(table(spark, folder, "documents"), F.array("source"))
+    named = taken.withColumn("source", F.from_json("pattern", "array<string>")[0])
+    return named.join(sources, named["source"].eqNullSafe(sources["source"]), "left").select(
+        "doc_id", "size", "source_size", "target", "taken")
