@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import decontaminate, language, mixing, pseudonyms, rules, simhash, toxicity
+from gustline.llm import decontaminate, html, language, mixing, pseudonyms, rules, simhash, toxicity
 from gustline.storage import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     named = taken.withColumn("source", F.from_json("pattern", "array<string>")[0])
     return named.join(sources, named["source"].eqNullSafe(sources["source"]), "left").select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op3_html_text")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = html.articles(table(spark, folder, "pages"), keep=["page_id", "url"])
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"), "path")
