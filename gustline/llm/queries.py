@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import decontaminate, html, language, mixing, pseudonyms, rules, simhash, toxicity
-from gustline.storage import materialize
+from gustline.llm import decontaminate, html, language, mixing, pseudonyms, rules, simhash, toxicity, warc
+from gustline.storage import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -125,3 +125,27 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = html.articles(table(spark, folder, "pages"), keep=["page_id", "url"])
     return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"), "path")
+
+
+_OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+r AS (SELECT page_id, strlen(body) AS n, sha1(body) AS digest, max(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM r
+"""
+
+
+@query("op4_warc", _OP4_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "archives")
+    warc.archive(table(spark, folder, "pages"), path)
+    back = warc.read(spark, path)
+    # Length and digest of a response are taken from the payload that was read back.
+    full = F.col("warc_type") == "response"
+    return back.select(
+        warc.key_of("record_id").cast("bigint").alias("page_id"),
+        F.when(full, F.octet_length("payload").cast("bigint")).otherwise(F.col("payload_length")).alias("payload_bytes"),
+        F.when(full, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        F.col("warc_type").alias("record_type"), warc.key_of("refers_to").cast("bigint").alias("refers_to"))
