@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import decontaminate, html, language, mixing, pseudonyms, rules, simhash, toxicity, warc
+from gustline.llm import decontaminate, html, language, lm, mixing, pseudonyms, rules, simhash, toxicity, warc
 from gustline.storage import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,3 +149,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
         F.when(full, F.octet_length("payload").cast("bigint")).otherwise(F.col("payload_length")).alias("payload_bytes"),
         F.when(full, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
         F.col("warc_type").alias("record_type"), warc.key_of("refers_to").cast("bigint").alias("refers_to"))
+
+
+@query("op5_lm_score")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held = remainder("doc_id", 5) == 1
+    return lm.score(docs, ~held).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
