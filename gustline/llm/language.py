@@ -285,7 +285,10 @@ def identify(df: DataFrame, model: Model, keep=None, text: str = "text", switch:
 
 
 def accept(df: DataFrame, model: Model, least: float = 0.1, **settings) -> DataFrame:
-    """The rows whose language is known with at least this score, with the columns they had."""
+    """The rows whose language is known with at least this score, with the columns they had. Without a language to know,
+    nothing is rejected."""
+    if not model.languages:
+        return df
     found = identify(df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(df.columns)]), model,
                      text=f"k{df.columns.index(settings.pop('text', 'text'))}", **settings)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(

@@ -135,11 +135,10 @@ def flow(supply: dict[str, int], members: dict[str, list[Source]], quotas: dict[
     return {k: net.room[e ^ 1] for k, e in ways.items()}
 
 
-def sized(df: DataFrame, sources: Column, key: str = "doc_id", text: str = "text", seed: int = SEED, size: Column | None = None) -> DataFrame:
-    """Key, size, pattern (JSON of the sorted distinct sources) and place in the seeded order."""
-    return df.select(col(key).alias("doc_id"), (words(col(text)) if size is None else size).alias("size"),
-                     F.to_json(F.sort_array(F.array_distinct(sources))).alias("pattern"),
-                     F.xxhash64(col(key), F.lit(seed)).alias("place"))
+def sized(df: DataFrame, sources: Column, key: str = "doc_id", text: str = "text", seed: int = SEED, size: Column | None = None) -> list[Column]:
+    """Size, pattern (JSON of the sorted distinct sources) and place in the seeded order, as columns."""
+    return [(words(col(text)) if size is None else size).alias("size"),
+            F.to_json(F.sort_array(F.array_distinct(sources))).alias("pattern"), F.xxhash64(col(key), F.lit(seed)).alias("place")]
 
 
 def capacities(rows: DataFrame) -> dict[str, int]:
@@ -147,37 +146,46 @@ def capacities(rows: DataFrame) -> dict[str, int]:
     return {r["pattern"]: int(r["n"]) for r in rows.groupBy("pattern").agg(F.sum("size").alias("n")).collect() if r["pattern"] is not None}
 
 
-def take(rows: DataFrame, used: dict[str, int], supply: dict[str, int]) -> DataFrame:
-    """The rows with ``taken``: words of each that make up what its pattern gives."""
-    spark = rows.sparkSession
+_BUCKET = "shiftrightunsigned(place, %d)" % (64 - BUCKET_BITS)
+
+
+def cuts(rows: DataFrame, used: dict[str, int], supply: dict[str, int]) -> DataFrame:
+    """Of each pattern: how many whole times it is taken, how many words more, and in which bucket of the order they end."""
     plan = []
     for p, n in sorted(used.items()):
         whole, rest = divmod(n, supply[p]) if supply[p] else (0, 0)
         plan.append((p, whole, rest))
-    per = spark.createDataFrame(plan, "pattern string, whole bigint, rest bigint")
-    bucket = F.shiftrightunsigned("place", 64 - BUCKET_BITS).cast("int")
-    placed = rows.withColumn("bucket", bucket)
-    sums = placed.groupBy("pattern", "bucket").agg(F.sum("size").alias("n"))
+    per = rows.sparkSession.createDataFrame(plan, "pattern string, whole bigint, rest bigint")
+    sums = rows.groupBy("pattern", F.expr(_BUCKET).alias("bucket")).agg(F.sum("size").alias("n"))
     # At most 2^16 rows for each pattern.
     order = Window.partitionBy("pattern").orderBy("bucket")
-    cut = sums.withColumn("before", F.sum("n").over(order) - F.col("n")).join(per, "pattern").where("before <= rest").groupBy("pattern").agg(
+    last = sums.withColumn("before", F.sum("n").over(order) - F.col("n")).join(per, "pattern").where("before <= rest").groupBy("pattern").agg(
         F.max(F.struct("bucket", "before")).alias("cut"), F.first("whole").alias("whole"), F.first("rest").alias("rest"))
-    cuts = materialize(cut.select("pattern", "cut.bucket", "cut.before", "whole", "rest").withColumnRenamed("bucket", "edge"), "cuts")
-    known = placed.join(cuts, "pattern", "left")
+    return materialize(last.select("pattern", F.col("cut.bucket").alias("edge"), F.col("cut.before").alias("before"), "whole", "rest"), "cuts")
+
+
+def take(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The rows, which have key, size, pattern and place, with ``taken``: words of each that make up what its pattern gives."""
+    known = rows.withColumn("bucket", F.expr(_BUCKET)).join(plan, "pattern", "left")
     clear = known.where("edge IS NULL OR bucket <> edge").withColumn(
         "more", F.when(F.col("bucket") < F.col("edge"), F.col("size")).otherwise(F.lit(0)))
-    within = Window.partitionBy("pattern").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    within = Window.partitionBy("pattern").orderBy("place", "key", "size").rowsBetween(Window.unboundedPreceding, 0)
     edge = known.where("bucket = edge").withColumn("until", F.sum("size").over(within)).withColumn(
         "more", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("before") - F.col("until") + F.col("size")))).drop("until")
-    taken = (F.coalesce("whole", F.lit(0)) * F.col("size") + F.col("more")).cast("bigint").alias("taken")
-    return clear.unionByName(edge).select("doc_id", "size", "pattern", "place", taken)
+    taken = (F.coalesce("whole", F.lit(0)) * F.col("size") + F.col("more")).cast("bigint")
+    return clear.unionByName(edge).withColumn("taken", taken).select(*rows.columns, "taken")
 
 
 def mix(df: DataFrame, sources: Column, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, most: float = 2.0, repeats: int = 2,
-        key: str = "doc_id", text: str = "text", seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """The documents with ``taken``, and the sources (``source``, ``source_size``, ``target``). The weights repeat over the
-    sources in order. No document is taken more than ``repeats`` times."""
-    rows = materialize(sized(df, sources, key, text, seed), "sized")
+        key: str = "doc_id", text: str = "text", seed: int = SEED, whole_rows: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The documents and the sources (``source``, ``source_size``, ``target``). The weights repeat over the sources in order.
+    No document is taken more than ``repeats`` times.
+
+    The documents have key, size, pattern, place and ``taken``; with ``whole_rows`` they have all their columns, as k0, k1
+    and so on, and their rows are not exchanged (but for those of the buckets that hold a cut).
+    """
+    extra = sized(df, sources, key, text, seed)
+    rows = materialize(df.select(col(key).alias("key"), *extra), "sized")
     supply = capacities(rows)
     members = {p: json.loads(p) for p in supply}
     sizes: dict[Source, int] = {}
@@ -189,4 +197,14 @@ def mix(df: DataFrame, sources: Column, weights: Sequence[float] = (3, 1, 2), sh
     flows = flow(supply, members, {s: round(t) for s, t in target.items()}, repeats)
     used = {p: sum(flows[p, s] for s in members[p]) for p in supply}
     table = df.sparkSession.createDataFrame([(s, sizes[s], float(target[s])) for s in ordered], "source string, source_size bigint, target double")
-    return take(rows, used, supply), table
+    plan = cuts(rows, used, supply)
+    if whole_rows:
+        rows = df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(df.columns)], col(key).alias("key"), *extra)
+    return take(rows, plan), table
+
+
+def mixed(df: DataFrame, sources: Column, **settings) -> DataFrame:
+    """The documents that the mix takes, with the columns they had and ``taken``; a column of that name gives way."""
+    taken, _ = mix(df, sources, whole_rows=True, **settings)
+    return taken.where("taken > 0").select(
+        *[F.col(f"k{i}").alias(c) for i, c in enumerate(df.columns) if c.lower() != "taken"], "taken")

@@ -118,7 +118,7 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     taken, sources = mixing.mix(table(spark, folder, "documents"), F.array("source"))
     named = taken.withColumn("source", F.from_json("pattern", "array<string>")[0])
     return named.join(sources, named["source"].eqNullSafe(sources["source"]), "left").select(
-        "doc_id", "size", "source_size", "target", "taken")
+        F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
 @query("op3_html_text")
