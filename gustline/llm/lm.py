@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, LongType, StructField, StructType)
@@ -40,7 +40,7 @@ from gustline.storage import materialize
 CLASSES = 64
 ROWS = 1 << 13
 BATCH = 4096
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 ROUNDS = 2
 RATE = 0.2
 _PARTS = 32
@@ -97,17 +97,24 @@ class Context:
         # Half of the rows for words, half for pairs.
         half = np.uint64(s.rows // 2 - 1)
         self.at = np.column_stack([mix(word) & half, (pair & half) + np.uint64(s.rows // 2)]).astype(np.int32)
-        # Stretches of all texts, one after another.
+        # Stretches of all texts, one after another, and how often each class is in them.
         many = -(-size // _STRETCH)
         base = np.cumsum(many) - many
-        self.stretch = np.repeat(base, size) + inside // _STRETCH
+        self.stretch = (np.repeat(base, size) + inside // _STRETCH).astype(np.int32)
         total = int(many.sum())
-        counts = np.bincount(self.stretch * k + c, minlength=total * k).reshape(total, k)
-        run = np.concatenate([np.zeros((1, k), np.int64), np.cumsum(counts, axis=0)])
-        own = np.arange(total)
-        begin = np.maximum(np.repeat(base, many), own - _SPAN // _STRETCH)
-        seen = (run[own] - run[begin]).astype(np.float32)
-        self.skips = seen / np.maximum(seen.sum(1, keepdims=True), 1)
+        self.counts = np.zeros((total, k), np.uint8)
+        for low in range(0, n, 1 << 18):
+            np.add.at(self.counts.reshape(-1), self.stretch[low:low + (1 << 18)].astype(np.int64) * k + c[low:low + (1 << 18)], np.uint8(1))
+        self.begin = np.maximum(np.repeat(base, many), np.arange(total) - _SPAN // _STRETCH).astype(np.int32)
+
+    def skips(self, low: int, high: int) -> np.ndarray:
+        """Shares of the classes in the tokens skipped before each of the stretches low to high."""
+        from_ = max(0, low - _SPAN // _STRETCH)
+        run = np.zeros((high - from_ + 1, self.s.classes), np.float32)
+        np.cumsum(self.counts[from_:high], axis=0, dtype=np.float32, out=run[1:])
+        out = run[low - from_:high - from_] - run[self.begin[low:high] - from_]
+        out /= np.maximum(out.sum(1, keepdims=True), 1)
+        return out
 
     def stretches(self, i: int, j: int) -> tuple[int, int, np.ndarray]:
         """Stretches of the tokens i to j, and where each token's is among them."""
@@ -116,7 +123,7 @@ class Context:
 
     def logits(self, weights: np.ndarray, i: int, j: int) -> np.ndarray:
         low, high, own = self.stretches(i, j)
-        shared = self.skips[low:high] @ weights[self.s.rows:-1]
+        shared = self.skips(low, high) @ weights[self.s.rows:-1]
         shared += weights[-1]
         out = shared[own]
         more = np.empty_like(out)
@@ -168,7 +175,7 @@ class Trainer:
             self._move(row[starts], np.add.reduceat(g[order], starts, axis=0), np.diff(np.append(starts, j - i)))
         low, high, own = context.stretches(i, j)
         starts = np.searchsorted(own, np.arange(high - low))
-        shared, skips = np.add.reduceat(g, starts, axis=0), context.skips[low:high]
+        shared, skips = np.add.reduceat(g, starts, axis=0), context.skips(low, high)
         share = np.diff(np.append(starts, j - i)) @ skips
         self._move(np.arange(rows, rows + k + 1), np.vstack([skips.T @ shared, shared.sum(0)]), np.append(share, j - i))
 
@@ -234,19 +241,29 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
             yield _Block(batch.slice(i, 1).to_pylist()[0])
 
 
-_USES = StructType([StructField("block", LongType()), StructField("place", IntegerType()), StructField("word", LongType()),
-                    StructField("kind", IntegerType()), StructField("n", LongType())])
+#: ``use`` is the times in training texts, shifted by 8 bits, and the class.
+_USES = StructType([StructField("word", LongType()), StructField("block", LongType()), StructField("place", IntegerType()),
+                    StructField("use", LongType())])
+_TOTALS = StructType([StructField("kind", IntegerType()), StructField("n", LongType())])
 
 
 def _uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, place, word, class, times in training texts) for the distinct words of every block."""
+    """The distinct words of every block."""
     for b in _blocks(batches):
-        numbers = b.part(b.learn)[0]
-        n = np.bincount(numbers, minlength=len(b.words))
+        n = np.bincount(b.part(b.learn)[0], minlength=len(b.words)).astype(np.int64)
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.full(len(n), b.number, np.int64)), pa.array(np.arange(len(n), dtype=np.int32)),
-            pa.array(b.words.view(np.int64)), pa.array(b.kinds.astype(np.int32)), pa.array(n.astype(np.int64))],
-            names=[f.name for f in _USES])
+            pa.array(b.words.view(np.int64)), pa.array(np.full(len(n), b.number, np.int64)), pa.array(np.arange(len(n), dtype=np.int32)),
+            pa.array(n << 8 | b.kinds)], names=[f.name for f in _USES])
+
+
+def _totals(classes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Training tokens of each class."""
+        n = np.zeros(classes, np.int64)
+        for b in _blocks(batches):
+            n += np.bincount(b.part(b.learn)[2], minlength=classes)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes, dtype=np.int32)), pa.array(n)], names=[f.name for f in _TOTALS])
+    return run
 
 
 _CHANGES = StructType([StructField("part", IntegerType()), StructField("change", BinaryType()), StructField("seen", BinaryType())])
@@ -311,21 +328,24 @@ def score(df: DataFrame, learn: Column, key: str = "doc_id", text: str = "text",
     both log10 probabilities. Rows for which ``learn`` holds are what is learned from."""
     s = settings
     table = materialize(token_table(df, learn, key, text, s.classes), "tokens")
-    uses = table.mapInArrow(_uses, _USES)
-    # One exchange by word serves the sums and the join.
-    by_word = uses.repartition("word")
-    counts = by_word.groupBy("word").agg(F.sum("n").alias("c"))
-    known = materialize(by_word.select("block", "place", "word", "kind").join(counts, "word").where("c > 0"), "counts")
-    # A word is in many blocks; its count is taken at one of them. At most as many rows as classes.
-    sums = known.groupBy("word").agg(F.first("kind").alias("kind"), F.first("c").alias("c")).groupBy("kind").agg(
-        F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
+    # One exchange by word; a word is in a row per block, so even the most frequent word has few rows.
+    by_word = Window.partitionBy("word")
+    known = table.mapInArrow(_uses, _USES).select(
+        "block", "place", F.sum(F.shiftright("use", 8)).over(by_word).alias("c"),
+        # Each word's class is taken down at one of its blocks.
+        F.when(F.col("block") == F.min("block").over(by_word), F.col("use").bitwiseAND(F.lit(255)).cast("tinyint")).alias("kind"))
+    per_block = materialize(known.where("c > 0").groupBy("block").agg(
+        F.collect_list("place").alias("places"), F.collect_list("c").alias("counts"), F.collect_list("kind").alias("found")), "counts")
     total, kinds = np.zeros(s.classes), np.zeros(s.classes)
-    for r in sums:
-        total[r["kind"]], kinds[r["kind"]] = r["n"], r["v"]
+    # At most as many rows as classes.
+    for r in table.select("block", "keys", "learn", "sizes", "numbers", "words", "kinds").mapInArrow(
+            _totals(s.classes), _TOTALS).groupBy("kind").agg(F.sum("n").alias("n")).collect():
+        total[r["kind"]] = r["n"]
+    for r in per_block.select(F.explode("found").alias("kind")).groupBy("kind").count().collect():
+        kinds[r["kind"]] = r["count"]
     weights = train(table, s)
     sent = df.sparkSession.sparkContext.broadcast((weights, total, kinds))
-    per_block = known.groupBy("block").agg(F.collect_list("place").alias("places"), F.collect_list("c").alias("counts"))
-    joined = table.join(per_block, "block", "left")
+    joined = table.join(per_block.drop("found"), "block", "left")
     schema = StructType([StructField(key, df.schema[key].dataType), *[StructField(n, LongType()) for n in _SCORES[:3]],
                          *[StructField(n, DoubleType()) for n in _SCORES[3:]]])
 
