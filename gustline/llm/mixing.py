@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from gustline.llm.arrow import col
 from gustline.storage import materialize
 
-BUCKET_BITS = 16
+BUCKET_BITS = 12
 SEED = 20_240
 Source = str | None
 
@@ -157,7 +157,7 @@ def cuts(rows: DataFrame, used: dict[str, int], supply: dict[str, int]) -> DataF
         plan.append((p, whole, rest))
     per = rows.sparkSession.createDataFrame(plan, "pattern string, whole bigint, rest bigint")
     sums = rows.groupBy("pattern", F.expr(_BUCKET).alias("bucket")).agg(F.sum("size").alias("n"))
-    # At most 2^16 rows for each pattern.
+    # At most 2^12 rows for each pattern.
     order = Window.partitionBy("pattern").orderBy("bucket")
     last = sums.withColumn("before", F.sum("n").over(order) - F.col("n")).join(per, "pattern").where("before <= rest").groupBy("pattern").agg(
         F.max(F.struct("bucket", "before")).alias("cut"), F.first("whole").alias("whole"), F.first("rest").alias("rest"))
