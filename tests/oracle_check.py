@@ -34,6 +34,9 @@ def _cell(value) -> str:
 
 
 def _kind(column: pd.Series) -> str:
+    # A column without a value has no type to compare in pandas.
+    if column.isna().all():
+        return "null"
     # The two engines hand naive timestamps over in different units.
     return "timestamp" if str(column.dtype).startswith("datetime64") else str(column.dtype)
 
