@@ -253,10 +253,11 @@ def identify(df: DataFrame, model: Model, keep=None, text: str = "text", switch:
             w, path, total = label(texts, model, switch)
             k = len(names)
             text_of = np.repeat(np.arange(n), np.diff(w.first))
-            letters = np.bincount(text_of * k + path, weights=w.letters, minlength=n * k).reshape(n, k)
+            # Without a word the sums are whole numbers to numpy.
+            letters = np.bincount(text_of * k + path, weights=w.letters, minlength=n * k).reshape(n, k).astype(float)
             top = letters.argmax(1)
             every = letters.sum(1)
-            sums = np.stack([np.bincount(text_of, weights=total[:, j] * (path == top[text_of]), minlength=n) for j in range(k)], 1)
+            sums = np.stack([np.bincount(text_of, weights=total[:, j] * (path == top[text_of]), minlength=n) for j in range(k)], 1).astype(float)
             words = np.maximum(np.bincount(text_of, weights=(path == top[text_of]) & (w.script > 0), minlength=n), 1)
             own = sums[np.arange(n), top]
             rest = sums.copy()

@@ -43,8 +43,8 @@ from gustline.storage import materialize
 SCHEMA = ("record_id string, warc_type string, target_uri string, date string, payload_digest string, refers_to string, "
           "content_length bigint, payload_length bigint, payload binary")
 _PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
-#: Archives are closed at this size, and files are put together into partitions up to it.
-FILE_BYTES = 128 << 20
+#: Archives are closed at the first size; small ones are put together into partitions up to the second.
+FILE_BYTES, SPLIT_BYTES = 128 << 20, 32 << 20
 #: Size from which equal payloads are stored once.
 LEAST = 1000
 DATE = "2024-01-01T00:00:00Z"
@@ -261,7 +261,7 @@ class WarcReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict):
         self.names = [f.name for f in schema]
         self.path = _uri(options["path"])
-        self.split = int(options.get("splitbytes", FILE_BYTES))
+        self.split = int(options.get("splitbytes", SPLIT_BYTES))
         self.headers = {k[len("header."):].lower(): v for k, v in options.items() if k.lower().startswith("header.")}
         self.filters: list[Filter] = []
 
