@@ -15,16 +15,22 @@ _LEFT_OUT = ("metar", "snowdepth")
 _REFUSED = "ERROR"
 # Code of each report kind in a request; any other name asks for all.
 REPORT_CODES = {"frequent": 1, "combined": 2, "routine": 3, "special": 4}
-# More cells than any payload has columns.
-_CELLS = 48
-_ROW = ", ".join(f"c{i} string" for i in range(_CELLS))
+# A cell after a comma; a quoted one may hold commas and doubled quotes.
+_CELL = r',("(?:[^"]|"")*"|[^,]*)'
 
 
 def _with_cells(df: DataFrame, line: str, name: str) -> DataFrame:
-    """Add the cells of a CSV line as an array; quoted commas do not split."""
-    parsed = df.withColumn("__row", F.from_csv(line, F.lit(_ROW), {"mode": "PERMISSIVE"}))
-    # The row is a column of its own, so a line is parsed once and not once per cell.
-    return parsed.withColumn(name, F.array(*[f"__row.c{i}" for i in range(_CELLS)])).drop("__row")
+    """Add the cells of a CSV line as an array, however many there are; quoted commas do not split."""
+    text = F.col(line)
+
+    def plain(cell: Column) -> Column:
+        body = F.replace(F.substring(cell, F.lit(2), F.greatest(F.length(cell) - 2, F.lit(0))),
+                         F.lit('""'), F.lit('"'))
+        return F.when(F.startswith(cell, F.lit('"')) & F.endswith(cell, F.lit('"')) & (F.length(cell) > 1), body).otherwise(cell)
+
+    quoted = F.transform(F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(_CELL), F.lit(1)), plain)
+    # Lines without a quote, nearly all, are split at commas.
+    return df.withColumn(name, F.when(F.contains(text, F.lit('"')), quoted).otherwise(F.split(text, ",", -1)))
 
 
 def parse_payloads(df: DataFrame, payload: str = "payload", keep: Sequence[str] = (), extra_columns: bool = False,

@@ -238,3 +238,13 @@ def test_no_local_folder_on_a_cluster():
 def test_checkpoint_cuts_lineage(spark):
     df = storage.cut_lineage(spark.range(5).selectExpr("id + 1 as x"))
     assert "Project" not in df._jdf.queryExecution().optimizedPlan().toString() and df.count() == 5
+
+
+def test_payloads_of_any_width_and_quotes(spark):
+    extra = [f"x{i}" for i in range(60)]
+    head = ",".join(["station", "valid", *extra, "tmpf", "metar"])
+    lines = [",".join(["A", "2024-01-01 00:00", *["1"] * 60, "7.5", '"RMK ""A"", B"']), ",".join(["B", "2024-01-01 01:00", *[""] * 60, '"8"', ""])]
+    df = spark.createDataFrame([("\n".join([head, *lines]) + "\n",)], "payload string")
+    got = {r["station"]: r for r in payloads.parse_payloads(df, extra_columns=True).collect()}
+    assert got["A"]["tmpf"] == 7.5 and got["A"]["metar"] == 'RMK "A", B'
+    assert got["B"]["tmpf"] == 8.0 and got["B"]["metar"] is None
