@@ -22,7 +22,7 @@ from gustline.storage import materialize
 GROUP = (*KEYS, "column")
 # Iteration cap and tolerance of a fit.
 MAX_ITER, TOLERANCE = 50, 1e-6
-# A flat centers matrix above this many values is not shipped with every task.
+# Values of the centers that one pass over the rows holds; more centers take more passes in the same task.
 _CENTER_VALUES = 4_000_000
 
 
@@ -42,22 +42,36 @@ def fit_kmeans(df: DataFrame, features: str, clusters: int = 8, seed: int = 0, m
 
 def assign_kmeans(df: DataFrame, features: str, centers: DataFrame) -> DataFrame:
     """Add ``cluster`` and ``distance`` of the nearest center, the lowest number on a tie."""
-    size = centers.agg(F.coalesce(F.sum(F.size("center")), F.lit(0)).alias("n")).first()["n"]
-    if not 0 < size <= _CENTER_VALUES:
-        raise ValueError(f"centers hold {size} values, expected 1..{_CENTER_VALUES}")
     found = sorted(centers.select("cluster", "center").collect())
-    labels = np.array([r["cluster"] for r in found], dtype=np.int32)
-    matrix = np.array([r["center"] for r in found], dtype=np.float64)
-
-    @F.arrow_udf("struct<cluster:int,distance:double>")
-    def nearest(rows: pa.Array) -> pa.Array:
+    if not found:
+        raise ValueError("no centers")
+    kind = "struct<cluster:int,cost:double>"
+    near = df.withColumn("__near", F.lit(None).cast(kind))
+    step = max(1, _CENTER_VALUES // max(1, len(found[0]["center"])))
+    for begin in range(0, len(found), step):
+        near = near.withColumn("__near", _nearer(found[begin:begin + step], kind)(F.col(features), F.col("__near")))
+    return near.select(*df.columns, F.col("__near.cluster").alias("cluster"), F.sqrt("__near.cost").alias("distance"))
+
+
+def _nearer(block: list, kind: str):
+    """The nearest of a block of centers, unless what is known is as near; earlier blocks have the lower numbers."""
+    labels = np.array([r["cluster"] for r in block], dtype=np.int32)
+    matrix = np.array([r["center"] for r in block], dtype=np.float64)
+
+    @F.arrow_udf(kind)
+    def nearest(rows: pa.Array, known: pa.Array) -> pa.Array:
         x = as_matrix(rows)
         cost = np.stack([((x - c) ** 2).sum(axis=1) for c in matrix], axis=1) if len(x) else np.empty((0, len(matrix)))
         best = cost.argmin(axis=1)
-        return pa.StructArray.from_arrays(
-            [pa.array(labels[best]), pa.array(np.sqrt(cost[np.arange(len(x)), best]))], names=["cluster", "distance"])
-
-    return df.withColumn("__near", nearest(F.col(features))).select(*df.columns, "__near.cluster", "__near.distance")
+        label, least = labels[best], cost[np.arange(len(x)), best]
+        before = known.field("cost").to_numpy(zero_copy_only=False).astype(float) if known.null_count < len(known) else np.full(len(x), np.inf)
+        if len(x) and np.isfinite(before).any():
+            keep = before <= least
+            label = np.where(keep, known.field("cluster").to_numpy(zero_copy_only=False), label).astype(np.int32)
+            least = np.where(keep, before, least)
+        return pa.StructArray.from_arrays([pa.array(label), pa.array(least)], names=["cluster", "cost"])
+
+    return nearest
 
 
 # --- DTW ---------------------------------------------------------------------------------------------

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Hexadecimal digits of a hash.
+_DIGITS = 32
+
+
 def split_features(df: DataFrame, labels: Sequence[str], key: str) -> tuple[DataFrame, DataFrame]:
     """Features and labels as two frames that share the key."""
     return df.drop(*[c for c in labels if c != key]), df.select(key, *[c for c in df.columns if c in labels and c != key])
@@ -21,25 +26,31 @@ def mark_test(df: DataFrame, key: str, test_size: float = 0.25, seed: int = 0, e
     """Add ``is_test``. By default each row is decided alone and the share is approximate.
 
     ``exact`` marks exactly ``ceil(rows * test_size)`` rows (with unique keys): those with the smallest
-    hashes. Rows are counted by the first four hash digits; only the one group of digits that holds the
-    limit is ordered, a 65,536th of the rows, and the limit's hash decides every row.
+    hashes. Rows are counted by four hash digits at a time, each time within the one group that holds the
+    limit, until the limit lies between two groups; the limit's digits decide every row. A pass returns at
+    most 65,536 counts, and no rows are ordered.
     """
     digits = hash_digits(key, seed)
     if not exact:
         limit = f"{int(test_size * 16**8):08x}" if test_size < 1 else "g"
         return df.withColumn("is_test", F.substring(digits, 1, 8) < F.lit(limit))
-    hashed = df.select(digits.alias("__hash")).withColumn("__head", F.substring("__hash", 1, 4))
-    heads = hashed.groupBy("__head").agg(F.count(F.lit(1)).alias("__n"))
-    # Four hexadecimal digits: never more than 65,536 rows, so one ordered pass over them is small.
-    running = Window.partitionBy(F.lit(0)).orderBy("__head").rowsBetween(Window.unboundedPreceding, 0)
-    upto, quota = F.sum("__n").over(running), F.ceil(F.sum("__n").over(Window.partitionBy(F.lit(0))) * F.lit(test_size))
-    limit = (
-        heads.select("__head", (quota - upto + F.col("__n")).alias("__room"), "__n")
-        .where(F.col("__room").between(1, F.col("__n"))).first())
-    if limit is None:
-        return df.withColumn("is_test", F.lit(False))
-    last = hashed.where(F.col("__head") == limit["__head"]).orderBy("__hash").offset(limit["__room"] - 1).first()
-    return df.withColumn("is_test", digits <= F.lit(last["__hash"]))
+    hashed = df.select(digits.alias("__hash"))
+    prefix, room = "", None
+    while len(prefix) < _DIGITS:
+        here = hashed.where(F.substring("__hash", 1, len(prefix)) == prefix) if prefix else hashed
+        counts = sorted(map(tuple, here.groupBy(F.substring("__hash", len(prefix) + 1, 4)).count().collect()))
+        if room is None:
+            room = math.ceil(sum(n for _, n in counts) * test_size)
+            if not room:
+                return df.withColumn("is_test", F.lit(False))
+        for head, n in counts:
+            if n >= room:
+                break
+            room -= n
+        prefix += head
+        if n == room:
+            break
+    return df.withColumn("is_test", F.substring(digits, 1, len(prefix)) <= F.lit(prefix))
 
 
 def train_test(df: DataFrame, key: str, labels: Sequence[str] | None = None, **options) -> tuple[DataFrame, ...]:

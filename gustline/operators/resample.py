@@ -35,19 +35,17 @@ def _bucketed(df: DataFrame, step: int, keys: Sequence[str], time: str) -> DataF
 
 
 def bucket_aggregate(df: DataFrame, rules: dict[str, str], step: int, keys: Sequence[str] = KEYS,
-                     time: str = "valid", large: int | None = None) -> DataFrame:
+                     time: str = "valid") -> DataFrame:
     """One row per key and non-empty, numbered bucket: mean, max or exact median of each column; nulls are skipped.
 
     Medians of code columns come from one counter per code. Other medians use a bounded sketch, exact up
-    to ``SMALL_GROUP`` rows. ``large`` is the number of buckets above that, counted here if not given
-    (reports unique per time cannot have any: pass 0); such buckets are ranked by
-    :func:`exact_quantiles`, which never holds a bucket in one place.
+    to ``SMALL_GROUP`` rows; buckets above that are counted first and ranked by :func:`exact_quantiles`,
+    which never holds a bucket in one place. Results are exact for any bucket.
     """
     keys = list(keys)
     rows = _bucketed(df, step, keys, time)
     medians = [c for c, rule in rules.items() if rule == "median"]
-    if large is None:
-        large = large_buckets(df, step, keys, time) if medians else 0
+    large = large_buckets(df, step, keys, time) if medians else 0
     aggregates = []
     for c, rule in rules.items():
         if rule == "mean":
@@ -113,12 +111,11 @@ def expand_gaps(df: DataFrame) -> DataFrame:
 
 
 def resample(df: DataFrame, rules: dict[str, str] | None = None, frequency: str | int = "1 hour",
-             keys: Sequence[str] = KEYS, time: str = "valid", dense: bool = True,
-             large: int | None = None) -> DataFrame:
+             keys: Sequence[str] = KEYS, time: str = "valid", dense: bool = True) -> DataFrame:
     """Bucket aggregates per key; with ``dense`` every bucket from first to last is present."""
     step = step_seconds(frequency)
     rules = known_rules(df, keys, time) if rules is None else rules
-    buckets = bucket_aggregate(df, rules, step, keys, time, large)
+    buckets = bucket_aggregate(df, rules, step, keys, time)
     if not dense:
         return buckets.select(*keys, bucket_time(F.col(BUCKET), step).alias(time), *rules)
     grid = expand_gaps(with_neighbours(buckets, BUCKET, [], keys, CHUNK_BUCKETS))

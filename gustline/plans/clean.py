@@ -45,18 +45,17 @@ def encode_reports(df: DataFrame, columns: Sequence[str], keys: Sequence[str], t
 
 
 def clean(df: DataFrame, main: bool = True, frequency: str | int = "1 hour", keys: Sequence[str] = KEYS,
-          time: str = "valid", with_start: bool = False, large: int | None = None) -> DataFrame:
+          time: str = "valid", with_start: bool = False) -> DataFrame:
     """Encode, resample, fill; one row per station and bucket, no gaps, all measurements double.
 
     Filling is decided on the non-empty buckets: each carries its neighbours' values, so the rows of a
     gap are computed where they are generated and the dense series never passes a sort or an exchange.
-    ``with_start`` adds the first time of the station's series; ``large`` is passed to
-    :func:`~gustline.operators.resample.bucket_aggregate`.
+    ``with_start`` adds the first time of the station's series.
     """
     step = step_seconds(frequency)
     columns = kept_measurements(df.columns, main)
     rules = {c: RULES[c] for c in columns} | {c: "max" for c in _reported(columns)}
-    buckets = bucket_aggregate(encode_reports(df, columns, keys, time), rules, step, keys, time, large)
+    buckets = bucket_aggregate(encode_reports(df, columns, keys, time), rules, step, keys, time)
     checked = buckets.select(*keys, BUCKET, *[
         whole_code(F.col(c)).alias(c) if c in CHECKED_CODE_COLUMNS else F.col(c) for c in [*columns, *_reported(columns)]])
     carried = [c for c in columns if c not in INDICATOR_COLUMNS] + _reported(columns)

@@ -89,11 +89,10 @@ def run_network_ingest(pages: DataFrame, html: str, path: str) -> None:
     write_networks(network_options(pages, html), path)
 
 
-def run_clean(spark: SparkSession, layout: Layout, stations=None, since=None, until=None, main: bool = True,
-              unique_times: bool = True) -> DataFrame:
-    """Clean the fetched table; ``unique_times`` says that ingest removed duplicates."""
+def run_clean(spark: SparkSession, layout: Layout, stations=None, since=None, until=None, main: bool = True) -> DataFrame:
+    """Clean the fetched table."""
     reports = scan_observations(spark, layout.fetched, since=since, until=until, stations=stations)
-    write_observations(clean(reports, main=main, large=0 if unique_times else None), layout.clean)
+    write_observations(clean(reports, main=main), layout.clean)
     return _clean_table(spark, layout, stations, since, until, main)
 
 
@@ -135,9 +134,9 @@ def run_split(spark: SparkSession, layout: Layout, stations=None, since=None, un
 
 
 def run_preprocess(spark: SparkSession, layout: Layout, stations=None, since=None, until=None, main: bool = True,
-                   split: str = "", scaler=None, refit: bool = False, unique_times: bool = True) -> None:
+                   split: str = "", scaler=None, refit: bool = False) -> None:
     """Clean once, then scale and split from the written clean table."""
-    run_clean(spark, layout, stations, since, until, main, unique_times)
+    run_clean(spark, layout, stations, since, until, main)
     if scaler is not None:
         run_scale(spark, layout, stations, since, until, main, scaler, refit)
     if split:

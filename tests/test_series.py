@@ -143,7 +143,7 @@ def test_clean_does_not_depend_on_partitions_or_zone(spark, obs):
 def test_one_scan_and_one_exchange_per_key(spark, obs, tmp_path):
     obs([(s, f"2024-01-0{d} 00:00", float(d), 1.0) for s in "ab" for d in range(1, 9)], ["tmpf", "skyl1"]).write.parquet(
         str(tmp_path / "o"))
-    df = clean(spark.read.parquet(str(tmp_path / "o")), large=0)
+    df = clean(spark.read.parquet(str(tmp_path / "o")))
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[0].count("ReusedExchange") == 1
