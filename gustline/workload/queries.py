@@ -428,7 +428,7 @@ def _params(params: DataFrame) -> DataFrame:
     return rounded(params.select(*KEYS, "column", "center", "scale"), ("center", "scale"))
 
 
-_NUMERIC = ["tmpf", "dwpf", "relh", "sknt", "skyl1", "feel"]
+_NUMERIC = ["tmpf", "dwpf", "relh", "drct", "sknt", "p01i", "vsby", "gust", "skyl1", "feel"]
 
 
 @query("q_fit_minmax", O.chain(O.observations("user"), O.minmax_params(_NUMERIC, "obs"), final=_PARAMS))
@@ -489,7 +489,7 @@ def missing_counts(spark, folder):
     return profile.missing_counts(V.obs(spark, folder), _ALL, KEYS)
 
 
-_PROFILED = ["tmpf", "sknt", "skyl1"]
+_PROFILED = _NUMERIC
 _VALUES = ("vals", " UNION ALL ".join(f"""SELECT '{c}' AS "column", {c} AS value FROM obs WHERE {c} IS NOT NULL""" for c in _PROFILED))
 _QUARTILES = ("quart", """SELECT "column", count(*) AS rows, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS med,
     quantile_cont(value, 0.75) AS q3, min(value) AS low, max(value) AS high, avg(value) AS mean FROM vals GROUP BY 1""")
@@ -678,21 +678,25 @@ def cyclical(spark, folder):
     return rounded(found, ("drct_sin", "drct_cos"))
 
 
-@query("q_scale_minmax", O.chain(O.observations("user"), O.minmax_params(_NUMERIC, "obs"),
+# One row of parameters per station, so that one join serves all columns.
+_WIDE = ("wide", "SELECT network, station, " + ", ".join(
+    f"""max(CASE WHEN "column" = '{c}' THEN {v} END) AS {v}_{c}""" for c in _NUMERIC for v in ("center", "scale")) + " FROM params GROUP BY 1, 2")
+_WITH_WIDE = " FROM obs o LEFT JOIN wide p ON p.network = o.network AND p.station = o.station"
+
+
+@query("q_scale_minmax", O.chain(O.observations("user"), O.minmax_params(_NUMERIC, "obs"), _WIDE,
     final="SELECT o.network, o.station, o.valid, " + ", ".join(
-        O.r6(f"CASE WHEN {c} IS NULL THEN NULL ELSE greatest(least((o.{c} - p_{c}.center) / p_{c}.scale * 2e0 - 1e0, 1e0), -1e0) END")
-        + f" AS {c}" for c in _NUMERIC) + " FROM obs o " + " ".join(
-        f"""JOIN params p_{c} ON p_{c}."column" = '{c}' AND p_{c}.network = o.network AND p_{c}.station = o.station""" for c in _NUMERIC)))
+        O.r6(f"CASE WHEN o.{c} IS NULL THEN NULL ELSE greatest(least((o.{c} - p.center_{c}) / p.scale_{c} * 2e0 - 1e0, 1e0), -1e0) END")
+        + f" AS {c}" for c in _NUMERIC) + _WITH_WIDE))
 def scale_minmax(spark, folder):
     df = V.obs(spark, folder, "user").select(*KEYS, "valid", *_NUMERIC)
     scaled, _ = scale.scale(df, "minmax", feature_range=(-1, 1), clip=True)
     return rounded(scaled, _NUMERIC)
 
 
-@query("q_scale_standard", O.chain(O.observations("user"), O.standard_params(_NUMERIC, "obs"),
+@query("q_scale_standard", O.chain(O.observations("user"), O.standard_params(_NUMERIC, "obs"), _WIDE,
     final="SELECT o.network, o.station, o.valid, " + ", ".join(
-        O.r6(f"(o.{c} - p_{c}.center) / p_{c}.scale") + f" AS {c}" for c in _NUMERIC) + " FROM obs o " + " ".join(
-        f"""JOIN params p_{c} ON p_{c}."column" = '{c}' AND p_{c}.network = o.network AND p_{c}.station = o.station""" for c in _NUMERIC)))
+        O.r6(f"(o.{c} - p.center_{c}) / p.scale_{c}") + f" AS {c}" for c in _NUMERIC) + _WITH_WIDE))
 def scale_standard(spark, folder):
     df = V.obs(spark, folder, "user").select(*KEYS, "valid", *_NUMERIC)
     scaled, _ = scale.scale(df, "standard")
@@ -881,7 +885,7 @@ def _stored(spark, folder) -> stages.Layout:
 @query("q_scale_stage", O.chain(*O.clean_steps(), O.standard_params(_MAIN), O.scaled_wide(_MAIN), final=O.rounded(_MAIN, source="scaled")))
 def scale_stage(spark, folder):
     layout = _stored(spark, folder)
-    stages.run_clean(spark, layout, unique_times=False)
+    stages.run_clean(spark, layout)
     return rounded(stages.run_scale(spark, layout, scaler="standard")["standard"].select(*KEYS, "valid", *_MAIN), _MAIN)
 
 
@@ -891,7 +895,7 @@ _SMOOTH_ROWS = f"""SELECT network, station, "column", day, slot, {O.r6('smooth')
 @query("q_split_stage", O.chain(*_SMOOTH_STEPS, final=_SMOOTH_ROWS))
 def split_stage(spark, folder):
     layout = _stored(spark, folder)
-    stages.run_clean(spark, layout, unique_times=False)
+    stages.run_clean(spark, layout)
     found = stages.run_split(spark, layout)["clean"]
     return flat(found.select(*_SERIES, "values"))
 
@@ -900,14 +904,14 @@ def split_stage(spark, folder):
                                *O.lowess_steps(24, 9), final=_SMOOTH_ROWS))
 def preprocess(spark, folder):
     layout = _stored(spark, folder)
-    stages.run_preprocess(spark, layout, split="all", scaler="minmax", unique_times=False)
+    stages.run_preprocess(spark, layout, split="all", scaler="minmax")
     return flat(spark.read.parquet(layout.split("scaled_minmax")).select(*_SERIES, "values"))
 
 
 @query("q_cluster_days")
 def cluster_days(spark, folder):
     layout = _stored(spark, folder)
-    stages.run_preprocess(spark, layout, split="clean", unique_times=False)
+    stages.run_preprocess(spark, layout, split="clean")
     return stages.run_cluster(spark, layout, clusters=3, seed=1, max_iter=4)
 
 
