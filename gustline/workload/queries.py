@@ -342,12 +342,12 @@ def column_gates(spark, folder):
 
 # === joins ===========================================================================================
 
-def _nearest_sql(match: str, keys: str) -> str:
+def _nearest_sql(match: str, keys: str, points: str = "fires") -> str:
     return f"""SELECT {keys}, arg_min(seq, (d, seq)) AS seq, arg_min(slat, (d, seq)) AS station_lat,
         arg_min(slon, (d, seq)) AS station_lon, {O.r6('min(d)')} AS distance FROM (
         SELECT {', '.join('f.' + k.strip() for k in keys.split(','))}, s.seq, s.lat AS slat, s.lon AS slon,
           sqrt((f.lat - s.lat) * (f.lat - s.lat) + (f.lon - s.lon) * (f.lon - s.lon)) AS d
-        FROM (SELECT DISTINCT {keys} FROM fires) f JOIN stations s ON {match}) x GROUP BY {keys}"""
+        FROM (SELECT DISTINCT {keys} FROM {points}) f JOIN stations s ON {match}) x GROUP BY {keys}"""
 
 
 @query("q_nearest", O.chain(O.STATIONS, O.FIRES, final=_nearest_sql("true", "lat, lon")))
@@ -355,6 +355,13 @@ def nearest_station(spark, folder):
     return rounded(nearest.nearest_station(V.fires(spark, folder), V.stations(spark, folder)), ("distance",))
 
 
+@query("q_nearest_outside", O.chain(O.STATIONS, O.FIRES, ("far", """SELECT lat + (fire_id % 4) * 15e0 AS lat,
+    lon - (fire_id % 3) * 400e0 AS lon FROM fires"""), final=_nearest_sql("true", "lat, lon", "far")))
+def nearest_outside(spark, folder):
+    far = V.fires(spark, folder).select(F.expr("lat + (fire_id % 4) * 15e0").alias("lat"), F.expr("lon - (fire_id % 3) * 400e0").alias("lon"))
+    return rounded(nearest.nearest_station(far, V.stations(spark, folder)), ("distance",))
+
+
 @query("q_nearest_by_network", O.chain(O.STATIONS, O.FIRES, final=_nearest_sql("f.network = s.network", "network, lat, lon")))
 def nearest_by_network(spark, folder):
     found = nearest.nearest_station(V.fires(spark, folder), V.stations(spark, folder), within=("network",))

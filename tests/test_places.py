@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from conftest import table
 from gustline.functions import geo
 from gustline.functions.popup import attributes, display_name
-from gustline.operators import profile
+from gustline.operators import nearest, profile
 from gustline.operators.nearest import nearest_station
 from gustline.plans import layers
 
@@ -103,6 +103,22 @@ def test_by_key_and_carried_columns(spark):
     assert table(found.select("fire", "sid"), "fire") == [(1, "X"), (2, "X")]
 
 
+@pytest.mark.parametrize("low, high", [((0, 0), (10, 10)), ((0, 11), (10, 21)), ((11, 11), (15, 15)), ((-1e4, 1e3), (1e4, 1e4))])
+def test_rows_of_every_join_stay_near_linear(spark, monkeypatch, low, high):
+    """Points inside, beside, diagonal to and far from the stations: each join yields a bounded number of rows a unit."""
+    rng = random.Random(4)
+    stations = [(i, rng.uniform(0, 10), rng.uniform(0, 10)) for i in range(3000)]
+    points = [(rng.uniform(low[0], high[0]), rng.uniform(low[1], high[1])) for _ in range(500)]
+    joins, possible = [], nearest._possible
+    monkeypatch.setattr(nearest, "_possible", lambda met, *a: joins.append(met) or possible(met, *a))
+    found = {(r.lat, r.lon): r.distance for r in nearest_station(*frames(spark, points, stations)).collect()}
+    assert all(met.count() <= 40 * len(points) for met in joins)
+    places = np.array([s[1:] for s in stations])
+    for p in points:
+        expected = np.sqrt(((places - np.array(p)) ** 2).sum(axis=1)).min()
+        assert abs(found[p] - expected) <= 1e-12 * max(1.0, expected)
+
+
 def test_plan_has_no_cross_join(spark):
     rng = random.Random(0)
     plan = nearest_station(*frames(spark, uniform(rng, 50), [(i, *p) for i, p in enumerate(uniform(rng, 20))]))
