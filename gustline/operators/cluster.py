@@ -1,7 +1,8 @@
 """K-means: Euclidean over feature arrays, and DTW with barycenter averaging per group of series.
 
 The DTW fit trains every group (station and column) at once. The state is one row per group; rows stay
-distributed and each step sends only per-batch sums to one small aggregation.
+distributed, in blocks of days that meet their group's centers once, and each step sends only per-batch sums to one
+small aggregation.
 """
 
 from __future__ import annotations
@@ -15,13 +16,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gustline.operators.dtw import as_matrix, dtw_label, nearest_center, path_sums
+from gustline.functions.timeline import epoch_micros
+from gustline.operators.dtw import SLICE, as_matrix, as_series, dtw_labels, nearest_center, path_sums
 from gustline.schema import KEYS
 from gustline.storage import materialize
 
 GROUP = (*KEYS, "column")
 # Iteration cap and tolerance of a fit.
 MAX_ITER, TOLERANCE = 50, 1e-6
+# Rows of one group and this many days are handled together.
+BLOCK_DAYS = 64
 # Values of the centers that one pass over the rows holds; more centers take more passes in the same task.
 _CENTER_VALUES = 4_000_000
 
@@ -76,13 +80,17 @@ def _nearer(block: list, kind: str):
 
 # --- DTW ---------------------------------------------------------------------------------------------
 
-def _codes(batch: pa.RecordBatch, group: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Group number of every row, and the first row of every group."""
-    parts = [pc.fill_null(pc.cast(batch.column(g), pa.string()), "\x00") for g in group]
-    joined = pc.binary_join_element_wise(*parts, "\x1f") if len(parts) > 1 else parts[0]
-    codes = np.asarray(joined.dictionary_encode().indices)
-    _, first = np.unique(codes, return_index=True)
-    return codes, first
+def _stretch() -> Column:
+    return F.floor(epoch_micros(F.col("day")) / F.lit(BLOCK_DAYS * 86_400_000_000))
+
+
+def _blocks(df: DataFrame, group: Sequence[str], seed: int) -> DataFrame:
+    """The series of one group and stretch of days in one row, each with a hash, so that centers travel once a block."""
+    rows = df.where(~F.exists("values", lambda v: v.isNull())).select(
+        *group, _stretch().alias("__block"), "day", F.col("values").cast("array<double>").alias("values"),
+        F.xxhash64(F.lit(seed), *[F.col(g) for g in group], F.col("day").cast("string")).alias("h"))
+    listed = rows.groupBy(*group, "__block").agg(F.sort_array(F.collect_list(F.struct("day", "h", "values"))).alias("s"))
+    return listed.select(*group, F.col("s.values").alias("values"), F.col("s.h").alias("h"))
 
 
 def _lists(matrix: np.ndarray) -> pa.Array:
@@ -90,145 +98,176 @@ def _lists(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * width, type=pa.int32()), pa.array(matrix.ravel()))
 
 
+def _codes(batch: pa.RecordBatch, group: Sequence[str]) -> np.ndarray:
+    """Group number of every row of the batch."""
+    parts = [pc.fill_null(pc.cast(batch.column(g), pa.string()), "\x00") for g in group]
+    joined = pc.binary_join_element_wise(*parts, "\x1f") if len(parts) > 1 else parts[0]
+    return np.asarray(joined.dictionary_encode().indices)
+
+
 def _group_fields(df: DataFrame, group: Sequence[str]) -> list[T.StructField]:
     return [df.schema[g] for g in group]
 
 
-def _race(rows: DataFrame, state: DataFrame, group: Sequence[str], seed: int, turn: int) -> DataFrame:
-    """K-means++ draw: one row per group, each with chance in proportion to its squared distance.
+def _waits(h: np.ndarray, turn: int) -> np.ndarray:
+    """-log(u) with u from the row's hash and the turn (64-bit finalizer of a multiplicative hash)."""
+    z = h.view(np.uint64) + np.uint64((turn + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return -np.log(((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2.0**53 + 2.0**-54)
+
+
+def _draw(blocks: DataFrame, newest: DataFrame | None, group: Sequence[str], turn: int) -> DataFrame:
+    """K-means++ draw: each block's candidate (``wait``, ``pick``), beside the blocks with their least distances ``near``.
 
-    Every row gets a waiting time -log(u) / distance² with u from its hash; the shortest wins, so the draw
-    is an aggregate and does not depend on partitioning. Each batch passes on its winner per group only.
+    Every row gets a waiting time -log(u) / distance² with u from its hash; the shortest wins, so the draw is an
+    aggregate and does not depend on partitioning. ``near`` is carried on: only the newest center is aligned.
     """
-    u = (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(f"{seed}:{turn}"), *[F.col(g) for g in group],
-                                              F.col("day").cast("string"))), 1, 12), 16, 10).cast("double") + 0.5) / 16.0**12
     width = len(group)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            x = as_matrix(batch.column(width))
-            wait = -np.log(np.asarray(batch.column(width + 1)))
+            x, owner, starts = as_series(batch.column(width))
+            wait = _waits(np.asarray(batch.column(width + 1).flatten()), turn)
+            near = np.full(len(x), np.inf)
             if turn:
-                _, cost = nearest_center(x, as_matrix(batch.column(width + 2)).reshape(len(x), turn, -1))
+                before = batch.column(width + 2).flatten()
+                if len(before):
+                    near = np.asarray(before)
+                near = np.minimum(near, nearest_center(x, as_matrix(batch.column(width + 3))[:, None, :], owner)[1])
                 # Rows that coincide with a center come last, in hash order.
-                wait = np.where(cost > 0, wait / np.where(cost > 0, cost, 1.0), 1e300 * (1 + wait / 100))
-            codes, _ = _codes(batch, group)
-            order = np.lexsort((wait, codes))
-            winners = order[np.unique(codes[order], return_index=True)[1]]
-            take = pa.array(winners)
+                wait = np.where(near > 0, wait / np.where(near > 0, near, 1.0), 1e300 * (1 + wait / 100))
+            order = np.lexsort((wait, owner))
+            winners = order[np.unique(owner[order], return_index=True)[1]]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(i).take(take) for i in range(width)] + [pa.array(wait[winners]), batch.column(width).take(take)],
-                names=[*group, "wait", "values"])
+                [batch.column(i) for i in range(width + 2)] + [
+                    pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(near)), pa.array(wait[winners]), _lists(x[winners])],
+                names=[*group, "values", "h", "near", "wait", "pick"])
 
-    joined = rows.select(*group, "values", u.alias("u"))
-    if turn:
-        joined = rows.select(*group, "values", u.alias("u")).join(state.select(*group, "centers"), list(group))
-    schema = T.StructType(_group_fields(rows, group) + [
-        T.StructField("wait", T.DoubleType()), T.StructField("values", T.ArrayType(T.DoubleType()))])
-    return joined.mapInArrow(best, schema).groupBy(*group).agg(F.min_by("values", "wait").alias("picked"))
+    doubles = T.ArrayType(T.DoubleType())
+    schema = T.StructType(_group_fields(blocks, group) + [
+        blocks.schema["values"], blocks.schema["h"], T.StructField("near", doubles),
+        T.StructField("wait", T.DoubleType()), T.StructField("pick", doubles)])
+    if newest is None:
+        return blocks.select(*group, "values", "h").mapInArrow(best, schema)
+    known = blocks.select(*group, "values", "h", "near").join(newest, list(group))
+    return known.select(*group, "values", "h", "near", "picked").mapInArrow(best, schema)
 
 
-def _seed_centers(rows: DataFrame, group: Sequence[str], clusters: int, seed: int) -> DataFrame:
-    state = None
+def _seed_centers(blocks: DataFrame, group: Sequence[str], clusters: int) -> DataFrame:
+    state, newest = None, None
     for turn in range(clusters):
-        picked = _race(rows, state, group, seed, turn)
-        if state is None:
-            state = picked.select(*group, F.col("picked").alias("centers"))
-        else:
-            state = state.join(picked, list(group)).select(*group, F.concat("centers", "picked").alias("centers"))
-        state = materialize(state, "centers")
+        if turn == 1:
+            blocks = blocks.withColumn("near", F.array().cast("array<double>"))
+        drawn = _draw(blocks, newest, group, turn)
+        if 0 < turn < clusters - 1:
+            blocks = drawn = materialize(drawn, "drawn")
+        newest = materialize(drawn.groupBy(*group).agg(F.min_by("pick", "wait").alias("picked")), "picked")
+        state = newest.withColumnRenamed("picked", "centers") if state is None else state.join(newest, list(group)).select(
+            *group, F.concat("centers", "picked").alias("centers"))
     return state
 
 
-def _partials(rows: DataFrame, state: DataFrame, group: Sequence[str], clusters: int, labelled: bool) -> DataFrame:
-    """Per batch, group and cluster: aligned sums and counts, rows, squared distances, the farthest row."""
+def _partials(blocks: DataFrame, state: DataFrame, group: Sequence[str], clusters: int, labelled: bool) -> DataFrame:
+    """Per batch, group and cluster: squared distances and rows, then aligned sums and counts; the farthest row."""
     width = len(group)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            x = as_matrix(batch.column(width))
-            centers = as_matrix(batch.column(width + 1)).reshape(len(x), clusters, -1)
+            x, owner, _ = as_series(batch.column(width))
+            centers = as_matrix(batch.column(width + 1)).reshape(batch.num_rows, clusters, -1)
             if labelled:
-                label = np.asarray(batch.column(width + 2), dtype=np.int64)
-                cost = np.zeros(len(x))
+                label, cost = np.asarray(batch.column(width + 2).flatten(), dtype=np.int64), np.zeros(len(x))
             else:
-                label, cost = nearest_center(x, centers)
-            codes, _ = _codes(batch, group)
-            _, first, target = np.unique(codes * clusters + label, return_index=True, return_inverse=True)
-            total, count = np.zeros((len(first), centers.shape[2])), np.zeros((len(first), centers.shape[2]))
-            path_sums(centers[np.arange(len(x)), label], x, target, total, count)
+                label, cost = nearest_center(x, centers, owner)
+            _, first, target = np.unique(_codes(batch, group)[owner] * clusters + label, return_index=True, return_inverse=True)
+            points = centers.shape[2]
+            total, count = np.zeros((len(first), points + 1)), np.zeros((len(first), points + 1))
+            total[:, 0], count[:, 0] = np.bincount(target, weights=cost), np.bincount(target)
+            for begin in range(0, len(x), SLICE):
+                part = slice(begin, begin + SLICE)
+                path_sums(centers[owner[part], label[part]], x[part], target[part], total[:, 1:], count[:, 1:])
             order = np.lexsort((-cost, target))
             far = order[np.unique(target[order], return_index=True)[1]]
-            take = pa.array(first)
+            take = pa.array(owner[first])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i).take(take) for i in range(width)] + [
-                    pa.array(label[first].astype(np.int32)), _lists(total), _lists(count),
-                    pa.array(np.bincount(target, minlength=len(first)).astype(np.int64)),
-                    pa.array(np.bincount(target, weights=cost, minlength=len(first))),
-                    pa.array(cost[far]), _lists(x[far])],
-                names=[*group, "cluster", "total", "count", "rows", "squares", "far", "far_values"])
+                    pa.array(label[first].astype(np.int32)), _lists(total), _lists(count), pa.array(cost[far]), _lists(x[far])],
+                names=[*group, "cluster", "total", "count", "far", "far_values"])
 
     doubles = T.ArrayType(T.DoubleType())
-    schema = T.StructType(_group_fields(rows, group) + [
+    schema = T.StructType(_group_fields(blocks, group) + [
         T.StructField("cluster", T.IntegerType()), T.StructField("total", doubles), T.StructField("count", doubles),
-        T.StructField("rows", T.LongType()), T.StructField("squares", T.DoubleType()),
         T.StructField("far", T.DoubleType()), T.StructField("far_values", doubles)])
-    extra = ["cluster"] if labelled else []
-    joined = rows.select(*group, "values", *extra).join(
+    extra = ["label"] if labelled else []
+    joined = blocks.select(*group, "values", *extra).join(
         state.where(~F.col("done")).select(*group, "centers"), list(group))
     return joined.select(*group, "values", "centers", *extra).mapInArrow(sums, schema)
 
 
-def _step(rows: DataFrame, state: DataFrame, group: Sequence[str], clusters: int, tolerance: float,
+def _step(blocks: DataFrame, state: DataFrame, group: Sequence[str], clusters: int, tolerance: float,
           labelled: bool) -> DataFrame:
-    """Next state: new centers; an empty cluster restarts from the group's farthest row."""
-    parts = materialize(_partials(rows, state, group, clusters, labelled), "partials")
-    cells = parts.select(*group, "cluster", F.posexplode(F.arrays_zip("total", "count")).alias("place", "s"))
-    positions = cells.groupBy(*group, "cluster", "place").agg((F.sum("s.total") / F.sum("s.count")).alias("value"))
-    centers = positions.groupBy(*group, "cluster").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("place", "value"))), lambda s: s["value"]).alias("center"))
-    by_group = centers.groupBy(*group).agg(F.map_from_entries(F.collect_list(F.struct("cluster", "center"))).alias("found"))
-    totals = parts.groupBy(*group).agg(
-        (F.sum("squares") / F.sum("rows")).alias("now"), F.max_by("far_values", "far").alias("far"))
-    moved = F.flatten(F.transform(
-        F.sequence(F.lit(0), F.lit(clusters - 1)), lambda i: F.coalesce(F.try_element_at(F.col("found"), i), F.col("far"))))
-    next_rows = state.join(by_group, list(group), "left").join(totals, list(group), "left")
+    """Next state: new centers; an empty cluster restarts from the group's farthest row. One pass over the blocks."""
+    cells = _partials(blocks, state, group, clusters, labelled).select(
+        *group, "cluster", "far", "far_values", F.posexplode(F.arrays_zip("total", "count")).alias("place", "s"))
+    # Place 0 has the squared distances and the rows of the cluster.
+    places = cells.groupBy(*group, "cluster", "place").agg(
+        F.sum("s.total").alias("total"), F.sum("s.count").alias("count"),
+        F.max(F.when(F.col("place") == 0, F.struct("far", "far_values"))).alias("far"))
+    head = F.col("place") == 0
+    found = places.groupBy(*group).agg(
+        (F.sum(F.when(head, F.col("total"))) / F.sum(F.when(head, F.col("count")))).alias("now"),
+        F.max("far")["far_values"].alias("far"),
+        F.sort_array(F.collect_list(F.when(~head, F.struct("cluster", "place", (F.col("total") / F.col("count")).alias("value"))))).alias("found"))
+
+    def center(i: Column) -> Column:
+        own = F.filter("found", lambda f: f["cluster"] == i)
+        return F.when(F.size(own) > 0, F.transform(own, lambda f: f["value"])).otherwise(F.col("far"))
+
+    moved = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(clusters - 1)), center))
+    following = state.join(found, list(group), "left")
     active = F.col("found").isNotNull()
     if labelled:
         # Labels did not change: only the centers move on.
-        return next_rows.select(
+        return following.select(
             *group, F.when(active, moved).otherwise(F.col("centers")).alias("centers"), "inertia", "iterations", "done")
-    settled = F.abs(F.col("inertia") - F.col("now")) < tolerance
-    return next_rows.select(
+    settled = F.coalesce(F.abs(F.col("inertia") - F.col("now")) < tolerance, F.lit(False))
+    return following.select(
         *group,
         # A settled group keeps the centers its last inertia was measured with.
-        F.when(active & ~F.coalesce(settled, F.lit(False)), moved).otherwise(F.col("centers")).alias("centers"),
+        F.when(active & ~settled, moved).otherwise(F.col("centers")).alias("centers"),
         F.coalesce("now", "inertia").alias("inertia"),
         (F.col("iterations") + active.cast("int")).alias("iterations"),
-        (F.col("done") | F.coalesce(settled, F.lit(False))).alias("done"))
+        (F.col("done") | settled).alias("done"))
+
+
+def starting_state(centers: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
+    """State of a fit before its first step, from one row of flat ``centers`` per group."""
+    return centers.select(*group, "centers", F.lit(None).cast("double").alias("inertia"), F.lit(0).alias("iterations"),
+                          F.lit(False).alias("done"))
 
 
 def fit_dtw_kmeans(df: DataFrame, clusters: int = 5, group: Sequence[str] = GROUP, seed: int = 0,
-                   max_iter: int = MAX_ITER, tolerance: float = TOLERANCE, barycenter_steps: int = 1) -> DataFrame:
+                   max_iter: int = MAX_ITER, tolerance: float = TOLERANCE, barycenter_steps: int = 1,
+                   start: DataFrame | None = None) -> DataFrame:
     """Model table ``(group..., cluster, center, inertia, iterations)``.
 
     ``df`` has the group columns, ``day`` and ``values`` of one length. Rows with missing values cannot be
     compared and are left out. Ends when no group's inertia moves by ``tolerance``, or after ``max_iter``.
+    ``start`` (group..., cluster, center) replaces the seeded draw.
     """
-    rows = materialize(
-        df.where(~F.exists("values", lambda v: v.isNull())).select(*group, "day", F.col("values").cast("array<double>")),
-        "series")
-    state = _seed_centers(rows, group, clusters, seed).select(
-        *group, "centers", F.lit(None).cast("double").alias("inertia"), F.lit(0).alias("iterations"),
-        F.lit(False).alias("done"))
+    blocks = materialize(_blocks(df, group, seed), "blocks")
+    state = starting_state(_seed_centers(blocks, group, clusters) if start is None else _flat_centers(start, group), group)
     for _ in range(max_iter):
-        state = materialize(_step(rows, state, group, clusters, tolerance, labelled=False), "centers")
+        state = materialize(_step(blocks, state, group, clusters, tolerance, labelled=False), "centers")
         if barycenter_steps > 1:
-            fixed = materialize(label_rows(rows, state, group).select(*group, "values", "cluster"), "labels")
+            near = dtw_labels(F.col("values"), F.col("centers"))
+            fixed = materialize(blocks.join(state.select(*group, "centers"), list(group)).withColumn("__near", near).select(
+                *group, "values", F.col("__near.cluster").alias("label")), "labels")
             for _ in range(barycenter_steps - 1):
                 state = materialize(_step(fixed, state, group, clusters, tolerance, labelled=True), "centers")
         if state.where(~F.col("done")).isEmpty():
@@ -236,6 +275,11 @@ def fit_dtw_kmeans(df: DataFrame, clusters: int = 5, group: Sequence[str] = GROU
     return centers_table(state, clusters, group)
 
 
+def _flat_centers(model: DataFrame, group: Sequence[str]) -> DataFrame:
+    return model.groupBy(*group).agg(F.flatten(F.transform(
+        F.sort_array(F.collect_list(F.struct("cluster", "center"))), lambda s: s["center"])).alias("centers"))
+
+
 def centers_table(state: DataFrame, clusters: int, group: Sequence[str]) -> DataFrame:
     width = (F.size("centers") / clusters).cast("int")
     parts = F.transform(F.sequence(F.lit(0), F.lit(clusters - 1)), lambda i: F.struct(
@@ -244,17 +288,16 @@ def centers_table(state: DataFrame, clusters: int, group: Sequence[str]) -> Data
         *group, "c.cluster", "c.center", "inertia", "iterations")
 
 
-def label_rows(rows: DataFrame, state: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
-    joined = rows.join(state.select(*group, "centers"), list(group))
-    return joined.withColumn("__near", dtw_label(F.col("values"), F.col("centers"))).select(
-        *rows.columns, "__near.cluster", "__near.distance")
-
-
 def assign_dtw(df: DataFrame, model: DataFrame, group: Sequence[str] = GROUP) -> DataFrame:
-    """Add ``cluster`` and ``distance``; one row of centers per group is joined, never row-center pairs."""
-    state = model.groupBy(*group).agg(F.flatten(F.transform(
-        F.sort_array(F.collect_list(F.struct("cluster", "center"))), lambda s: s["center"])).alias("centers"))
-    return label_rows(df.where(~F.exists("values", lambda v: v.isNull())), state, group)
+    """Add ``cluster`` and ``distance``; a group's centers are joined once per stretch of days, not once a row."""
+    others = [c for c in df.columns if c not in group]
+    packed = df.where(~F.exists("values", lambda v: v.isNull())).groupBy(*group, _stretch().alias("__block")).agg(
+        F.collect_list(F.struct(*others)).alias("__rows"))
+    near = dtw_labels(F.col("__rows.values"), F.col("centers"))
+    labelled = packed.join(_flat_centers(model, group), list(group)).withColumn("__near", near)
+    rows = labelled.select(*group, F.explode(F.arrays_zip("__rows", "__near")).alias("r"))
+    return rows.select(*[F.col(c) if c in group else F.col("r.__rows")[c].alias(c) for c in df.columns],
+                       F.col("r.__near.cluster").alias("cluster"), F.col("r.__near.distance").alias("distance"))
 
 
 # --- labels beside each other ------------------------------------------------------------------------

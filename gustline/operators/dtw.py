@@ -11,6 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Series that are aligned together; bounds the cost tables.
+SLICE = 4096
+
 
 def as_matrix(values: pa.Array) -> np.ndarray:
     """Lists of one length to a rows x points matrix."""
@@ -69,12 +72,24 @@ def path_sums(center: np.ndarray, rows: np.ndarray, target: np.ndarray, sums: np
         live = live[(at_i[live] > 0) & (at_j[live] > 0)]
 
 
-def nearest_center(rows: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index and squared distance of the nearest center; ``centers`` is rows x clusters x points."""
-    count, k, n = centers.shape
-    costs = squared_costs(np.repeat(rows, k, axis=0), centers.reshape(count * k, n)).reshape(count, k)
-    label = costs.argmin(axis=1)
-    return label, costs[np.arange(count), label]
+def as_series(blocks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lists of lists of one length: the matrix of all inner lists, the outer list of each, where each outer list starts."""
+    if isinstance(blocks, pa.ChunkedArray):
+        blocks = blocks.combine_chunks()
+    sizes = np.asarray(blocks.value_lengths().fill_null(0), dtype=np.int64)
+    return as_matrix(blocks.flatten()), np.repeat(np.arange(len(sizes)), sizes), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def nearest_center(rows: np.ndarray, centers: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index and squared distance of the nearest center, the first on a tie; row i is held against ``centers[owner[i]]``."""
+    label, least = np.zeros(len(rows), dtype=np.int64), np.full(len(rows), np.inf)
+    for begin in range(0, len(rows), SLICE):
+        part = slice(begin, begin + SLICE)
+        for c in range(centers.shape[1]):
+            cost = squared_costs(rows[part], centers[owner[part], c])
+            nearer = cost < least[part]
+            label[part][nearer], least[part][nearer] = c, cost[nearer]
+    return label, least
 
 
 def dtw_distance(a: Column, b: Column) -> Column:
@@ -99,22 +114,23 @@ def dtw_distance(a: Column, b: Column) -> Column:
     return distance(a, b)
 
 
-def dtw_label(values: Column, centers: Column) -> Column:
-    """Struct (cluster, distance) of the nearest center; ``centers`` holds them one after the other."""
+def dtw_labels(blocks: Column, centers: Column) -> Column:
+    """Per series of a block: struct (cluster, distance) of the nearest center; ``centers`` holds them one after the other."""
 
-    @F.arrow_udf("struct<cluster:int,distance:double>")
-    def label(rows: pa.Array, flat: pa.Array) -> pa.Array:
-        if isinstance(rows, pa.ChunkedArray):
-            rows, flat = rows.combine_chunks(), flat.combine_chunks()
-        found, cost = np.zeros(len(rows), dtype=np.int32), np.zeros(len(rows))
+    @F.arrow_udf("array<struct<cluster:int,distance:double>>")
+    def labels(series: pa.Array, flat: pa.Array) -> pa.Array:
+        if isinstance(series, pa.ChunkedArray):
+            series, flat = series.combine_chunks(), flat.combine_chunks()
+        x, owner, starts = as_series(series)
+        found, cost = np.zeros(len(x), dtype=np.int32), np.zeros(len(x))
         sizes = np.asarray(flat.value_lengths())
         # Groups may have models with different numbers of centers.
-        for size in np.unique(sizes):
-            members = np.nonzero(sizes == size)[0]
-            take = pa.array(members)
-            x = as_matrix(rows.take(take))
-            found[members], cost[members] = nearest_center(
-                x, as_matrix(flat.take(take)).reshape(len(x), -1, x.shape[1]))
-        return pa.StructArray.from_arrays([pa.array(found), pa.array(np.sqrt(cost))], names=["cluster", "distance"])
-
-    return label(values, centers)
+        for size in np.unique(sizes) if len(x) else []:
+            members = np.flatnonzero(sizes == size)
+            mine = np.flatnonzero(sizes[owner] == size)
+            own = as_matrix(flat.take(pa.array(members))).reshape(len(members), -1, x.shape[1])
+            found[mine], cost[mine] = nearest_center(x[mine], own, np.searchsorted(members, owner[mine]))
+        near = pa.StructArray.from_arrays([pa.array(found), pa.array(np.sqrt(cost))], names=["cluster", "distance"])
+        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), near)
+
+    return labels(blocks, centers)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gustline.functions import encode, geo, text, timeline
@@ -812,12 +812,21 @@ def _vectors(spark, folder) -> DataFrame:
     return V.table(spark, folder, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
 
 
-@query("q_kmeans_fit")
+# Groups far apart: what a fit must find is known, whatever it draws. The cluster's name is its first member.
+_APART = "x[i] + CASE WHEN i = label + 1 THEN 1e3 ELSE 0e0 END"
+
+
+@query("q_kmeans_fit", O.chain(
+    ("v", "SELECT vec_id, CAST(label AS INT) AS label, embedding::DOUBLE[] AS x, unnest(range(1, len(embedding) + 1)) AS i FROM embeddings"),
+    final=f"""SELECT min(vec_id) AS first_id, count(*) AS n, CAST(i - 1 AS INT) AS place, {O.r6('avg(' + _APART + ')')} AS value
+        FROM v GROUP BY label, i"""))
 def kmeans_fit(spark, folder):
     rows = _vectors(spark, folder)
-    centers = cluster.fit_kmeans(rows, "x", clusters=10, seed=1)
-    return cluster.assign_kmeans(rows, "x", centers).groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("distance") ** 2).alias("squares"))
+    rows = rows.withColumn("x", F.expr("transform(x, (v, i) -> v + CASE WHEN i = label THEN 1e3 ELSE 0e0 END)"))
+    centers = cluster.fit_kmeans(rows, "x", clusters=rows.select("label").distinct().count(), seed=1)
+    found = cluster.assign_kmeans(rows, "x", centers).groupBy("cluster").agg(
+        F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    return rounded(found.join(centers, "cluster").select("first_id", "n", F.posexplode("center").alias("place", "value")), ("value",))
 
 
 @query("q_kmeans_assign", O.chain(
@@ -843,27 +852,54 @@ def dtw_pairs(spark, folder):
     return pairs.select(*_SERIES, r6(dtw.dtw_distance(F.col("values"), F.col("b"))).alias("distance"))
 
 
-@query("q_dtw_kmeans")
+_COMPLETE_DAYS = ("whole_days", "SELECT * FROM split WHERE list_count(vals) = 24")
+
+
+def _apart(rows: DataFrame) -> DataFrame:
+    """Every series in three groups of days that no distance within them comes near to."""
+    return rows.withColumn("values", F.transform("values", lambda v: v + F.day("day") % 3 * F.lit(1e7)))
+
+
+@query("q_dtw_kmeans", O.chain(*_SPLIT_STEPS, _COMPLETE_DAYS, final="""
+    SELECT network, station, "column", day, min(day) OVER w AS first_day, count(*) OVER w AS n FROM whole_days
+    WINDOW w AS (PARTITION BY network, station, "column", day(day) % 3)"""))
 def dtw_kmeans(spark, folder):
-    rows = _split(spark, folder, smoothed=True).where(F.col("column").isin("tmpf", "relh"))
-    return cluster.fit_dtw_kmeans(rows, clusters=3, seed=1, max_iter=5)
+    rows = materialize(_apart(_split(spark, folder, smoothed=True)), "split")
+    labels = materialize(cluster.assign_dtw(rows, cluster.fit_dtw_kmeans(rows, clusters=3, seed=1)), "labels")
+    group = [*cluster.GROUP, "cluster"]
+    names = labels.groupBy(*group).agg(F.min("day").alias("first_day"), F.count(F.lit(1)).alias("n"))
+    return labels.join(names, group).select(*_SERIES, "first_day", "n")
 
 
 _CENTER_DAYS = ("2024-01-03", "2024-01-10", "2024-01-17")
 
 
-@query("q_dtw_assign", O.chain(*_SPLIT_STEPS,
-    ("centers", """SELECT network, station, "column", vals AS b, CAST(dense_rank() OVER (ORDER BY CAST(day AS DATE)) - 1 AS INT) AS cluster
-        FROM split WHERE CAST(day AS DATE) IN ('2024-01-03', '2024-01-10', '2024-01-17')"""),
-    *O.dtw_steps("""SELECT network, station, "column", day, cluster, vals AS a, b FROM split JOIN centers USING (network, station, "column")""",
-                 24, 'network, station, "column", day, cluster'),
+_CENTERS = ("centers", """SELECT network, station, "column", vals AS b, CAST(dense_rank() OVER (ORDER BY CAST(day AS DATE)) - 1 AS INT) AS cluster
+        FROM split WHERE CAST(day AS DATE) IN ('2024-01-03', '2024-01-10', '2024-01-17')""")
+_CENTER_COSTS = O.dtw_steps("""SELECT network, station, "column", day, cluster, vals AS a, b FROM split JOIN centers USING (network, station, "column")""",
+                            24, 'network, station, "column", day, cluster')
+
+
+def _center_days(rows: DataFrame) -> DataFrame:
+    number = F.array_position(F.array(*[F.lit(d) for d in _CENTER_DAYS]), F.date_format("day", "yyyy-MM-dd"))
+    return rows.where(number > 0).select(*KEYS, "column", (number - 1).cast("int").alias("cluster"), F.col("values").alias("center"))
+
+
+@query("q_dtw_assign", O.chain(*_SPLIT_STEPS, _CENTERS, *_CENTER_COSTS,
     final=f"""SELECT network, station, "column", day, arg_min(cluster, (cost, cluster)) AS cluster, {O.r6('sqrt(min(cost))')} AS distance
         FROM costs GROUP BY ALL"""))
 def dtw_assign(spark, folder):
     rows = materialize(_split(spark, folder), "split")
-    number = F.array_position(F.array(*[F.lit(d) for d in _CENTER_DAYS]), F.date_format("day", "yyyy-MM-dd"))
-    centers = rows.where(number > 0).select(*KEYS, "column", (number - 1).cast("int").alias("cluster"), F.col("values").alias("center"))
-    return rounded(cluster.assign_dtw(rows, centers).select(*_SERIES, "cluster", "distance"), ("distance",))
+    return rounded(cluster.assign_dtw(rows, _center_days(rows)).select(*_SERIES, "cluster", "distance"), ("distance",))
+
+
+@query("q_dtw_first_step", O.chain(*_SPLIT_STEPS, _CENTERS, *_CENTER_COSTS,
+    ("least", 'SELECT network, station, "column", day, min(cost) AS cost FROM costs GROUP BY ALL'),
+    final=f"""SELECT network, station, "column", {O.r6('avg(cost)')} AS inertia, 1 AS iterations FROM least GROUP BY ALL"""))
+def dtw_first_step(spark, folder):
+    rows = materialize(_split(spark, folder), "split")
+    model = cluster.fit_dtw_kmeans(rows, clusters=3, start=_center_days(rows), max_iter=1)
+    return rounded(model.where("cluster = 0").select(*KEYS, "column", "inertia", "iterations"), ("inertia",))
 
 
 # === stages ==========================================================================================
@@ -915,11 +951,18 @@ def preprocess(spark, folder):
     return flat(spark.read.parquet(layout.split("scaled_minmax")).select(*_SERIES, "values"))
 
 
-@query("q_cluster_days")
+@query("q_cluster_days", O.chain(*_SPLIT_STEPS, _COMPLETE_DAYS,
+    ("named", """SELECT *, min(day) OVER (PARTITION BY network, station, "column", day(day) % 3) AS first_day FROM whole_days"""),
+    final="SELECT network, station, day, " + ", ".join(
+        f"""max(CASE WHEN "column" = '{c}' THEN first_day END) AS {c}""" for c in O.MAIN) + " FROM named GROUP BY ALL"))
 def cluster_days(spark, folder):
-    layout = _stored(spark, folder)
+    layout, apart = _stored(spark, folder), stages.Layout(scratch_path(spark, "data"))
     stages.run_preprocess(spark, layout, split="clean")
-    return stages.run_cluster(spark, layout, clusters=3, seed=1, max_iter=4)
+    sinks.write_split(_apart(spark.read.parquet(layout.split("clean"))), apart.split("clean"))
+    labels = stages.run_cluster(spark, apart, clusters=3, seed=1)
+    # One row per station and day: a window holds the days of one station's cluster.
+    first = {c: F.when(F.col(c).isNotNull(), F.min("day").over(Window.partitionBy(*KEYS, c))) for c in MAIN_COLUMNS}
+    return labels.select(*KEYS, "day", *[f.alias(c) for c, f in first.items()])
 
 
 _LAYER = """SELECT '{network}' AS network, '{layer}' AS layer, lat, lon, {radius} AS radius_m, CAST(NULL AS DOUBLE) AS lat2,

@@ -181,6 +181,26 @@ def test_more_barycenter_steps(spark):
     assert model.count() == 6
 
 
+def test_one_step_from_given_centers_equals_the_plain_method(spark):
+    rng = np.random.default_rng(11)
+    rows = [("N", s, "tmpf", f"2024-{1 + d // 28:02d}-{d % 28 + 1:02d}", rng.normal(size=6).tolist()) for s in "ab" for d in range(150)]
+    df = spark.createDataFrame(rows, "network string, station string, column string, day string, values array<double>") \
+        .withColumn("day", F.col("day").cast("timestamp_ntz"))
+    start = {s: rng.normal(size=(3, 6)) for s in "ab"}
+    given = spark.createDataFrame([("N", s, "tmpf", k, c.tolist()) for s, cs in start.items() for k, c in enumerate(cs)],
+                                  "network string, station string, column string, cluster int, center array<double>")
+    found = cluster.fit_dtw_kmeans(df.repartition(3), clusters=3, start=given, max_iter=1).collect()
+    for s in "ab":
+        series = [np.array(r[4]) for r in rows if r[1] == s]
+        costs = np.array([[plain_dtw(x, c) ** 2 for c in start[s]] for x in series])
+        sums, counts = np.zeros((3, 6)), np.zeros((3, 6))
+        for x, k in zip(series, costs.argmin(axis=1)):
+            dtw.path_sums(start[s][k][None, :], x[None, :], np.array([k]), sums, counts)
+        mine = {r.cluster: r for r in found if r.station == s}
+        assert np.allclose([mine[k].center for k in range(3)], sums / counts)
+        assert np.isclose(mine[0].inertia, costs.min(axis=1).mean()) and mine[0].iterations == 1
+
+
 def test_fewer_rows_than_clusters(spark):
     df = shapes(spark, 2)
     model = cluster.fit_dtw_kmeans(df, clusters=4, seed=0, max_iter=3)
