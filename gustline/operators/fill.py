@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustline.functions.timeline import epoch_micros
-from gustline.operators.neighbours import before, with_neighbours
+from gustline.functions.timeline import bucket_time, epoch_micros, step_seconds
+from gustline.operators.neighbours import NEXT_POSITION, before, with_neighbours
+from gustline.operators.resample import BUCKET, CHUNK_BUCKETS, bucket_aggregate, expand_gaps
 from gustline.schema import KEYS
 
 _POSITION = "__micros"
@@ -46,13 +47,48 @@ _METHODS = {
 }
 
 
-def fill_gaps(df: DataFrame, methods: dict[str, str], keys: Sequence[str] = KEYS, time: str = "valid",
-              chunk_days: int = CHUNK_DAYS) -> DataFrame:
-    """Fill columns: ``{"tmpf": "linear", "skyc1": "ffill_bfill", "gust": "zero"}``."""
-    carried = [c for c, m in methods.items() if m != "zero"]
-    unknown = {m for m in methods.values()} - set(_METHODS) - {"zero"}
+def _carried(methods: dict[str, str]) -> list[str]:
+    unknown = set(methods.values()) - set(_METHODS) - {"zero"}
     if unknown:
         raise ValueError(f"unknown fill methods {sorted(unknown)}")
+    return [c for c, m in methods.items() if m != "zero"]
+
+
+def resample_filled(df: DataFrame, rules: dict[str, str], methods: dict[str, str], frequency: str | int = "1 hour",
+                    keys: Sequence[str] = KEYS, time: str = "valid") -> DataFrame:
+    """Resample to the dense grid and fill. Decided on the non-empty buckets, which are expanded last: each carries its
+    filled value and, for a line, its change per bucket, so the dense series meets no sort and no exchange."""
+    step, carried = step_seconds(frequency), _carried(methods)
+    buckets = bucket_aggregate(df, rules, step, keys, time)
+    near = with_neighbours(buckets, BUCKET, carried, keys, CHUNK_BUCKETS)
+
+    def known(c: str) -> list[Column]:
+        if methods.get(c) == "ffill":
+            return [forward(c).alias(c)]
+        if methods.get(c) == "ffill_bfill":
+            return [forward_backward(c).alias(c)]
+        if methods.get(c) == "linear":
+            return [F.coalesce(F.col(c), linear(c, BUCKET)).alias(c), slope(c).alias(f"__slope_{c}")]
+        return [F.col(c)]
+
+    def filled(c: str) -> Column:
+        here = F.when(F.col("__grid") == F.col(BUCKET), F.col(c))
+        if methods.get(c) == "linear":
+            return F.expr(f"`{c}` + `__slope_{c}` * (__grid - `{BUCKET}`)").alias(c)
+        if methods.get(c) == "zero":
+            return F.coalesce(here, F.lit(0.0)).alias(c)
+        return F.col(c) if c in methods else here.alias(c)
+
+    grid = expand_gaps(near.select(*keys, BUCKET, NEXT_POSITION, *[x for c in rules for x in known(c)]))
+    return grid.select(*keys, bucket_time(F.col("__grid"), step).alias(time), *[filled(c) for c in rules])
+
+
+def fill_gaps(df: DataFrame, methods: dict[str, str], keys: Sequence[str] = KEYS, time: str = "valid",
+              chunk_days: int = CHUNK_DAYS) -> DataFrame:
+    """Fill columns of a series that is regular already: ``{"tmpf": "linear", "skyc1": "ffill_bfill", "gust": "zero"}``.
+
+    From reports, :func:`resample_filled` fills without an exchange of the dense series."""
+    carried = _carried(methods)
     wide = df
     if carried:
         wide = with_neighbours(df.withColumn(_POSITION, epoch_micros(F.col(time))), _POSITION, carried, keys,

@@ -13,6 +13,7 @@ from gustline.operators.quantiles import (
     SMALL_GROUP, exact_quantiles, median_of_counts, median_of_pair, middle_pair,
 )
 from gustline.schema import KEYS, RULES, SKY_CODES
+from gustline.storage import materialize
 
 BUCKET = "__bucket"
 # Buckets of one station handled together when gaps are found; also the longest generated array.
@@ -24,12 +25,6 @@ def known_rules(df: DataFrame, keys: Sequence[str] = KEYS, time: str = "valid")
     return {c: RULES[c] for c in df.columns if c in RULES and c not in keys and c != time}
 
 
-def large_buckets(df: DataFrame, step: int, keys: Sequence[str] = KEYS, time: str = "valid") -> int:
-    """Number of buckets with more rows than the median sketch holds exactly: a count over keys and time."""
-    counts = _bucketed(df, step, keys, time).groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__rows"))
-    return counts.where(F.col("__rows") > SMALL_GROUP).count()
-
-
 def _bucketed(df: DataFrame, step: int, keys: Sequence[str], time: str) -> DataFrame:
     return placed(df, keys, time).withColumn(BUCKET, bucket_start(F.col(time), step))
 
@@ -38,14 +33,13 @@ def bucket_aggregate(df: DataFrame, rules: dict[str, str], step: int, keys: Sequ
                      time: str = "valid") -> DataFrame:
     """One row per key and non-empty, numbered bucket: mean, max or exact median of each column; nulls are skipped.
 
-    Medians of code columns come from one counter per code. Other medians use a bounded sketch, exact up
-    to ``SMALL_GROUP`` rows; buckets above that are counted first and ranked by :func:`exact_quantiles`,
-    which never holds a bucket in one place. Results are exact for any bucket.
+    Medians of code columns come from one counter per code. Other medians use a bounded sketch, exact up to
+    ``SMALL_GROUP`` values, which are counted beside it; the buckets are written, and those with more values are ranked
+    by :func:`exact_quantiles`, which never holds a bucket in one place. Results are exact for any bucket.
     """
     keys = list(keys)
     rows = _bucketed(df, step, keys, time)
     medians = [c for c, rule in rules.items() if rule == "median"]
-    large = large_buckets(df, step, keys, time) if medians else 0
     aggregates = []
     for c, rule in rules.items():
         if rule == "mean":
@@ -60,31 +54,30 @@ def bucket_aggregate(df: DataFrame, rules: dict[str, str], step: int, keys: Sequ
             raise ValueError(f"unknown rule {rule!r} for column {c!r}")
     grouped = rows.groupBy(*keys, BUCKET).agg(*aggregates)
 
+    busy = None
+    if medians:
+        grouped = materialize(grouped, "buckets")
+        most = F.greatest(F.lit(0), *[F.col(f"__n_{c}") for c in medians])
+        # Written: the join that finds the rows of these buckets is planned by their number.
+        busy = materialize(grouped.where(most > SMALL_GROUP).select(*keys, BUCKET), "busy")
+        busy = None if busy.isEmpty() else busy
+
     def reduced(c: str, rule: str) -> Column:
         if rule == "code_median":
             return median_of_counts([f"__n{i}_{c}" for i in range(len(SKY_CODES))]).alias(c)
         if rule == "median":
             small = median_of_pair(F.col(f"__pair_{c}"), F.col(f"__n_{c}"))
-            return (F.coalesce(F.col(f"__large_{c}"), small) if large else small).alias(c)
+            return (F.coalesce(F.col(f"__large_{c}"), small) if busy is not None else small).alias(c)
         return F.col(c)
 
-    if large:
-        medians_of_large = _large_medians(rows, medians, keys, large)
-        grouped = grouped.join(medians_of_large, [*keys, BUCKET], "left")
+    if busy is not None:
+        grouped = grouped.join(_large_medians(rows, medians, keys, busy), [*keys, BUCKET], "left")
     number = bucket_number(F.col(BUCKET), step).alias(BUCKET)
     return grouped.select(*keys, number, *[reduced(c, r) for c, r in rules.items()])
 
 
-# A list of this many buckets is a few megabytes; beyond it Spark picks the join by size and splits skew.
-_LISTED_BUCKETS = 50_000
-
-
-def _large_medians(rows: DataFrame, medians: Sequence[str], keys: list[str], large: int) -> DataFrame:
+def _large_medians(rows: DataFrame, medians: Sequence[str], keys: list[str], busy: DataFrame) -> DataFrame:
     group = [*keys, BUCKET, "__column"]
-    counts = rows.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("__rows"))
-    busy = counts.where(F.col("__rows") > SMALL_GROUP).select(*keys, BUCKET)
-    if large <= _LISTED_BUCKETS:
-        busy = F.broadcast(busy)
     values = (
         rows.select(*keys, BUCKET, *medians).join(busy, [*keys, BUCKET], "left_semi")
         .select(*keys, BUCKET, F.explode(F.array(*[

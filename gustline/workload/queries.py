@@ -586,10 +586,6 @@ def dedup_best(spark, folder):
     return dedup.dedup_best(V.obs(spark, folder, time="hour"))
 
 
-def _gapped(spark, folder, station: str = "user") -> DataFrame:
-    return resample.resample(V.obs(spark, folder, station), {"tmpf": "mean", "skyl1": "median"})
-
-
 _GAPPED = [O.observations("user"), O.buckets(["tmpf", "skyl1"], "obs"), O.grid(["tmpf", "skyl1"])]
 
 
@@ -599,7 +595,8 @@ def _filled_sql(expression) -> str:
 
 
 def _filled(spark, folder, method: str) -> DataFrame:
-    return rounded(fill.fill_gaps(_gapped(spark, folder), {"tmpf": method, "skyl1": method}), ("tmpf", "skyl1"))
+    rules = {"tmpf": "mean", "skyl1": "median"}
+    return rounded(fill.resample_filled(V.obs(spark, folder, "user"), rules, dict.fromkeys(rules, method)), tuple(rules))
 
 
 @query("q_ffill", _filled_sql(O.ffill))
