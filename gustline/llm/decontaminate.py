@@ -6,27 +6,33 @@ cut into k-grams of words; of every run of consecutive k-grams only the smallest
 in both directions, and the words of a shared span that holds a whole window are hit. Extension compares the words
 themselves, so results are exact. Items shorter than the window have fingerprints of their own length, all of them kept.
 
-The benchmark is cut into blocks of at most ``block_bytes`` of text. Each block is sent to the tasks and each document is
-held against the blocks one after another; documents are never shuffled, and a passage shared by many documents costs
-each of them only its own comparison. Null and empty texts have no words and no hits. Repeated documents each get their
-own result; repeated items count once per item_id. An item whose id is null takes part in hits but not in the items.
+Fingerprints of both sides are joined by Spark, which sends the items' ones to the tasks only if they are small. A filter of
+fixed size, made from the items' hashes, keeps most other fingerprints of documents from being exchanged at all. Pairs of
+a text and an item that share a fingerprint are then extended, a bounded number of items of a text at a time; copies of a
+text are one text here, and texts without a shared fingerprint are never exchanged. Null and empty texts have no words and
+no hits. Repeated documents each get their own result; repeated items count once per item_id. An item whose id is null
+takes part in hits but not in the items.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from gustline.llm.arrow import ALNUM, LOWER, annotate, col, hashes, mix, pieces, spans, utf8
+from gustline.storage import materialize
 
 WINDOW, GRAM = 10, 5
-BLOCK_BYTES = 16 << 20
+#: Bits of the filter that is sent to the tasks: 8 MB.
+FILTER_BITS = 1 << 26
+#: Items that are held against a text at a time.
+TOGETHER = 64
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -77,8 +83,38 @@ def winnow(values: np.ndarray, width: int, breaks: np.ndarray | None = None) ->
     return np.unique(np.concatenate(kept))
 
 
+def _fingerprints(words: np.ndarray, window: int, gram: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """Kind, hashes and places of an item's fingerprints. Kind: ``gram``, or less than 0 for an item of fewer words than
+    the window, which is one k-gram as a whole."""
+    if len(words) >= window:
+        h = grams(words, gram)
+        at = winnow(h, window - gram + 1)
+        return gram, h[at], at
+    return -len(words), grams(words, len(words)), np.zeros(1, np.int64)
+
+
+def _document_prints(words: np.ndarray, first: np.ndarray, kind: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the fingerprints of one kind, one text after another in ``words``; of items shorter than the
+    window every place is one. K-grams that cross two texts may be among them."""
+    h = grams(words, abs(kind))
+    if kind < 0:
+        return np.arange(len(h)), h
+    # Fingerprints of each text on its own: a text of n words has its n-k+1 first places of these.
+    n = len(h)
+    breaks = np.unique(first[:-1][first[:-1] < n])
+    # K-grams that cross a text's end must not hide others: they get the largest value.
+    sizes = np.diff(first)
+    cross = np.zeros(n, bool)
+    for back in range(1, kind):
+        p = first[1:][(sizes > 0)] - back
+        cross[p[(p >= 0) & (p < n)]] = True
+    h = np.where(cross, np.uint64(0xFFFFFFFFFFFFFFFF), h)
+    at = winnow(h, window - kind + 1, breaks)
+    return at, h[at]
+
+
 class Index:
-    """Fingerprints of one block of items."""
+    """Fingerprints of a few items."""
 
     def __init__(self, ids: list, texts: list[str], window: int, gram: int):
         data, at = utf8(pa.array(texts, pa.large_string()))
@@ -89,16 +125,12 @@ class Index:
         raw = data.tobytes()
         self.words = [raw[b:e] for b, e in zip(begin.tolist(), end.tolist())]
         self.first = first.tolist()
-        rows: dict[int, list[tuple[int, int, int]]] = defaultdict(list)  # k-gram length -> (hash, item, place)
+        rows: dict[int, list[tuple[int, int, int]]] = defaultdict(list)  # kind -> (hash, item, place)
         for i in range(len(ids)):
             a, b = self.first[i], self.first[i + 1]
-            if a == b:
-                continue
-            # Shorter items than the window: the whole item is the k-gram, and every place of a document is looked up.
-            k = gram if b - a >= window else b - a
-            h = grams(words[a:b], k)
-            places = winnow(h, window - gram + 1) if b - a >= window else np.array([0])
-            rows[k if b - a >= window else -k] += [(int(h[p]), i, int(p)) for p in places]
+            if a < b:
+                kind, h, places = _fingerprints(words[a:b], window, gram)
+                rows[kind] += [(int(x), i, int(p)) for x, p in zip(h, places)]
         self.tables = {}
         for kind, found in rows.items():
             found.sort()
@@ -106,37 +138,16 @@ class Index:
             self.tables[kind] = keys, np.append(starts, len(found)).tolist(), [(f[1], f[2]) for f in found]
 
     def matches(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(place in the documents' words, item, place in the item) of equal fingerprints; one text after another in
-        ``words``, k-grams that cross two texts may be among them."""
+        """(place in the documents' words, item, place in the item) of equal fingerprints."""
         for kind, (keys, starts, found) in self.tables.items():
-            h = grams(words, abs(kind))
-            if kind > 0:
-                # Fingerprints of each text on its own: a text of n words has its n-k+1 first places of these.
-                n = len(h)
-                breaks = np.unique(first[:-1][first[:-1] < n])
-                # k-grams that cross a text's end must not hide others: they get the largest value.
-                sizes = np.diff(first)
-                cross = np.zeros(n, bool)
-                for back in range(1, kind):
-                    p = first[1:][(sizes > 0)] - back
-                    cross[p[(p >= 0) & (p < n)]] = True
-                h = np.where(cross, np.uint64(0xFFFFFFFFFFFFFFFF), h)
-                at = winnow(h, self.window - self.gram + 1, breaks)
-            else:
-                at = np.arange(len(h))
-            slot = np.searchsorted(keys, h[at])
+            at, h = _document_prints(words, first, kind, self.window)
+            slot = np.searchsorted(keys, h)
             slot[slot == len(keys)] = 0
-            for place, s in zip(*[x[keys[slot] == h[at]].tolist() for x in (at, slot)]):
+            for place, s in zip(*[x[keys[slot] == h].tolist() for x in (at, slot)]):
                 for item, inside in found[starts[s]:starts[s + 1]]:
                     yield place, item, inside
 
 
-@lru_cache(maxsize=2)
-def _index(payload: bytes, window: int, gram: int) -> Index:
-    block = pa.ipc.open_stream(payload).read_all()
-    return Index(block.column(0).to_pylist(), block.column(1).to_pylist(), window, gram)
-
-
 def _hits(index: Index, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set]]:
     """Words of each text, its shared spans as (begin, end) words, and the items found in it."""
     data = LOWER[data]
@@ -184,65 +195,158 @@ def _merged(spans_: list) -> list[list[int]]:
     return out
 
 
-def _blocks(items: DataFrame, key: str, text: str, limit: int) -> Iterator[bytes]:
-    """Items as Arrow streams of at most ``limit`` bytes of text each; one longer item is a block of its own."""
-    ids: list = []
-    texts: list[str] = []
-    size = 0
-
-    def packed() -> bytes:
-        sink = pa.BufferOutputStream()
-        block = pa.table({"id": pa.array(ids, pa.string()), "text": pa.array(texts, pa.large_string())})
-        with pa.ipc.new_stream(sink, block.schema) as writer:
-            writer.write_table(block)
-        return sink.getvalue().to_pybytes()
-
-    rows = items.select(col(key).cast("string"), col(text).cast("string")).where(col(text).isNotNull()).distinct()
-    for item, body in rows.toLocalIterator(prefetchPartitions=False):
-        n = len(body.encode())
-        if texts and size + n > limit:
-            yield packed()
-            ids, texts, size = [], [], 0
-        ids.append(item)
-        texts.append(body)
-        size += n
-    if texts:
-        yield packed()
+def _joined(h: np.ndarray, kind: int) -> np.ndarray:
+    """One value of hash and kind, as a signed long."""
+    with np.errstate(over="ignore"):
+        return mix(h + np.uint64(kind % (1 << 64)) * _STEP).view(np.int64)
 
 
-def contaminate(df: DataFrame, items: DataFrame, keep=None, text: str = "text", key: str = "item_id", window: int = WINDOW,
-                gram: int = GRAM, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``keep`` (all columns unless given) with n_words, n_hit, n_items, ``items`` (sorted as strings) and ``hits``, the
-    merged spans of hit words as begin and end."""
-    context = df.sparkSession.sparkContext
-    fields = StructType([StructField("n_words", LongType()), StructField("n_hit", LongType()), StructField("n_items", LongType()),
-                         StructField("items", ArrayType(StringType())), StructField("hits", ArrayType(ArrayType(IntegerType())))])
-    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in {f.name for f in fields}]
-    schema = StructType([*[StructField(c, df.schema[c].dataType, True) for c in kept], *fields.fields])
-    blocks = [context.broadcast(b) for b in _blocks(items, key, text, block_bytes)]
-    source = df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(kept)], col(text).cast("string").alias("t"))
-    names = [f.name for f in schema]
+def _item_prints(texts: DataFrame, window: int, gram: int) -> DataFrame:
+    """(item, kind, hash) of distinct item texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "t"):
+                data, at = utf8(piece.column(1))
+                data = LOWER[data]
+                begin, end, first = spans(data, at, ALNUM)
+                words = hashes(data, begin, end)
+                rows, kinds, values = [], [], []
+                for i in np.flatnonzero(np.diff(first)).tolist():
+                    kind, h, _ = _fingerprints(words[first[i]:first[i + 1]], window, gram)
+                    h = np.unique(_joined(h, kind))
+                    rows.append(np.full(len(h), i))
+                    kinds.append(np.full(len(h), kind, np.int32))
+                    values.append(h)
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [piece.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(kinds)),
+                         pa.array(np.concatenate(values))], names=["item", "kind", "hash"])
+
+    return texts.select("item", "t").mapInArrow(run, "item string, kind int, hash bigint")
+
+
+def _filter(prints: DataFrame) -> np.ndarray:
+    """``FILTER_BITS`` bits, set where a hash of the items begins with that number: of fixed size whatever the items."""
+    slot = F.shiftrightunsigned("hash", 64 - FILTER_BITS.bit_length() + 1)
+    marked = prints.select(slot.alias("s")).select(
+        F.shiftright("s", 6).alias("w"), F.expr("shiftleft(1L, cast(s & 63 as int))").alias("m"))
+    found = marked.groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+    bits = np.zeros(FILTER_BITS // 64, np.uint64)
+    bits[found["w"].to_numpy(np.int64)] = found["m"].to_numpy(np.int64).view(np.uint64)
+    return bits
+
+
+def _text_prints(source: DataFrame, kinds: list[int], bits, window: int) -> DataFrame:
+    """(digest, hash) of the fingerprints of texts ``t`` that pass the filter, once per text."""
+    shift = np.uint64(64 - FILTER_BITS.bit_length() + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        empty = Index([], [], window, gram)
+        known = bits.value
         for batch in batches:
             for piece in pieces(batch, "t"):
-                data, at = utf8(piece.columns[-1])
-                sizes, found, seen = _hits(empty, data, at)
-                for block in blocks:
-                    _, more, others = _hits(_index(block.value, window, gram), data, at)
-                    found = [a + b for a, b in zip(found, more)]
-                    seen = [a | b for a, b in zip(seen, others)]
-                hits = [_merged(f) for f in found]
-                ids = [sorted(i for i in s if i is not None) for s in seen]
-                out = [pa.array(sizes, pa.int64()), pa.array([sum(b - a for a, b in h) for h in hits], pa.int64()),
-                       pa.array([len(i) for i in ids], pa.int64()), pa.array(ids, pa.list_(pa.string())),
-                       pa.array(hits, pa.list_(pa.list_(pa.int32())))]
-                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], *out], names=names)
-
-    return source.mapInArrow(run, schema)
-
-
-def clean(df: DataFrame, items: DataFrame, **settings) -> DataFrame:
+                data, at = utf8(piece.column(1))
+                data = LOWER[data]
+                begin, end, first = spans(data, at, ALNUM)
+                words = hashes(data, begin, end)
+                for kind in kinds:
+                    place, h = _document_prints(words, first, kind, window)
+                    h = _joined(h, kind)
+                    slot = h.view(np.uint64) >> shift
+                    hit = (known[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
+                    if not hit.any():
+                        continue
+                    text = np.searchsorted(first, place[hit], side="right") - 1
+                    found = np.unique(np.stack([text, h[hit]]), axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [piece.column(0).take(pa.array(found[0])), pa.array(found[1])], names=["d", "hash"])
+
+    return source.mapInArrow(run, "d string, hash bigint")
+
+
+_EXTENDED = "d string, spans array<array<int>>, items array<string>"
+
+
+def _extend(window: int, gram: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = ([], [], [])
+            for i in range(batch.num_rows):
+                few = batch.column(2)[i].as_py()
+                data, at = utf8(batch.column(1).slice(i, 1))
+                _, found, seen = _hits(Index([x["item"] for x in few], [x["t"] for x in few], window, gram), data, at)
+                if found[0]:
+                    for out, value in zip(rows, (i, _merged(found[0]), sorted(seen[0]))):
+                        out.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows[0], pa.int64())), pa.array(rows[1], pa.list_(pa.list_(pa.int32()))),
+                 pa.array(rows[2], pa.list_(pa.string()))], names=["d", "spans", "items"])
+    return run
+
+
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        merged = pa.array([_merged(s) for s in batch.column(1).to_pylist()], pa.list_(pa.list_(pa.int32())))
+        yield pa.RecordBatch.from_arrays([batch.column(0), merged], names=["d", "hits"])
+
+
+def _digest(text: str):
+    """Equal texts have equal fingerprints and hits: they are told apart by nothing else."""
+    return F.md5(col(text).cast("string"))
+
+
+def shared_spans(df: DataFrame, items: DataFrame, text: str = "text", key: str = "item_id", window: int = WINDOW,
+                 gram: int = GRAM, together: int = TOGETHER) -> DataFrame:
+    """(d, hits, items) of each distinct text, by its digest, that holds a window of an item: merged spans of hit words
+    and the sorted ids. Written."""
+    context = df.sparkSession.sparkContext
+    known = items.where(col(text).isNotNull()).select(
+        _digest(text).alias("item"), col(key).cast("string").alias("id"), col(text).cast("string").alias("t"))
+    texts = materialize(known.groupBy("item").agg(F.first("t").alias("t")), "items")
+    prints = materialize(_item_prints(texts, window, gram), "item_prints")
+    # At most as many kinds as the window has words.
+    kinds = sorted(r["kind"] for r in prints.select("kind").distinct().collect())
+    source = df.where(col(text).isNotNull()).select(_digest(text).alias("d"), col(text).cast("string").alias("t"))
+    mine = _text_prints(source, kinds, context.broadcast(_filter(prints)), window)
+    pairs = materialize(mine.join(prints.select("hash", "item"), "hash").select("d", "item").distinct(), "pairs")
+    # Copies are one text; only texts that share a fingerprint are exchanged.
+    bodies = source.join(pairs.select("d"), "d", "left_semi").groupBy("d").agg(F.first("t").alias("t"))
+    parts = pairs.groupBy("d").agg(F.ceil(F.count(F.lit(1)) / together).alias("parts"))
+    part = F.pmod(F.xxhash64("item"), F.col("parts"))
+    packed = pairs.join(parts, "d").join(texts, "item").groupBy("d", part.alias("part")).agg(
+        F.collect_list(F.struct("item", "t")).alias("few"))
+    extended = materialize(packed.join(bodies, "d").select("d", "t", "few").mapInArrow(_extend(window, gram), _EXTENDED), "extended")
+    hits = extended.groupBy("d").agg(F.flatten(F.collect_list("spans")).alias("spans")).mapInArrow(
+        _merge, "d string, hits array<array<int>>")
+    ids = extended.select("d", F.explode("items").alias("item")).join(known.select("item", "id").distinct(), "item")
+    named = ids.groupBy("d").agg(F.array_sort(F.collect_set("id")).alias("items"))
+    return materialize(hits.join(named, "d", "left").select("d", "hits", F.coalesce("items", F.array().cast("array<string>")).alias("items")), "hits")
+
+
+def contaminate(df: DataFrame, items: DataFrame, keep=None, text: str = "text", key: str = "item_id", window: int = WINDOW,
+                gram: int = GRAM, together: int = TOGETHER) -> DataFrame:
+    """``keep`` (all columns unless given) with n_words, n_hit, n_items, ``items`` (sorted as strings) and ``hits``, the
+    merged spans of hit words as begin and end."""
+    new = {"n_words", "n_hit", "n_items", "items", "hits"}
+    kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
+    source = df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(kept)], _digest(text).alias("d"), col(text).alias("t"))
+
+    def work():
+        def run(texts: pa.Array) -> list[pa.Array]:
+            data, at = utf8(texts)
+            return [pa.array(np.diff(spans(LOWER[data], at, ALNUM)[2]), pa.int64())]
+        return run
+
+    counted = annotate(source, work, StructType([StructField("n_words", LongType())]),
+                       [*[f"k{i}" for i in range(len(kept))], "d"], "t")
+    found = counted.join(shared_spans(df, items, text, key, window, gram, together), "d", "left")
+    hits, ids = F.coalesce("hits", F.array().cast("array<array<int>>")), F.coalesce("items", F.array().cast("array<string>"))
+    n_hit = F.aggregate(hits, F.lit(0).cast("bigint"), lambda total, s: total + s[1] - s[0])
+    return found.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(kept)], "n_words", n_hit.alias("n_hit"),
+                        F.size(ids).cast("bigint").alias("n_items"), ids.alias("items"), hits.alias("hits"))
+
+
+def clean(df: DataFrame, items: DataFrame, text: str = "text", **settings) -> DataFrame:
     """The rows without a hit, with the columns they had."""
-    return contaminate(df, items, **settings).where("n_hit = 0").select(*[col(c) for c in df.columns])
+    hit = shared_spans(df, items, text, **settings).select("d")
+    numbered = df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(df.columns)], _digest(text).alias("d"))
+    return numbered.join(hit, "d", "left_anti").select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(df.columns)])
