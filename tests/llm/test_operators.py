@@ -12,7 +12,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from gustline.llm import decontaminate, html, language, lm, mixing, pseudonyms, rules, simhash, toxicity, warc
+import corpus_pipeline
+from gustline.llm import decontaminate, html, language, lm, mixing, nearcopies, pseudonyms, rules, simhash, toxicity, warc
 from gustline.llm.components import components
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -297,6 +298,59 @@ def test_one_of_each(spark):
     assert simhash.one_of_each(docs(spark, [])).count() == 0
 
 
+# The pipeline's near copies
+
+def near_copies(seed):
+    """Texts, copies of them with words replaced at places drawn, and copies of copies; some end up below the limit."""
+    rng = np.random.default_rng(seed)
+    texts = []
+    for n in (4, 6, 30, 100, 300, 800) * 6:
+        words = [f"w{i}" for i in rng.integers(0, 5000, n)]
+        texts.append(" ".join(words))
+        for changes in (0, 1, *(max(1, round(n * x)) for x in (0.01, 0.02, 0.022, 0.025, 0.03, 0.05))):
+            words = list(words) if rng.random() < 0.3 else texts[-1].split()
+            for i in rng.choice(n, min(n, changes), replace=False):
+                words[i] = f"W{rng.integers(0, 5000)}"
+            texts.append(" ".join(words))
+    return texts
+
+
+def slow_kept(texts, least=0.8):
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))})
+    above = list(range(len(texts)))
+    def root(i):
+        return i if above[i] == i else root(above[i])
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= least * len(a | sets[j]):
+                x, y = root(i), root(j)
+                above[max(x, y)] = min(x, y)
+    return {i for i in range(len(texts)) if root(i) == i}
+
+
+def test_near_copies_equal_brute_force(spark):
+    texts = near_copies(1)
+    # A hub whose copies are no copies of each other, and a line that all of a group begin with.
+    hub = [f"h{i}" for i in range(200)]
+    texts += [" ".join(hub)] + [" ".join(w if i not in range(b, b + 18) else f"x{b}" for i, w in enumerate(hub)) for b in range(0, 180, 20)]
+    texts += [" ".join(hub[:12] + [f"y{b}_{i}" for i in range(60)]) for b in range(30)]
+    want = slow_kept(texts)
+    assert len(texts) / 5 < len(want) < len(texts)
+    got = corpus_pipeline.near_duplicates(spark, docs(spark, texts).repartition(5), "")
+    assert {r["doc_id"] for r in got.collect()} == want
+
+
+def test_near_copies_of_odd_rows(spark):
+    df = docs(spark, ODD).union(docs(spark, ODD)).withColumn("row", F.lit("clash"))
+    kept = nearcopies.one_of_each(df)
+    assert kept.columns == df.columns and kept.dtypes == df.dtypes
+    assert Counter(r["text"] for r in kept.collect()) == Counter(ODD[i] for i in slow_kept(ODD))
+    assert nearcopies.one_of_each(docs(spark, [])).count() == 0
+
+
 # 8, personal data
 
 @pytest.mark.parametrize("n", [2, 3, 10, 97, 1000])
