@@ -79,6 +79,20 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _is_card(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and luhn(digits) and len(set(digits)) > 1
+
+
+#: Groups of digits that cards are printed in; a card may also be one group.
+_PRINTED = {(4, 4, 4, 4), (4, 4, 4, 4, 3), (4, 6, 5), (4, 6, 4)}
+
+
+def _printed(groups: list[tuple[int, int]]) -> list[int]:
+    """Where cards end that are printed as one group or in usual ones, from the first group on; nearest first."""
+    sizes = [b - a for a, b in groups]
+    return [b for i, (_, b) in enumerate(groups) if tuple(sizes[:i + 1]) in _PRINTED or (i == 0 and 13 <= sizes[0] <= 19)]
+
+
 def _check_digit(body: str) -> str:
     return next(c for c in _DIGITS if luhn(body + c))
 
@@ -88,6 +102,14 @@ def _iban(text: str) -> bool:
     return len(t) >= 15 and int("".join(str(int(c, 36)) for c in t[4:] + t[:4])) % 97 == 1
 
 
+#: Length of the IBANs of each country.
+_IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 "
+    "FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 "
+    "LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 "
+    "SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30").split()}
+
+
 def _ipv4(text: str) -> bool:
     parts = text.split(".")
     return len(parts) == 4 and all(int(p) < 256 and (p == "0" or p[0] != "0") for p in parts)
@@ -138,10 +160,17 @@ class Codec:
 
     def card(self, m: re.Match, forward: bool) -> str | None:
         digits = re.sub(r"\D", "", m[0])
-        if not 13 <= len(digits) <= 19 or not luhn(digits) or len(set(digits)) == 1:
+        if not _is_card(digits):
             return None
-        body = str(self._number("card", int(digits[:-1]), 10 ** (len(digits) - 1), forward)).zfill(len(digits) - 1)
-        new = iter(body + _check_digit(body))
+        # No shorter card may begin the pseudonym, as none begins the card; else its end would not be found again.
+        ends = [len(re.sub(r"\D", "", m[0][:e])) for e in _printed([g.span() for g in re.finditer(r"\d+", m[0])]) if e < len(m[0])]
+        last = digits
+        while True:
+            body = str(self._number("card", int(last[:-1]), 10 ** (len(digits) - 1), forward)).zfill(len(digits) - 1)
+            last = body + _check_digit(body)
+            if not any(_is_card(last[:e]) for e in ends):
+                break
+        new = iter(last)
         return "".join(next(new) if c in _DIGITS else c for c in m[0])
 
     def ssn(self, m: re.Match, forward: bool) -> str | None:
@@ -262,6 +291,36 @@ _EACH = {name: (re.compile(r"(?<![A-Za-z0-9_])" + pattern), swap) for name, patt
 _MAYBE = re.compile(r"[0-9@]|(?:[0-9a-fA-F]{24})")
 
 
+_RUN = re.compile(r"\d+(?:[ \-]\d+)*")
+#: Characters in which a card and the numbers around it are looked at.
+_NEAR = 128
+
+
+def _card_ends(m: re.Match) -> list[int]:
+    """Ends a card may have within a match that may have run into the numbers behind it: after usual groups of digits first,
+    so that equal cards are found alike whatever follows; then after any group, the longest first. The latter only if no
+    card in usual groups begins behind the first group."""
+    run = _RUN.match(m.string, m.start(), m.start() + _NEAR)
+    groups = [(g.start() + m.start(), g.end() + m.start()) for g in re.finditer(r"\d+", run[0])]
+    usual = _printed(groups)
+    for i in range(1, len(groups)):
+        if groups[i][0] < m.end() and any(_is_card(re.sub(r"\D", "", m.string[groups[i][0]:e])) for e in _printed(groups[i:])):
+            return usual
+    return usual + [e for _, e in reversed(groups) if e <= m.end() and e not in usual]
+
+
+def _iban_ends(m: re.Match) -> list[int]:
+    """Ends an IBAN may have within a match that may have run into the words behind it: the length of its country first, then
+    the longest first."""
+    parts = [(w.end() + m.start(), w.end() - len(re.findall(r"\s", m[0][:w.end()]))) for w in re.finditer(r"\S+", m[0])]
+    own = _IBAN_LENGTHS.get(m[0][:2])
+    return [e for e, n in parts if n == own] + [e for e, n in reversed(parts) if n != own]
+
+
+#: Kinds whose values may be shorter than what their pattern matches.
+_ENDS = {"card": _card_ends, "iban": _iban_ends}
+
+
 def replace(text: str, codec: Codec, forward: bool = True) -> tuple[str, dict[str, int]]:
     """The text with pseudonyms, and how many values of each kind it had."""
     found: dict[str, int] = {}
@@ -273,7 +332,12 @@ def replace(text: str, codec: Codec, forward: bool = True) -> tuple[str, dict[st
         # Where one kind is not valid, the next may be.
         for name, (pattern, swap) in _EACH.items():
             if hit := pattern.match(text, m.start()):
-                new = swap(codec, hit, forward)
+                for end in _ENDS[name](hit) if name in _ENDS else (hit.end(),):
+                    part = hit if end == hit.end() else pattern.match(text, m.start(), end)
+                    new = swap(codec, part, forward) if part and part.end() == end else None
+                    if new is not None:
+                        hit = part
+                        break
                 if new is not None:
                     out += [text[done:hit.start()], new]
                     done = at = hit.end()

@@ -387,6 +387,38 @@ def test_pseudonyms(spark):
     assert pseudonyms.private(docs(spark, []), b"k").count() == 0
 
 
+def test_cards_and_ibans_before_numbers_and_words():
+    codec = pseudonyms.Codec(b"k")
+    rng = np.random.default_rng(8)
+
+    def card(n):
+        body = "".join(map(str, rng.integers(0, 10, n - 1)))
+        return body + next(c for c in "0123456789" if pseudonyms.luhn(body + c))
+
+    def groups(digits, sizes):
+        return [digits[sum(sizes[:i]):sum(sizes[:i + 1])] for i in range(len(sizes))]
+
+    cards = [c.join(groups(card(16), (4, 4, 4, 4))) for c in " -" for _ in range(40)] + [" ".join(groups(card(15), (4, 6, 5))) for _ in range(20)]
+    cards += [card(16) for _ in range(20)] + ["4111 1111 1111 1111", "5555 5555 5555 4444"]
+    for value in cards:
+        alone = pseudonyms.replace(value, codec)[0]
+        assert alone != value
+        for text in ("%s 12/27", "%s 123", "%s 7 items", "%s 1", "%s-12", "no. 12 %s 123", "%s 555", "3 %s."):
+            new = pseudonyms.replace(text % value, codec)[0]
+            assert new == text % alone, (text, value)
+            assert pseudonyms.replace(new, codec, False)[0] == text % value
+    for value in (" ".join(groups(card(19), (4, 4, 4, 4, 3))) for _ in range(60)):
+        new, found = pseudonyms.replace(value, codec)
+        assert found == {"card": 1} and new[:19] != value[:19] and pseudonyms.replace(new, codec, False)[0] == value
+    for value in ("BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "NO93 8601 1117 947", "AT61 1904 3002 3457 3201"):
+        alone = pseudonyms.replace(value, codec)[0]
+        assert alone != value
+        for text in ("%s EUR", "%s PAID NOW", "%s A", "%s CURRENTLY", "%s 100 EUR", "%s 2024", "%s AB12 CD34", "%s Paid", "IBAN %s BIC"):
+            new = pseudonyms.replace(text % value, codec)[0]
+            assert new == text % alone, (text, value)
+            assert pseudonyms.replace(new, codec, False)[0] == text % value
+
+
 # 9, decontamination
 
 def slow_hits(text, items):
