@@ -5,6 +5,9 @@ size and is counted over all labelled texts. A word's script, from code point ra
 written in it. The best path over the words of a text, with a penalty for every switch of language, labels spans; the
 language with the most letters is the text's.
 
+There is no limit to the number of languages. The model has the seen buckets of each; of many languages, a task scores
+blocks of words by blocks of languages and keeps one bit per word and language for the way back.
+
 Counts are combined in the tasks, so the exchange carries (language, bucket) rows only. Null, empty and letterless texts are
 ``und`` with score 0. Without labelled texts every text is ``und``. Ties go to the first language by name. Repeated rows
 each get their own result; labels are compared as they are.
@@ -30,8 +33,10 @@ BUCKETS = 1 << 16
 SWITCH = 8.0
 #: Share of a language's letters that a script needs to be one of the language's scripts.
 SCRIPT_SHARE = 0.01
-#: Languages the model holds at most: those with the most text. One row of the table is kept per language.
-LANGUAGES = 256
+#: Languages whose scores a task holds as a table; of more, tables of ``_SOME`` languages are made in turn.
+_HELD, _SOME = 256, 64
+#: Words times languages that are scored at once.
+_CELLS = 1 << 23
 
 #: First code points of ranges, and the script of each (0: no letters).
 _RANGES = (
@@ -112,13 +117,53 @@ class Words:
 @dataclass(frozen=True)
 class Model:
     languages: tuple[str, ...]
-    #: Natural logarithm of each bucket's share, language by language, as float32 bytes.
-    table: bytes
+    #: Natural logarithm of a bucket's share, of buckets without and with counts, language by language.
+    floor: tuple[float, ...]
+    seen: tuple[tuple[bytes, bytes], ...]  # uint16 buckets, float32 logarithms
     #: Per script, which languages are written in it.
     written: tuple[tuple[bool, ...], ...]
 
-    def scores(self) -> np.ndarray:
-        return np.frombuffer(self.table, np.float32).reshape(BUCKETS, len(self.languages))
+    def scores(self, begin: int, end: int) -> np.ndarray:
+        """Table of some languages, bucket by bucket."""
+        out = np.empty((BUCKETS, end - begin), np.float32)
+        out[:] = np.array(self.floor[begin:end], np.float32)
+        for j, (slots, values) in enumerate(self.seen[begin:end]):
+            out[np.frombuffer(slots, np.uint16), j] = np.frombuffer(values, np.float32)
+        return out
+
+
+class Emissions:
+    """Scores of words under all languages of a model."""
+
+    def __init__(self, model: Model):
+        self.model, self.size = model, len(model.languages)
+        self.written = np.array(model.written)
+        self.whole = model.scores(0, self.size) if self.size <= _HELD else None
+
+    def _tables(self) -> Iterator[tuple[int, int, np.ndarray]]:
+        if self.whole is not None:
+            yield 0, self.size, self.whole
+            return
+        for a in range(0, self.size, _SOME):
+            b = min(a + _SOME, self.size)
+            yield a, b, self.model.scores(a, b)
+
+    def __call__(self, w: Words, begin: int, end: int) -> np.ndarray:
+        total = np.zeros((end - begin, self.size), np.float64)
+        for a, b, table in self._tables():
+            step, i = max(1 << 12, _GATHERED // (b - a)), begin
+            while i < end:
+                j = min(end, max(i + 1, int(np.searchsorted(w.end, w.begin[i] + step, side="right"))))
+                low, high = w.begin[i], w.end[j - 1]
+                # Even parts are words, odd parts what lies between two of them.
+                bounds = np.column_stack([w.begin[i:j], w.end[i:j]]).ravel()[:-1] - low
+                total[i - begin:j - begin, a:b] = np.add.reduceat(table[w.bucket[low:high]], bounds, axis=0)[::2]
+                i = j
+        # Languages not written in the word's script are out; a script of no language leaves the word to its neighbours.
+        script = w.script[begin:end]
+        allowed = self.written[script]
+        some = allowed.any(1) & (script > 0)
+        return np.where(some[:, None], np.where(allowed, total, total.min(1, keepdims=True) - 50.0), 0.0)
 
 
 _COUNTS = StructType([StructField("lang", StringType()), StructField("slot", IntegerType()), StructField("n", LongType())])
@@ -158,22 +203,28 @@ def counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     return source.mapInArrow(run, _COUNTS).groupBy("lang", "slot").agg(F.sum("n").alias("n"))
 
 
-def fit(df: DataFrame, where: Column | None = None, text: str = "text", lang: str = "lang", languages: int = LANGUAGES) -> Model:
-    """A model from all rows for which ``where`` holds and whose language is not null. The driver gets the table, whose
-    size depends on the number of languages only."""
+def fit(df: DataFrame, where: Column | None = None, text: str = "text", lang: str = "lang") -> Model:
+    """A model from all rows for which ``where`` holds and whose language is not null. The driver gets the counts of some
+    languages at a time and keeps six bytes of each bucket a language was seen in."""
     rows = df if where is None else df.where(where)
     all_counts = materialize(counts(rows, text, lang), "trigrams")
-    names = [r[0] for r in all_counts.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()]
-    names.sort()
-    if not names:
-        return Model((), b"", ())
-    got = all_counts.where(F.col("lang").isin(names)).toPandas()
-    n = np.zeros((BUCKETS + SCRIPTS, len(names)))
-    np.add.at(n, (got["slot"].to_numpy(), got["lang"].map({x: i for i, x in enumerate(names)}).to_numpy()), got["n"].to_numpy())
-    share = (n[:BUCKETS] + 0.5) / (n[:BUCKETS].sum(0) + 0.5 * BUCKETS)
-    letters = n[BUCKETS:]
+    names = sorted(r[0] for r in all_counts.select("lang").distinct().collect())
+    floor: list[float] = []
+    seen: list[tuple[bytes, bytes]] = []
+    letters = np.zeros((SCRIPTS, len(names)))
+    for a in range(0, len(names), _SOME):
+        some = names[a:a + _SOME]
+        got = all_counts.where(F.col("lang").isin(some)).toPandas()
+        n = np.zeros((BUCKETS + SCRIPTS, len(some)))
+        np.add.at(n, (got["slot"].to_numpy(), got["lang"].map({x: i for i, x in enumerate(some)}).to_numpy()), got["n"].to_numpy())
+        every = n[:BUCKETS].sum(0) + 0.5 * BUCKETS
+        floor += np.log(0.5 / every).tolist()
+        for j in range(len(some)):
+            slots = np.flatnonzero(n[:BUCKETS, j])
+            seen.append((slots.astype(np.uint16).tobytes(), np.log((n[slots, j] + 0.5) / every[j]).astype(np.float32).tobytes()))
+        letters[:, a:a + len(some)] = n[BUCKETS:]
     written = (letters > 0) & (letters >= SCRIPT_SHARE * letters.sum(0))
-    return Model(tuple(names), np.log(share).astype(np.float32).tobytes(), tuple(tuple(map(bool, r)) for r in written))
+    return Model(tuple(names), tuple(floor), tuple(seen), tuple(tuple(map(bool, r)) for r in written) if names else ())
 
 
 def _paths(emit: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
@@ -181,7 +232,7 @@ def _paths(emit: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     size = np.diff(first)
     order = np.argsort(-size, kind="stable")
     begin, size = first[:-1][order], size[order]
-    back = np.zeros(len(emit), np.int16)  # best language before the word, if it switched; -1 if it stayed
+    back = np.zeros(len(emit), np.int32)  # best language before the word, if it switched; -1 if it stayed
     stay = np.zeros(emit.shape, bool)
     longest = int(size[0]) if len(size) else 0
     active = np.searchsorted(-size, -np.arange(1, longest + 1), side="right")
@@ -212,24 +263,45 @@ def _paths(emit: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
     return out
 
 
-def label(texts: pa.Array, model: Model, switch: float = SWITCH) -> tuple[Words, np.ndarray, np.ndarray]:
-    """The words, the language number of each, and the scores."""
+def _paths_by_blocks(w: Words, emissions: Emissions, switch: float, step: int) -> np.ndarray:
+    """As ``_paths``, word by word, with the scores of ``step`` words at a time."""
+    n = len(w.begin)
+    fresh = np.zeros(n + 1, bool)
+    fresh[w.first] = True
+    back = np.zeros(n, np.int32)
+    stay = np.zeros((n, (emissions.size + 7) // 8), np.uint8)
+    out = np.zeros(n, np.int64)
+    best = np.zeros(emissions.size)
+    for i in range(0, n, step):
+        emit = emissions(w, i, min(n, i + step))
+        for t in range(i, i + len(emit)):
+            if fresh[t]:
+                best = emit[t - i]
+            else:
+                back[t] = best.argmax()
+                jump = best[back[t]] - switch
+                kept = best >= jump
+                stay[t] = np.packbits(kept)
+                best = np.where(kept, best, jump) + emit[t - i]
+            if fresh[t + 1] or t + 1 == n:
+                out[t] = best.argmax()
+    for t in range(n - 1, 0, -1):
+        if not fresh[t]:
+            state = out[t]
+            out[t - 1] = state if stay[t, state >> 3] >> (7 - (state & 7)) & 1 else back[t]
+    return out
+
+
+def label(texts: pa.Array, emissions: Emissions, switch: float = SWITCH) -> tuple[Words, np.ndarray, Iterator[tuple[int, int, np.ndarray]]]:
+    """The words, the language number of each, and the scores in blocks of words: begin, end and scores."""
     w = Words(texts)
-    table = model.scores()
-    total = np.zeros((len(w.begin), len(model.languages)), np.float64)
-    step, i = max(1 << 12, _GATHERED // len(model.languages)), 0
-    while i < len(w.begin):
-        j = max(i + 1, int(np.searchsorted(w.end, w.begin[i] + step, side="right")))
-        low, high = w.begin[i], w.end[j - 1]
-        # Even parts are words, odd parts what lies between two of them.
-        bounds = np.column_stack([w.begin[i:j], w.end[i:j]]).ravel()[:-1] - low
-        total[i:j] = np.add.reduceat(table[w.bucket[low:high]], bounds, axis=0)[::2]
-        i = j
-    # Languages not written in the word's script are out; a script of no language leaves the word to its neighbours.
-    allowed = np.array(model.written)[w.script]
-    some = allowed.any(1) & (w.script > 0)
-    total = np.where(some[:, None], np.where(allowed, total, total.min(1, keepdims=True) - 50.0), 0.0)
-    return w, _paths(total, w.first, switch), total
+    n = len(w.begin)
+    step = max(1, _CELLS // emissions.size)
+    if n <= step:
+        total = emissions(w, 0, n)
+        return w, _paths(total, w.first, switch), iter([(0, n, total)])
+    blocks = ((i, min(n, i + step), emissions(w, i, min(n, i + step))) for i in range(0, n, step))
+    return w, _paths_by_blocks(w, emissions, switch, step), blocks
 
 
 def identify(df: DataFrame, model: Model, keep=None, text: str = "text", switch: float = SWITCH) -> DataFrame:
@@ -245,20 +317,27 @@ def identify(df: DataFrame, model: Model, keep=None, text: str = "text", switch:
 
     def work():
         names = model.languages
+        emissions = Emissions(model) if names else None
+        most = max(1, _CELLS // max(1, len(names)))
 
         def run(texts: pa.Array) -> list[pa.Array]:
             n = len(texts)
+            if n > most:
+                return [pa.concat_arrays(x) for x in zip(*[run(texts.slice(i, most)) for i in range(0, n, most)])]
             if not names:
                 return [pa.array(["und"] * n), pa.array([0.0] * n), pa.array([[]] * n, arrow_span)]
-            w, path, total = label(texts, model, switch)
+            w, path, blocks = label(texts, emissions, switch)
             k = len(names)
             text_of = np.repeat(np.arange(n), np.diff(w.first))
             # Without a word the sums are whole numbers to numpy.
             letters = np.bincount(text_of * k + path, weights=w.letters, minlength=n * k).reshape(n, k).astype(float)
             top = letters.argmax(1)
             every = letters.sum(1)
-            sums = np.stack([np.bincount(text_of, weights=total[:, j] * (path == top[text_of]), minlength=n) for j in range(k)], 1).astype(float)
-            words = np.maximum(np.bincount(text_of, weights=(path == top[text_of]) & (w.script > 0), minlength=n), 1)
+            mine = path == top[text_of]
+            sums = np.zeros((n, k))
+            for a, b, total in blocks:
+                sums += np.stack([np.bincount(text_of[a:b], weights=total[:, j] * mine[a:b], minlength=n) for j in range(k)], 1)
+            words = np.maximum(np.bincount(text_of, weights=mine & (w.script > 0), minlength=n), 1)
             own = sums[np.arange(n), top]
             rest = sums.copy()
             rest[np.arange(n), top] = -np.inf

@@ -242,6 +242,44 @@ def test_viterbi_equals_brute_force():
     assert list(both) == [*language._paths(emit[:3], np.array([0, 3]), 1.0), *language._paths(emit[3:], np.array([0, 6]), 1.0)]
 
 
+def many_languages(n):
+    """Texts of n languages with words of their own; the last one in a script that no other has."""
+    rng = np.random.default_rng(11)
+    words = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)] for _ in range(n - 1)]
+    words.append(["".join(chr(0x10D0 + i) for i in rng.integers(0, 33, 6)) for _ in range(12)])
+    return [(k * 2 + i, " ".join(rng.choice(w, 30)), f"l{k:04d}", "s", None) for k, w in enumerate(words) for i in range(2)]
+
+
+def test_every_language_is_kept(spark):
+    rows = many_languages(300)
+    # The last language has the least text.
+    rows[-1] = (*rows[-1][:1], " ".join(rows[-1][1].split()[:5]), *rows[-1][2:])
+    rows[-2] = (*rows[-2][:1], rows[-1][1], *rows[-2][2:])
+    df = spark.createDataFrame(rows, DOCS)
+    model = language.fit(df)
+    assert len(model.languages) == 300
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(df, model).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+    assert language.accept(df, model).count() == len(rows)
+
+
+def test_blocks_of_words_and_languages_change_nothing(monkeypatch, spark):
+    import pyarrow as pa
+    rows = many_languages(20)
+    model = language.fit(spark.createDataFrame(rows, DOCS))
+    texts = pa.array([rows[0][1] + " " + rows[9][1] + " " + rows[-1][1], *[x for x in ODD if x != LONG], *[r[1] for r in rows[::4]]])
+    w, path, blocks = language.label(texts, language.Emissions(model))
+    whole = next(blocks)[2]
+    for cells in (20 * 7, 20 * 100):
+        monkeypatch.setattr(language, "_CELLS", cells)
+        monkeypatch.setattr(language, "_HELD", 4)
+        monkeypatch.setattr(language, "_SOME", 3)
+        _, parted, blocks = language.label(texts, language.Emissions(model))
+        blocks = list(blocks)
+        assert len(blocks) > 1 and max(len(x) for _, _, x in blocks) <= cells // 20
+        assert (parted == path).all() and np.allclose(np.concatenate([x for _, _, x in blocks]), whole, atol=1e-3)
+
+
 # 7, near-duplicates
 
 def slow_print(text):
