@@ -3,7 +3,8 @@
 A page is read as a sequence of blocks, each with the containers it lies in. Containers are scored per page: characters of
 prose in them, less those in links, whether they hold all of the page's prose, and how deep they are. The best container
 votes with its path, tags and classes with numbers taken out. Spark counts the votes per host, and each page is read again
-with its host's paths, best first; a page that has none of them is read with the container it would have voted for.
+with its host's paths, best first; a page in which none of them holds enough of the prose is read with the container it
+would have voted for. Boxes are foreign by element, role or parts of names; the last is overruled on a box around the page.
 
 Votes are combined in the tasks, so a host with a third of all pages is one small row per task and path. Pages meet the
 paths of their host by a join on the host; the pages' side is split where it is skewed.
@@ -51,8 +52,8 @@ _SIBLING = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"
             "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
             "option": ({"option"}, {"select"})}
 #: No prose of the article.
-_ASIDE = frozenset("nav footer aside form menu button dialog fieldset legend output progress meter audio video canvas map head search".split())
-_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar toolbar dialog alertdialog alert tablist".split())
+_ASIDE = frozenset("nav footer aside menu button dialog fieldset legend output progress meter audio video canvas map head search".split())
+_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar toolbar dialog alertdialog alert tablist".split())
 #: Parts of class names and ids of what is not the article.
 _NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense adslot banner breadcrumb breadcrumbs comment comments commentlist "
@@ -72,7 +73,9 @@ class Box:
     path: str
     above: int
     depth: int
-    out: bool  # not part of the article
+    mark: int  # 0, or _LOOSE or _FIRM: what the element itself says
+    head: bool = False  # shows where the article is
+    out: bool = False  # not part of the article
     begin: int = 0
     end: int = 0
     prose: int = 0
@@ -99,25 +102,32 @@ def _signature(tag: str, attrs: dict[str, str]) -> str:
     return ".".join([tag, *classes[:4]])
 
 
-def _not_article(tag: str, attrs: dict[str, str], inside: bool) -> bool:
+#: A mark that a box around the page may have by chance, and one that holds anywhere.
+_LOOSE, _FIRM = 1, 2
+
+
+def _named(attrs: dict[str, str]) -> bool:
+    return bool(_NAMES & (_name_parts(attrs.get("class", "")) | _name_parts(attrs.get("id", ""))))
+
+
+def _mark(tag: str, attrs: dict[str, str], inside: bool) -> int:
     if tag in _ASIDE or (tag == "header" and not inside):
-        return True
-    if not attrs:
-        return False
+        return _FIRM
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style", "")):
-        return True
-    if attrs.get("role", "").lower() in _ROLES:
-        return True
-    if tag in ("article", "main", "body", "html"):
-        return False
-    return bool(_NAMES & (_name_parts(attrs.get("class", "")) | _name_parts(attrs.get("id", ""))))
+        return _FIRM
+    role = attrs.get("role", "").lower()
+    if role in _ROLES:
+        return _FIRM
+    if tag == "form" or role == "form":
+        return _LOOSE
+    return _LOOSE if tag not in ("article", "main", "body", "html") and _named(attrs) else 0
 
 
 def read(text: str) -> Page:
     """Blocks in page order and the elements they lie in."""
     page = Page()
     boxes = page.boxes
-    boxes.append(Box("", "", -1, 0, False))
+    boxes.append(Box("", "", -1, 0, 0))
     stack: list[tuple[str, int]] = [("", 0)]  # open elements: tag, box
     links = 0
     parts: list[str] = []
@@ -190,10 +200,10 @@ def read(text: str) -> Page:
         raw = m[3] if m[2] else m[6]
         if tag in _INLINE:
             attrs = _attributes(raw) if raw else {}
-            if attrs and _not_article(tag, attrs, True):
+            if attrs and (mark := _mark(tag, attrs, True)):
                 flush()
                 above = stack[-1][1]
-                boxes.append(Box(tag, boxes[above].path, above, boxes[above].depth + 1, True, len(page.blocks)))
+                boxes.append(Box(tag, boxes[above].path, above, boxes[above].depth + 1, mark, begin=len(page.blocks)))
                 # Its own block: hidden or foreign text must not run into the article's.
                 stack.append((tag + "!", len(boxes) - 1))
                 continue
@@ -221,23 +231,68 @@ def read(text: str) -> Page:
         above = stack[-1][1]
         box = boxes[above]
         inside = any(boxes[b].tag in ("article", "main") for _, b in stack[1:])
-        out = box.out or _not_article(tag, attrs, inside)
         step = _signature(tag, attrs)
-        boxes.append(Box(tag, f"{box.path}>{step}" if box.path else step, above, box.depth + 1, out, len(page.blocks)))
+        head = tag in ("h1", "main") or (tag == "article" and not _named(attrs))
+        boxes.append(Box(tag, f"{box.path}>{step}" if box.path else step, above, box.depth + 1, _mark(tag, attrs, inside), head, begin=len(page.blocks)))
         stack.append((tag, len(boxes) - 1))
     flush()
     for _, b in stack:
         boxes[b].end = len(page.blocks)
+    _judge(page)
     return page
 
 
+#: A loosely marked box with more than this share of the page's prose may be one around the page.
+_AROUND = 0.5
+#: Less prose than this outside of it is no article.
+_REST = 0.1
+
+
+def _prose(body: str, linked: int) -> int:
+    return 0 if 2 * linked > len(body) else len(body) - linked
+
+
+def _judge(page: Page) -> None:
+    """What is not part of the article: boxes with a mark and all in them. A loose mark does not count on a box with most of
+    the page's prose, unless the article is seen to be outside: its heading is, and more than a little prose."""
+    boxes = page.boxes
+
+    def spread() -> None:
+        for box in boxes[1:]:
+            box.out = box.mark > 0 or boxes[box.above].out
+
+    spread()
+    if not any(b.mark == _LOOSE for b in boxes):
+        return
+    firm = [False] * len(boxes)
+    for i, box in enumerate(boxes[1:], 1):
+        firm[i] = box.mark == _FIRM or firm[box.above]
+    held, heads = [0] * len(boxes), [0] * len(boxes)
+    for body, linked, b in page.blocks:
+        n = 0 if firm[b] else _prose(body, linked)
+        while n and b >= 0:
+            held[b] += n
+            b = boxes[b].above
+    for i, box in enumerate(boxes):
+        b = i if box.head and not firm[i] else -1
+        while b >= 0:
+            heads[b] += 1
+            b = boxes[b].above
+    for i, box in enumerate(boxes):
+        # Boxes with more than half lie in each other, so there are few; those around others come first.
+        if box.mark != _LOOSE or firm[i] or held[i] <= _AROUND * held[0]:
+            continue
+        rest = sum(_prose(body, linked) for body, linked, b in page.blocks if not boxes[b].out)
+        if heads[i] or not heads[0] or rest < _REST * held[0]:
+            box.mark = 0
+            spread()
+
+
 def _weigh(page: Page) -> None:
     """Prose and linked characters in every box."""
     for body, linked, b in page.blocks:
-        if page.boxes[b].out or 2 * linked > len(body):
-            n, k = 0, len(body)
-        else:
-            n, k = len(body) - linked, linked
+        n = 0 if page.boxes[b].out else _prose(body, linked)
+        k = len(body) - n if not n else linked
         while b >= 0:
             page.boxes[b].prose += n
             page.boxes[b].linked += k
@@ -264,17 +319,26 @@ def votes(page: Page) -> list[tuple[str, float]]:
     return sorted(found.items(), key=lambda v: (-v[1], v[0]))
 
 
+#: Share of a page's prose that a host's path must hold to be taken. It need not be most of it; of a main element, which a
+#: page has one of, less will do.
+_SHARE, _MAIN_SHARE = 0.3, 0.1
+
+
 def extract(text: str, paths: list[str]) -> tuple[str, str]:
-    """The article's text and the path it was taken from: the first of the paths that the page has with prose in it,
-    or else the page's own best."""
+    """The article's text and the path it was taken from: the first of the paths that holds enough of the page's prose, or
+    else the page's own best."""
     page = read(text)
     own = votes(page)
     if not own:
         # No prose that stands out: whatever is not foreign to the article.
         return " ".join(b for b, _, x in page.blocks if not page.boxes[x].out), ""
-    # A host's path is a promise about its pages, so it need not hold most of this page's prose.
-    have = {b.path for b in page.boxes[1:] if b.prose and not b.out}
-    path = next((p for p in paths if p in have), own[0][0])
+    have: dict[str, int] = {}
+    enough: dict[str, float] = {}
+    for b in page.boxes[1:]:
+        if b.prose and not b.out:
+            have[b.path] = have.get(b.path, 0) + b.prose
+            enough[b.path] = (_MAIN_SHARE if b.tag == "main" else _SHARE) * page.boxes[0].prose
+    path = next((p for p in paths if have.get(p, 0) >= enough.get(p, 1)), own[0][0])
     keep = []
     for body, _, x in page.blocks:
         b = x

@@ -121,6 +121,34 @@ def test_host_path_wins_over_own():
     assert html.extract(text, ["body>main"])[0] == "Short." and html.extract(text, ["body>none"])[1] != "body>main"
 
 
+ARTICLE = " ".join(f"Sentence {i} of the article says something." for i in range(20))
+
+
+def test_host_path_of_another_template(spark):
+    common = "<body><div class='text'><h1>T</h1><p>%s</p></div></body>"
+    other = "<body><div class='long'><h1>T</h1><p>%s</p></div><div class='text'><p>A teaser of another article.</p></div></body>"
+    rows = [(i, None, (other if i == 0 else common) % f"{ARTICLE} {i}") for i in range(9)]
+    got = {r["page_id"]: r["text"] for r in html.articles(spark.createDataFrame(rows, "page_id int, url string, html string")).collect()}
+    assert all(got[i].startswith(f"T {ARTICLE} {i}") for i in range(9))
+
+
+@pytest.mark.parametrize("begin, end", [
+    *[(f"<div class='{c}'>", "</div>") for c in ("content has-sidebar", "no-sidebar", "fixed-header", "comments-open")],
+    ("<section id='header-fixed'>", "</section>"), ("<form action='x.aspx'>", "</form>"),
+    ("<form><div class='no-sidebar'><div class='widgets-ready'>", "</div></div></form>")])
+@pytest.mark.parametrize("heading", ["<h1>T</h1>", "<p>T</p>"])
+def test_marks_of_boxes_around_the_page(begin, end, heading):
+    side = "<div class='sidebar'><p>Beside it.</p></div><div id='comments'><p>Nice!</p></div><nav><p>Menu of it</p></nav>"
+    text = f"<body>{begin}<div class='x'>{heading}<p>{ARTICLE}</p></div>{side}{end}</body>"
+    assert html.extract(text, [])[0] == f"T {ARTICLE}"
+    assert html.extract(f"<body><p>Site</p>{begin}<h1>T</h1><p>{ARTICLE}</p>{side}{end}</body>", [])[0].endswith(f"T {ARTICLE}")
+
+
+def test_long_comments_stay_out():
+    text = f"<body><div class='x'><h1>T</h1><p>{ARTICLE}</p></div><div id='comments'><p>{ARTICLE} {ARTICLE}</p></div></body>"
+    assert html.extract(text, [])[0] == f"T {ARTICLE}"
+
+
 @pytest.mark.parametrize("text", ["<", "<a", "<!--", "<p", "</", "<script>", "a<b", "<div " + "a" * 5000, "<p>" * 3000, "<div>" * 500 + "x", "&#0;&bad;&amp"])
 def test_broken_markup(text):
     html.extract(text, ["p"])
