@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gustline.llm import decontaminate, html, language, lm, mixing, pseudonyms, rules, simhash, toxicity, warc
+from gustline.llm import (decontaminate, html, kernel, language, lm, mixing, pseudonyms, resampling, rules, simhash, spelling, toxicity,
+                           warc)
 from gustline.storage import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,3 +157,116 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     held = remainder("doc_id", 5) == 1
     return lm.score(docs, ~held).select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+#: CRC-32 of the text ``x``, by a table made from its polynomial.
+_CRC_TABLE = """
+SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(CAST(i AS BIGINT), range(8)),
+         lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+"""
+_CRC = """
+xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(strlen(x)),
+  lambda i: CAST('0x' || substr(hex(x), 2 * i + 1, 2) AS BIGINT))),
+  lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)))
+"""
+
+_OP11_SQL = rf"""
+WITH RECURSIVE crc AS MATERIALIZED ({_CRC_TABLE}),
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+        FROM documents)
+  GROUP BY doc_id, run),
+hashed AS (SELECT run, n, {_CRC} AS h FROM (SELECT run, n, concat(doc_id, ':', run) AS x FROM runs), crc),
+words AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+        FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+less AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.rest = w.word),
+best AS (
+  SELECT word, n_near, other, other_n
+  FROM (SELECT word, other, n AS other_n, count(*) OVER (PARTITION BY word) AS n_near,
+               row_number() OVER (PARTITION BY word ORDER BY n DESC, other) AS k FROM near)
+  WHERE k = 1),
+forms AS MATERIALIZED (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * words.n THEN other END AS form,
+         CASE WHEN other_n >= 2 * words.n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+steps AS (
+  SELECT word, word AS root FROM forms WHERE form IS NULL
+  UNION ALL SELECT forms.word, steps.root FROM forms JOIN steps ON forms.form = steps.word)
+SELECT word, form, root, n, CAST(n_near AS BIGINT) AS n_near, form_n FROM forms JOIN steps USING (word)
+"""
+
+
+@query("op11_spelling_variants", _OP11_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def _features_sql(name: str, key: str) -> str:
+    """Runs of one to three words of a table's texts, one row each."""
+    return rf"""
+  SELECT r, key, n_words, unnest(flatten([
+           w, list_transform(range(1, n_words), lambda i: w[i] || ' ' || w[i + 1]),
+           list_transform(range(1, n_words - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])])) AS x
+  FROM (SELECT *, len(w) AS n_words
+        FROM (SELECT row_number() OVER () AS r, {key} AS key, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {name}))"""
+
+
+_OP12_SQL = rf"""
+WITH crc AS MATERIALIZED ({_CRC_TABLE}),
+d AS MATERIALIZED ({_features_sql("documents", "doc_id")}),
+b AS MATERIALIZED ({_features_sql("benchmark", "item_id")}),
+buckets AS MATERIALIZED (
+  SELECT x, {_CRC} % 10000 AS bucket FROM (SELECT x FROM d UNION SELECT x FROM b), crc),
+s AS (SELECT bucket, count(*) AS n FROM d JOIN buckets USING (x) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM b JOIN buckets USING (x) GROUP BY bucket),
+every AS (SELECT (SELECT count(*) FROM d) AS s, (SELECT count(*) FROM b) AS t),
+gains AS (
+  SELECT bucket, floor(1000 * ln((CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * (every.s + 10000.0::DOUBLE)
+                                 / ((CAST(coalesce(s.n, 0) AS DOUBLE) + 1) * (every.t + 10000.0::DOUBLE)))) AS gain
+  FROM s FULL JOIN t USING (bucket), every),
+weights AS (
+  SELECT r, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+  FROM d JOIN buckets USING (x) JOIN gains USING (bucket) GROUP BY r),
+rows AS (
+  SELECT row_number() OVER () AS r, doc_id, len(regexp_extract_all(coalesce(text, ''),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS n_words,
+         CAST('0x' || substr(sha256(concat('42:', doc_id)), 1, 8) AS BIGINT) AS h FROM documents),
+scored AS (
+  SELECT doc_id, n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM rows LEFT JOIN weights USING (r)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+         5 * count(*) FILTER (n_words >= 20) OVER () // 100 AS most
+  FROM scored)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN n_words >= 20 AND place <= most THEN place END AS rank
+FROM ranked
+"""
+
+
+@query("op12_importance_resampling", _OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    found = resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_quality_classifier")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    held = remainder("doc_id", 4) == 2
+    stats = materialize(kernel.statistics(table(spark, folder, "documents")), "statistics")
+    model = kernel.fit(stats, table(spark, folder, "labels"), ~held)
+    return kernel.score(stats, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
