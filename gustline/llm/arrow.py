@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 PIECE_BYTES = 4 << 20
 _CHUNK = 1 << 20
@@ -143,14 +143,17 @@ def annotate(df: DataFrame, work: Callable[[], Callable[[pa.Array], Sequence[pa.
     new = {f.name.lower() for f in fields}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in new]
     schema = StructType([*[StructField(c, df.schema[c].dataType, True) for c in kept], *fields.fields])
-    source = df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(kept)], col(text).cast("string").alias("t"))
-    names = [f.name for f in schema]
+    # A kept text goes to the tasks once.
+    once = text in kept and isinstance(df.schema[text].dataType, StringType)
+    place = kept.index(text) if once else len(kept)
+    source = df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(kept)], *([] if once else [col(text).cast("string").alias("t")]))
+    names, column, many = [f.name for f in schema], source.columns[place], len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = work()
         for batch in batches:
-            for piece in pieces(batch, "t", limit):
+            for piece in pieces(batch, column, limit):
                 columns = piece.columns
-                yield pa.RecordBatch.from_arrays([*columns[:-1], *made(columns[-1])], names=names)
+                yield pa.RecordBatch.from_arrays([*columns[:many], *made(columns[place])], names=names)
 
     return source.mapInArrow(run, schema)

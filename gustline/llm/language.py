@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
-from gustline.llm.arrow import PIECE_BYTES, WORD, annotate, col, pieces, spans, utf8
+from gustline.llm.arrow import WORD, annotate, col, pieces, spans, utf8
 from gustline.storage import materialize
 
 BUCKETS = 1 << 16
@@ -35,8 +35,9 @@ SWITCH = 8.0
 SCRIPT_SHARE = 0.01
 #: Languages whose scores a task holds as a table; of more, tables of ``_SOME`` languages are made in turn.
 _HELD, _SOME = 256, 64
-#: Words times languages that are scored at once.
+#: Words times languages that are scored at once, and bytes of text worked on at once: a byte takes some dozens in the process.
 _CELLS = 1 << 23
+_PIECE = 1 << 20
 
 #: First code points of ranges, and the script of each (0: no letters).
 _RANGES = (
@@ -52,7 +53,7 @@ _RANGES = (
     (0x30000, 0))
 SCRIPTS = 29
 _FROM = np.array([r[0] for r in _RANGES])
-_SCRIPT = np.array([r[1] for r in _RANGES])
+_SCRIPT = np.array([r[1] for r in _RANGES], np.uint8)
 
 
 def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -70,7 +71,7 @@ def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _scripts(data: np.ndarray) -> np.ndarray:
     """Script of every byte that begins a character, 0 for others."""
-    out = np.zeros(len(data), np.int64)
+    out = np.zeros(len(data), np.uint8)
     if len(data) and data.max() >= 0x80:
         lead, point = _code_points(data)
         out[lead] = _SCRIPT[np.searchsorted(_FROM, point, side="right") - 1]
@@ -94,9 +95,9 @@ class Words:
             left[at[:-1][at[:-1] < len(data)]] = 32
             right[at[1:][at[1:] > 0] - 1] = 32
         key = left << np.uint32(16) | blank << np.uint32(8) | right
-        self.bucket = ((key * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.int64)
+        self.bucket = ((key * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
         script = _scripts(data)
-        self.letters = self._sums((script > 0).astype(np.int64))
+        self.letters = self._sums((script > 0).astype(np.int32))
         # A word's script is that of its first letter.
         place = np.flatnonzero(script)
         hit = np.searchsorted(place, self.begin)
@@ -187,7 +188,7 @@ def counts(df: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
                                                pa.array(n[slot])], names=["lang", "slot", "n"])
 
         for batch in batches:
-            for piece in pieces(batch, "t"):
+            for piece in pieces(batch, "t", _PIECE):
                 names = piece.column(0).to_pylist()
                 for name in sorted(set(names)):
                     rows = pa.array([i for i, x in enumerate(names) if x == name])
@@ -304,15 +305,15 @@ def label(texts: pa.Array, emissions: Emissions, switch: float = SWITCH) -> tupl
     return w, _paths_by_blocks(w, emissions, switch, step), blocks
 
 
-def identify(df: DataFrame, model: Model, keep=None, text: str = "text", switch: float = SWITCH) -> DataFrame:
-    """``keep`` (all columns unless given), lang_pred, score and ``lang_spans``: begin and end word and language.
+def identify(df: DataFrame, model: Model, keep=None, text: str = "text", switch: float = SWITCH, with_spans: bool = True) -> DataFrame:
+    """``keep`` (all columns unless given), lang_pred, score and, ``with_spans``, ``lang_spans``: begin and end word and language.
 
     The score is the share of the letters in words of the language, times how sure those words are: 1 - 1 / (1 + margin),
     the margin being the mean difference to the next language, in nats per word.
     """
     span = StructType([StructField("begin", IntegerType()), StructField("end", IntegerType()), StructField("lang", StringType())])
     fields = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()),
-                         StructField("lang_spans", ArrayType(span))])
+                         *([StructField("lang_spans", ArrayType(span))] if with_spans else [])])
     arrow_span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
 
     def work():
@@ -325,7 +326,7 @@ def identify(df: DataFrame, model: Model, keep=None, text: str = "text", switch:
             if n > most:
                 return [pa.concat_arrays(x) for x in zip(*[run(texts.slice(i, most)) for i in range(0, n, most)])]
             if not names:
-                return [pa.array(["und"] * n), pa.array([0.0] * n), pa.array([[]] * n, arrow_span)]
+                return [pa.array(["und"] * n), pa.array([0.0] * n), *([pa.array([[]] * n, arrow_span)] if with_spans else [])]
             w, path, blocks = label(texts, emissions, switch)
             k = len(names)
             text_of = np.repeat(np.arange(n), np.diff(w.first))
@@ -349,6 +350,8 @@ def identify(df: DataFrame, model: Model, keep=None, text: str = "text", switch:
             named = [names[j] if e > 0 else "und" for j, e in zip(top.tolist(), every.tolist())]
             for i in lone:
                 named[i] = names[0]
+            if not with_spans:
+                return [pa.array(named, pa.string()), pa.array(score)]
             cut = np.ones(len(path), bool)
             cut[1:] = (path[1:] != path[:-1]) | (text_of[1:] != text_of[:-1])
             at = np.flatnonzero(cut)
@@ -361,7 +364,7 @@ def identify(df: DataFrame, model: Model, keep=None, text: str = "text", switch:
             return [pa.array(named), pa.array(score), pa.array(rows, arrow_span)]
         return run
 
-    return annotate(df, work, fields, keep, text, max(1 << 16, PIECE_BYTES * 4 // max(4, len(model.languages))))
+    return annotate(df, work, fields, keep, text, max(1 << 16, _PIECE * 4 // max(4, len(model.languages))))
 
 
 def accept(df: DataFrame, model: Model, least: float = 0.1, **settings) -> DataFrame:
@@ -370,6 +373,6 @@ def accept(df: DataFrame, model: Model, least: float = 0.1, **settings) -> DataF
     if not model.languages:
         return df
     found = identify(df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(df.columns)]), model,
-                     text=f"k{df.columns.index(settings.pop('text', 'text'))}", **settings)
+                     text=f"k{df.columns.index(settings.pop('text', 'text'))}", with_spans=False, **settings)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(
         *[F.col(f"k{i}").alias(c) for i, c in enumerate(df.columns)])

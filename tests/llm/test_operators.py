@@ -561,3 +561,37 @@ def test_mix(spark):
     kept = mixing.mixed(df, F.col("sources"))
     assert kept.columns == ["doc_id", "text", "sources", "taken"] and kept.where("taken <= 0").count() == 0
     assert mixing.mixed(df.where("false"), F.col("sources")).count() == 0
+
+
+def test_a_template_costs_few_pairs_of_texts(spark, monkeypatch):
+    """Texts that share most of their words and are no copies: their sketches are compared in tiles, hardly any texts are."""
+    rng = np.random.default_rng(9)
+    shared = [f"shared{i}" for i in range(100)]
+    texts = [" ".join(shared + [f"own{rng.integers(1 << 40)}" for _ in range(40)]) for _ in range(300)]
+    texts += [" ".join(t.split()[:-1]) for t in texts[:20]]
+    looked = []
+    monkeypatch.setattr(nearcopies, "_TILE", 32)
+    alike = nearcopies._alike
+    monkeypatch.setattr(nearcopies, "_alike", lambda pairs, *rest: (looked.append(pairs.count()), alike(pairs, *rest))[1])
+    kept = {r["doc_id"] for r in nearcopies.one_of_each(docs(spark, texts)).select("doc_id").collect()}
+    assert kept == set(range(300))
+    assert sum(looked) < 0.02 * 320 * 319 / 2
+
+
+def test_sketches_of_copies_agree():
+    """At the limit no pair of 400 comes near the number of equal bytes that is asked for."""
+    rng = np.random.default_rng(10)
+    need = nearcopies.agreement()
+    for size in (60, 300, 1000):
+        for _ in range(133):
+            words = [str(x) for x in rng.integers(0, 1 << 40, size)]
+            other = list(words)
+            i = 0
+            while True:
+                other[int(rng.integers(size))] = f"x{i}"
+                i += 1
+                a, b = (nearcopies.shingles(" ".join(w).encode()) for w in (words, other))
+                if not nearcopies.similar(a, b):
+                    break
+                same = (nearcopies.minima(a).astype(np.uint8) == nearcopies.minima(b).astype(np.uint8)).sum()
+                assert same > need
