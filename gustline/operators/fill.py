@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustline.functions.timeline import bucket_time, epoch_micros, step_seconds
-from gustline.operators.neighbours import NEXT_POSITION, before, with_neighbours
+from gustline.functions.frequency import Frequency, frequency_of
+from gustline.functions.timeline import epoch_micros
+from gustline.operators.neighbours import NEXT_POSITION, after, before, with_neighbours
 from gustline.operators.resample import BUCKET, CHUNK_BUCKETS, bucket_aggregate, expand_gaps
 from gustline.schema import KEYS
 
@@ -25,18 +26,28 @@ def forward_backward(column: str) -> Column:
     return F.expr(f"coalesce(`__before_{column}`.value, `__after_{column}`.value)")
 
 
-def slope(column: str) -> Column:
-    """Change per position between the neighbours, 0 where one is missing."""
-    left, right = f"`__before_{column}`", f"`__after_{column}`"
-    return F.expr(f"coalesce(({right}.value - {left}.value) / ({right}.at - {left}.at), 0D)")
+Place = Callable[[Column], Column]
 
 
-def linear(column: str, position: str) -> Column:
-    """Linear in time between the neighbours, the nearest value at both ends."""
-    left, right = f"`__before_{column}`", f"`__after_{column}`"
-    return F.expr(
-        f"coalesce({left}.value + coalesce(({right}.value - {left}.value) / ({right}.at - {left}.at) "
-        f"* (`{position}` - {left}.at), 0D), {right}.value)")
+def _as_is(position: Column) -> Column:
+    return position
+
+
+def _rise(column: str, place: Place) -> Column:
+    left, right = before(column), after(column)
+    return F.coalesce((right["value"] - left["value"]) / (place(right["at"]) - place(left["at"])), F.lit(0.0))
+
+
+def slope(column: str, place: Place = _as_is) -> Column:
+    """Change per unit of ``place`` between the neighbours, 0 where one is missing."""
+    return _rise(column, place)
+
+
+def linear(column: str, position: str, place: Place = _as_is) -> Column:
+    """Linear between the neighbours, the nearest value at both ends. ``place`` gives a position's place in time."""
+    left, right = before(column), after(column)
+    between = (right["value"] - left["value"]) / (place(right["at"]) - place(left["at"])) * (place(F.col(position)) - place(left["at"]))
+    return F.coalesce(left["value"] + F.coalesce(between, F.lit(0.0)), right["value"])
 
 
 _METHODS = {
@@ -54,12 +65,13 @@ def _carried(methods: dict[str, str]) -> list[str]:
     return [c for c, m in methods.items() if m != "zero"]
 
 
-def resample_filled(df: DataFrame, rules: dict[str, str], methods: dict[str, str], frequency: str | int = "1 hour",
+def resample_filled(df: DataFrame, rules: dict[str, str], methods: dict[str, str], frequency: str | int | Frequency = "1 hour",
                     keys: Sequence[str] = KEYS, time: str = "valid") -> DataFrame:
     """Resample to the dense grid and fill. Decided on the non-empty buckets, which are expanded last: each carries its
-    filled value and, for a line, its change per bucket, so the dense series meets no sort and no exchange."""
-    step, carried = step_seconds(frequency), _carried(methods)
-    buckets = bucket_aggregate(df, rules, step, keys, time)
+    filled value and, for a line, its change over time, so the dense series meets no sort and no exchange."""
+    frequency, carried = frequency_of(frequency), _carried(methods)
+    place = frequency.place
+    buckets = bucket_aggregate(df, rules, frequency, keys, time)
     near = with_neighbours(buckets, BUCKET, carried, keys, CHUNK_BUCKETS)
 
     def known(c: str) -> list[Column]:
@@ -68,19 +80,20 @@ def resample_filled(df: DataFrame, rules: dict[str, str], methods: dict[str, str
         if methods.get(c) == "ffill_bfill":
             return [forward_backward(c).alias(c)]
         if methods.get(c) == "linear":
-            return [F.coalesce(F.col(c), linear(c, BUCKET)).alias(c), slope(c).alias(f"__slope_{c}")]
+            return [F.coalesce(F.col(c), linear(c, BUCKET, place)).alias(c), slope(c, place).alias(f"__slope_{c}")]
         return [F.col(c)]
 
     def filled(c: str) -> Column:
         here = F.when(F.col("__grid") == F.col(BUCKET), F.col(c))
         if methods.get(c) == "linear":
-            return F.expr(f"`{c}` + `__slope_{c}` * (__grid - `{BUCKET}`)").alias(c)
+            return (F.col(c) + F.col(f"__slope_{c}") * (place(F.col("__grid")) - place(F.col(BUCKET)))).alias(c)
         if methods.get(c) == "zero":
             return F.coalesce(here, F.lit(0.0)).alias(c)
         return F.col(c) if c in methods else here.alias(c)
 
-    grid = expand_gaps(near.select(*keys, BUCKET, NEXT_POSITION, *[x for c in rules for x in known(c)]))
-    return grid.select(*keys, bucket_time(F.col("__grid"), step).alias(time), *[filled(c) for c in rules])
+    grid = expand_gaps(near.select(
+        *keys, *frequency.carried, BUCKET, NEXT_POSITION, *[x for c in rules for x in known(c)]))
+    return grid.select(*keys, frequency.label(F.col("__grid")).alias(time), *[filled(c) for c in rules])
 
 
 def fill_gaps(df: DataFrame, methods: dict[str, str], keys: Sequence[str] = KEYS, time: str = "valid",

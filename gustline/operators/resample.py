@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gustline.functions.timeline import bucket_number, bucket_start, bucket_time, step_seconds
+from gustline.functions.frequency import Frequency, frequency_of
+from gustline.functions.timeline import bucket_number, bucket_start
 from gustline.operators.neighbours import NEXT_POSITION, placed, with_neighbours
 from gustline.operators.quantiles import (
     SMALL_GROUP, exact_quantiles, median_of_counts, median_of_pair, middle_pair,
@@ -25,20 +26,30 @@ def known_rules(df: DataFrame, keys: Sequence[str] = KEYS, time: str = "valid")
     return {c: RULES[c] for c in df.columns if c in RULES and c not in keys and c != time}
 
 
-def _bucketed(df: DataFrame, step: int, keys: Sequence[str], time: str) -> DataFrame:
-    return placed(df, keys, time).withColumn(BUCKET, bucket_start(F.col(time), step))
+def _bucketed(df: DataFrame, frequency: Frequency, keys: Sequence[str], time: str) -> DataFrame:
+    """Rows with their bucket: its start where that is cheap, its number otherwise."""
+    rows = placed(df, keys, time)
+    if frequency.anchored:
+        # A row per series, written: the join is planned by its size.
+        origins = rows.groupBy(*keys).agg(frequency.origin(F.min(time)).alias(frequency.carried[0]))
+        rows = rows.join(materialize(origins, "origins"), list(keys))
+    elif frequency.fixed:
+        return rows.withColumn(BUCKET, bucket_start(F.col(time), frequency.size))
+    return rows.withColumn(BUCKET, frequency.bucket(F.col(time)))
 
 
-def bucket_aggregate(df: DataFrame, rules: dict[str, str], step: int, keys: Sequence[str] = KEYS,
+def bucket_aggregate(df: DataFrame, rules: dict[str, str], frequency: str | int | Frequency, keys: Sequence[str] = KEYS,
                      time: str = "valid") -> DataFrame:
     """One row per key and non-empty, numbered bucket: mean, max or exact median of each column; nulls are skipped.
+    Buckets that depend on the series' beginning carry it along (:class:`Frequency`).
 
     Medians of code columns come from one counter per code. Other medians use a bounded sketch, exact up to
     ``SMALL_GROUP`` values, which are counted beside it; the buckets are written, and those with more values are ranked
     by :func:`exact_quantiles`, which never holds a bucket in one place. Results are exact for any bucket.
     """
-    keys = list(keys)
-    rows = _bucketed(df, step, keys, time)
+    frequency = frequency_of(frequency)
+    rows = _bucketed(df, frequency, keys, time)
+    keys = [*keys, *frequency.carried]
     medians = [c for c, rule in rules.items() if rule == "median"]
     aggregates = []
     for c, rule in rules.items():
@@ -72,7 +83,8 @@ def bucket_aggregate(df: DataFrame, rules: dict[str, str], step: int, keys: Sequ
 
     if busy is not None:
         grouped = grouped.join(_large_medians(rows, medians, keys, busy), [*keys, BUCKET], "left")
-    number = bucket_number(F.col(BUCKET), step).alias(BUCKET)
+    counted = frequency.fixed and not frequency.anchored
+    number = bucket_number(F.col(BUCKET), frequency.size).alias(BUCKET) if counted else F.col(BUCKET)
     return grouped.select(*keys, number, *[reduced(c, r) for c, r in rules.items()])
 
 
@@ -103,16 +115,16 @@ def expand_gaps(df: DataFrame) -> DataFrame:
         F.greatest(here, first), F.least(F.col("__last"), first + size - 1)))).drop("__last", "__block")
 
 
-def resample(df: DataFrame, rules: dict[str, str] | None = None, frequency: str | int = "1 hour",
+def resample(df: DataFrame, rules: dict[str, str] | None = None, frequency: str | int | Frequency = "1 hour",
              keys: Sequence[str] = KEYS, time: str = "valid", dense: bool = True) -> DataFrame:
     """Bucket aggregates per key; with ``dense`` every bucket from first to last is present."""
-    step = step_seconds(frequency)
+    frequency = frequency_of(frequency)
     rules = known_rules(df, keys, time) if rules is None else rules
-    buckets = bucket_aggregate(df, rules, step, keys, time)
+    buckets = bucket_aggregate(df, rules, frequency, keys, time)
     if not dense:
-        return buckets.select(*keys, bucket_time(F.col(BUCKET), step).alias(time), *rules)
+        return buckets.select(*keys, frequency.label(F.col(BUCKET)).alias(time), *rules)
     grid = expand_gaps(with_neighbours(buckets, BUCKET, [], keys, CHUNK_BUCKETS))
     real = F.col("__grid") == F.col(BUCKET)
     return grid.select(
-        *keys, bucket_time(F.col("__grid"), step).alias(time),
+        *keys, frequency.label(F.col("__grid")).alias(time),
         *[F.when(real, F.col(c)).alias(c) for c in rules])
