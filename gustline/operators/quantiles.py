@@ -1,9 +1,10 @@
-"""Exact order statistics without gathering a group in one place.
+"""Exact order statistics without gathering a group in one place, in two passes over the rows.
 
-Pass 1 keeps a bounded sketch per group that brackets every wanted rank. Pass 2 counts the rows of each
-distinct value inside a bracket and of each stretch between brackets (partial aggregation), so only those
-few counts are ordered: a fraction of the group in the order of the sketch's error. The result is exact,
-with linear interpolation between neighbours.
+A double is cut into whole numbers that rise with it: its sign, exponent and first bits of the fraction make a cell, the
+next bits a part of the cell. Pass 1 counts the rows of each cell. Only cells that hold a wanted rank are looked into: pass 2
+counts their distinct values, and what it finds, a small share of the rows, is narrowed by parts and then by values. Every
+table that one task orders is bounded by the number of cells, of parts of a cell, or of doubles in a part. All groups go
+through this together, whatever their size. The result is exact, with linear interpolation between neighbours.
 """
 
 from __future__ import annotations
@@ -13,77 +14,114 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gustline.operators.running import with_running_total
 from gustline.storage import materialize
 
-# The sketch's rank error is at most rows / ACCURACY; up to SMALL_GROUP rows it holds every value.
+# Bits of the fraction that tell cells apart, and parts of a cell; as many again are left in a part.
+CELL_BITS, PART_BITS = 8, 22
+# The sketch of bucket medians has a rank error of at most rows / ACCURACY; up to SMALL_GROUP rows it holds every value.
 ACCURACY = 40_000
 SMALL_GROUP = 10_000
-# Up to this many cells, counted, one task may order a group's; more are ordered by ranges.
-_ORDERED_CELLS = 1_000_000
-
-
-def _bracket(probability: float) -> tuple[float, float]:
-    return max(0.0, probability - 2 / ACCURACY), min(1.0, probability + 2 / ACCURACY)
-
-
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float]) -> DataFrame:
+# Moves exponents above zero, so that cells of negative numbers are negative.
+_SHIFT = 1100
+
+
+def _placed(v: Column) -> tuple[Column, Column]:
+    """Cell of a double, and where in the cell it is, from 0 to 1."""
+    a = F.abs(v)
+    two = F.lit(2.0)
+    guess = F.floor(F.log2(a))
+    # The logarithm is rounded; powers of two and quotients by them are not.
+    exponent = guess + (F.pow(two, guess + 1) <= a).cast("bigint") - (F.pow(two, guess) > a).cast("bigint")
+    least = F.pow(two, F.lit(-1022.0))
+    ratio = F.when(a < least, 1 + a * F.pow(two, F.lit(1022.0))).otherwise(a / F.pow(two, exponent))
+    exponent = F.when(a < least, F.lit(-1023)).otherwise(exponent)
+    scaled = (ratio - 1) * F.lit(float(1 << CELL_BITS))
+    cell = (exponent + _SHIFT) * (1 << CELL_BITS) + F.floor(scaled)
+    endless = F.lit((1024 + _SHIFT) << CELL_BITS)
+    cell = F.when(F.isnan(v), endless + 1).when(a == float("inf"), endless).otherwise(cell).cast("bigint")
+    inside = F.when(F.isnan(v) | (a == float("inf")), F.lit(0.0)).otherwise(scaled - F.floor(scaled))
+    return F.when(v < 0, -cell).otherwise(cell), F.when(v < 0, -inside).otherwise(inside)
+
+
+def counted_cells(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Pass 1: (keys, __cell, n, low, high, mean, square) of every cell; the rows without a value have the cell null."""
+    v = F.col(value).cast("double")
+    return materialize(df.select(*keys, v.alias("__v"), _placed(v)[0].alias("__cell")).groupBy(*keys, "__cell").agg(
+        F.count(F.lit(1)).alias("n"), F.min("__v").alias("low"), F.max("__v").alias("high"), F.avg("__v").alias("mean"),
+        F.var_pop("__v").alias("square")), "cells")
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, probabilities: Sequence[float],
+                    cells: DataFrame | None = None) -> DataFrame:
     """Per group: ``rows`` (present values), ``least``, ``most``, ``mean``, ``deviation`` (sample) and
-    ``quantiles``, an array in the order of the probabilities.
+    ``quantiles``, an array in the order of the probabilities. ``cells``: what pass 1 gave, if it has been made.
     """
     keys = list(keys)
-    present = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
-    # One row per group, written: its size is known when the join below is planned.
-    sketch = materialize(_sketch(present, keys, probabilities), "sketch")
-
-    # A cell is one value inside a bracket, or all values between two brackets. Cells rise with the values.
-    v = F.col("__v")
-    inside = F.exists("__brackets", lambda b: (v >= b["low"]) & (v <= b["high"]))
-    region = F.size(F.filter("__brackets", lambda b: b["low"] <= v)) + F.size(F.filter("__brackets", lambda b: b["high"] < v))
-    cells = materialize(
-        present.join(sketch.select(*keys, "__brackets"), keys)
-        .groupBy(*keys, region.alias("__region"), F.when(inside, v).alias("__value"))
-        .agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high")), "cells")
-    ranked = _running(cells, keys).join(sketch, keys)
+    cells = counted_cells(df, keys, value) if cells is None else cells
+    group = Window.partitionBy(*keys)
+    n, rows = F.col("n"), F.col("rows")
+    ranked = cells.where("__cell is not null").withColumns({
+        "rows": F.sum("n").over(group), "center": F.sum(n * F.col("mean")).over(group) / F.sum("n").over(group),
+        "last": F.sum("n").over(group.orderBy("__cell").rowsBetween(Window.unboundedPreceding, 0))})
+    places = [F.lit(float(p)) * (rows - 1) for p in probabilities]
+    ranked = ranked.withColumn("ranks", F.array(*[r for p in places for r in (F.floor(p) + 1, F.ceil(p) + 1)]))
+    squares = F.sum(n * F.col("square")) + F.sum(n * F.pow(F.col("mean") - F.col("center"), F.lit(2.0)))
+    cell = F.struct(F.col("__cell").alias("cell"), (F.col("last") - n + 1).alias("first"), "last", "low", "high")
+    # A group has two wanted ranks a probability, and no more wanted cells.
+    shape = materialize(ranked.groupBy(*keys).agg(
+        F.first("rows").alias("rows"), F.min("low").alias("least"), F.max("high").alias("most"), F.first("center").alias("mean"),
+        F.when(F.first("rows") > 1, F.sqrt(squares / (F.first("rows") - 1))).alias("deviation"), F.first("ranks").alias("ranks"),
+        F.collect_list(F.when(_wanted(), cell)).alias("cells")), "shape")
+
+    held = shape.select(*keys, "ranks", F.explode("cells").alias("c")).select(
+        *keys, "ranks", F.col("c.cell").alias("__cell"), "c.first", "c.last", "c.low", "c.high")
+    # Equal values, the first and the last of a cell are known without looking into it.
+    known = held.select(*keys, F.explode(F.array(
+        F.struct(F.col("first").alias("first"), F.when(F.col("low") == F.col("high"), F.col("last")).otherwise(F.col("first")).alias("last"),
+                 F.col("low").alias("value")),
+        F.struct(F.col("last").alias("first"), F.col("last").alias("last"), F.col("high").alias("value")))).alias("v"))
+    found = known.union(_looked_into(df, keys, value, held.where("low < high")).select(
+        *keys, F.struct("first", "last", "value").alias("v"))).groupBy(*keys).agg(F.collect_list("v").alias("values"))
 
     def at(rank: Column) -> Column:
-        """Value at a rank: any rank of a single value, the first or last one of a stretch."""
-        first = F.col("__last") - F.col("__n") + 1
-        return F.max(
-            F.when(F.col("__value").isNotNull() & rank.between(first, F.col("__last")), F.col("__value"))
-            .when(rank == F.col("__last"), F.col("__high")).when(rank == first, F.col("__low")))
-
-    def quantile(p: float) -> tuple[Column, Column, Column]:
-        place = F.lit(float(p)) * (F.col("rows") - 1)
-        return at(F.floor(place) + 1), at(F.ceil(place) + 1), F.first(place - F.floor(place))
-
-    parts = [quantile(p) for p in probabilities]
-    kept = ("rows", "least", "most", "mean", "deviation")
-    return ranked.groupBy(*keys).agg(
-        *[F.first(c).alias(c) for c in kept],
-        F.array(*[low + (high - low) * part for low, high, part in parts]).alias("quantiles"))
-
-
-def _running(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Add ``__last``, the rank of each cell's last row."""
-    order = ["__region", "__value"]
-    if cells.count() > _ORDERED_CELLS:
-        return with_running_total(cells, order, keys, F.col("__n"), "__last")
-    running = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return cells.withColumn("__last", F.sum("__n").over(running))
-
-
-def _sketch(present: DataFrame, keys: list[str], probabilities: Sequence[float]) -> DataFrame:
-    """Moments and, per probability, a bracket around its rank."""
-    ends = [end for p in probabilities for end in _bracket(p)]
-    found = present.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows"), F.min("__v").alias("least"), F.max("__v").alias("most"),
-        F.avg("__v").alias("mean"), F.stddev_samp("__v").alias("deviation"),
-        F.percentile_approx("__v", ends, ACCURACY).alias("__ends"))
-    brackets = F.array(*[
-        F.struct(F.col("__ends")[2 * i].alias("low"), F.col("__ends")[2 * i + 1].alias("high"))
-        for i in range(len(probabilities))])
-    return found.withColumn("__brackets", brackets).drop("__ends")
+        return F.filter("values", lambda v: (v["first"] <= rank) & (rank <= v["last"]))[0]["value"]
+
+    def quantile(place: Column) -> Column:
+        low, high = at(F.floor(place) + 1), at(F.ceil(place) + 1)
+        return low + (high - low) * (place - F.floor(place))
+
+    joined = shape.drop("cells", "ranks").join(found, keys)
+    return joined.select(*keys, "rows", "least", "most", "mean", "deviation", F.array(*map(quantile, places)).alias("quantiles"))
+
+
+def _wanted() -> Column:
+    """Whether one of the ranks is among the row's ranks."""
+    return F.exists("ranks", lambda r: (r > F.col("last") - F.col("n")) & (r <= F.col("last")))
+
+
+def _looked_into(df: DataFrame, keys: list[str], value: str, held: DataFrame) -> DataFrame:
+    """Pass 2: (keys, first, last, value) of the wanted ranks inside the cells ``held``."""
+    v = F.col(value).cast("double")
+    cell, inside = _placed(v)
+    rows = df.where(v.isNotNull()).select(*keys, v.alias("value"), cell.alias("__cell"), F.floor(inside * F.lit(float(1 << PART_BITS))).alias("part"))
+    level = [*keys, "__cell"]
+    inner = materialize(rows.join(held.select(*level, "ranks", (F.col("first") - 1).alias("before")), level).groupBy(
+        *level, "ranks", "before", "part", "value").agg(F.count(F.lit(1)).alias("n")), "inside")
+
+    def narrowed(counts: DataFrame, level: list[str], order: str) -> DataFrame:
+        running = Window.partitionBy(*level).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return counts.withColumn("last", F.col("before") + F.sum("n").over(running)).where(_wanted())
+
+    parts = narrowed(inner.groupBy(*level, "ranks", "before", "part").agg(F.sum("n").alias("n")), level, "part")
+    wanted = parts.select(*level, "part", (F.col("last") - F.col("n")).alias("before"))
+    values = narrowed(inner.drop("before").join(wanted, [*level, "part"]), [*level, "part"], "value")
+    return values.select(*keys, (F.col("last") - F.col("n") + 1).alias("first"), "last", "value")
+
+
+# --- medians of buckets ------------------------------------------------------------------------------
+
+def _bracket(probability: float) -> tuple[float, float]:
+    return max(0.0, probability - 2 / ACCURACY), min(1.0, probability + 2 / ACCURACY)
 
 
 def middle_pair(value: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gustline import versions
 from gustline.functions.describe import descriptions
 from gustline.operators import profile as P
 from gustline.operators.cluster import with_labels
@@ -14,7 +15,8 @@ from gustline.operators.smooth import smooth_rows
 from gustline.operators.split import unsplit
 from gustline.plans.stages import Layout, stored_days
 from gustline.schema import KEYS
-from gustline.sources.tables import observations, scan_observations
+from gustline.sources.tables import observations, read_stored, scan_observations
+from gustline.storage import materialize
 
 
 def measured_columns(df: DataFrame, skip: Sequence[str] = (*KEYS, "valid", "src_seq")) -> list[str]:
@@ -27,23 +29,40 @@ def distribution_tables(df: DataFrame, columns: Sequence[str] | None = None, key
     columns = list(columns) if columns is not None else measured_columns(df)
     numeric = [c for c in columns if P.is_numeric(df, c)]
     others = [c for c in columns if c not in numeric]
-    tables = {"missing": P.missing_counts(df, columns, keys)}
+    tables, missing = {}, []
     if numeric:
-        summary = P.summaries(df, numeric, keys)
-        tables |= {name: table(df, numeric, keys, summary=summary) for name, table in (
-            ("histogram", P.histogram), ("density", P.density), ("box", P.box_stats), ("outliers", P.outliers))}
-    if others:
+        # Four scans at most: cells, the cells with a quartile, what depends on the quartiles, and the other columns.
+        cells = P.value_cells(df, numeric, keys)
+        missing.append(cells.groupBy(*keys, "column").agg(
+            F.sum(F.when(F.col("__cell").isNotNull(), F.col("n")).otherwise(0)).alias("present"),
+            F.sum(F.when(F.col("__cell").isNull(), F.col("n")).otherwise(0)).alias("missing")))
+        summary = P.summaries(df, numeric, keys, cells)
+        given = P.spread(df, numeric, keys, summary)
+        tables |= {name: table(df, numeric, keys, summary=summary, given=given) for name, table in (
+            ("histogram", P.histogram), ("density", P.density), ("box", P.box_stats))}
+        tables["outliers"] = P.outliers(df, numeric, keys, summary=summary)
+    if others and keys:
+        missing.append(P.missing_counts(df, others, keys))
         few = {r["column"] for r in P.column_gates(df, others).where("has_few_values").collect()}
-        counted = [c for c in others if c in few]
-        if counted:
-            tables["categories"] = P.category_counts(df, counted, keys)
+        if few:
+            tables["categories"] = P.category_counts(df, [c for c in others if c in few], keys)
+    elif others:
+        met = materialize(P.values_met(df, others, P.MAX_CATEGORIES), "values")
+        counts = met.where("kind <> 'value'").groupBy("column")
+        missing.append(counts.agg(*[F.sum(F.when(F.col("kind") == k, F.col("n"))).alias(k) for k in ("present", "missing")]))
+        tables["categories"] = P.few_values(met)
+    for part in missing:
+        tables["missing"] = tables["missing"].unionByName(part) if "missing" in tables else part
     return tables
 
 
 def distribution_profile(df: DataFrame, columns: Sequence[str] | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """The same as one long table: ``(keys, column, part, item, value)``."""
-    tables = distribution_tables(df, columns, keys)
+    return profile_rows(distribution_tables(df, columns, keys), keys)
 
+
+def profile_rows(tables: dict[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
+    """The distribution tables among ``tables`` as one."""
     def part(table: DataFrame, name: str, item: Column, value: Column) -> DataFrame:
         return table.select(*keys, "column", F.lit(name).alias("part"), item.cast("string").alias("item"),
                             value.cast("double").alias("value"))
@@ -114,11 +133,11 @@ def station_reports(spark: SparkSession, layout: Layout, category: str = "fetche
     """All report tables of a stored dataset, per station."""
     if category == "modeled":
         split = stored_days(spark, layout, stations, since, until)
-        wide = observations(spark.read.parquet(layout.clusters), stations=stations)
+        wide = observations(read_stored(spark, layout.clusters, stations=stations), stations=stations)
         found = [c for c in wide.columns if c not in (*KEYS, "day")]
         cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("cluster")) for c in found])
         labels = wide.select(*KEYS, "day", F.explode(cells).alias("c")).select(*KEYS, "day", "c.*").where("cluster is not null")
-        return cluster_tables(split, labels, spark.read.parquet(layout.models))
+        return cluster_tables(split, labels, versions.read(spark, layout.models))
     if category not in ("fetched", "preprocessed"):
         raise ValueError(f"unknown category {category!r}")
     subcategory = "" if category == "fetched" else subcategory or "clean"

@@ -14,17 +14,21 @@ from gustline.operators import holdout, profile, scale
 from gustline.operators import quantiles as Q
 
 
+EDGES = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.0, 0.9999999999999999, 1.0000000000000002,
+         2.0, 4.0, 1.7976931348623157e308, -1.7976931348623157e308, 0.1, 1e22, 1e-300, -3.0, 2.0 ** 0.5, 1 / 3]
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.one_of(st.none(), st.integers(-5, 5).map(float), st.floats(-1e3, 1e3, width=32)), min_size=1, max_size=60),
-       st.sampled_from([8, 40_000]))
-def test_quantiles_equal_numpy(spark, values, accuracy):
+@given(st.lists(st.one_of(st.none(), st.integers(-5, 5).map(float), st.floats(-1e3, 1e3, width=32), st.sampled_from(EDGES[:11])),
+                min_size=1, max_size=60), st.sampled_from([1, 8]))
+def test_quantiles_equal_numpy(spark, values, bits):
     probabilities = [0.0, 0.25, 0.5, 0.9, 1.0]
-    old, Q.ACCURACY = Q.ACCURACY, accuracy
+    old, Q.CELL_BITS = Q.CELL_BITS, bits
     try:
         df = spark.createDataFrame([("g", v) for v in values], "k string, v double")
         found = Q.exact_quantiles(df, ["k"], "v", probabilities).collect()
     finally:
-        Q.ACCURACY = old
+        Q.CELL_BITS = old
     present = [v for v in values if v is not None]
     if not present:
         assert not found
@@ -33,16 +37,32 @@ def test_quantiles_equal_numpy(spark, values, accuracy):
         assert np.allclose(found[0]["quantiles"], np.quantile(present, probabilities), atol=1e-9)
 
 
-@pytest.mark.parametrize("ordered", [1_000_000, 10])
-def test_quantiles_of_a_hot_group_with_a_coarse_sketch(spark, monkeypatch, ordered):
-    monkeypatch.setattr(Q, "ACCURACY", 200)
-    monkeypatch.setattr(Q, "_ORDERED_CELLS", ordered)
+def test_cells_and_parts_rise_with_the_value(spark):
+    rng = np.random.default_rng(0)
+    bits = rng.integers(0, 1 << 63, 3000, np.uint64)
+    values = np.concatenate([EDGES, [np.inf, -np.inf], bits.view(np.float64), -bits.view(np.float64), rng.normal(size=500)])
+    values = np.sort(values[~np.isnan(values)])
+    cell, inside = Q._placed(F.col("v"))
+    got = spark.createDataFrame([(float(v),) for v in values], "v double").coalesce(1).select(
+        cell.alias("c"), F.floor(inside * float(1 << Q.PART_BITS)).alias("p")).collect()
+    places = [(r.c, r.p) for r in got]
+    assert places == sorted(places)
+    # What is left in a part are the last bits of the fraction.
+    assert len(set(places)) > 0.99 * len(set(values.tolist())) - 5
+
+
+def test_quantiles_of_a_hot_group_with_coarse_cells(spark, monkeypatch):
+    """Few cells, so that most values are told apart by their parts and within them."""
+    monkeypatch.setattr(Q, "CELL_BITS", 1)
+    monkeypatch.setattr(Q, "PART_BITS", 3)
     rng = random.Random(2)
     data = [("hot", rng.choice([7.0, rng.gauss(0, 1), rng.expovariate(1)])) for _ in range(20_000)] + [("cold", 1.0)]
-    found = {r.k: r.quantiles for r in Q.exact_quantiles(
+    found = {r.k: r for r in Q.exact_quantiles(
         spark.createDataFrame(data, "k string, v double").repartition(16), ["k"], "v", [0.1, 0.5, 0.99]).collect()}
-    assert np.allclose(found["hot"], np.quantile([v for k, v in data if k == "hot"], [0.1, 0.5, 0.99]))
-    assert found["cold"] == [1.0] * 3
+    hot = [v for k, v in data if k == "hot"]
+    assert np.allclose(found["hot"].quantiles, np.quantile(hot, [0.1, 0.5, 0.99]))
+    assert found["hot"].mean == pytest.approx(np.mean(hot)) and found["hot"].deviation == pytest.approx(np.std(hot, ddof=1))
+    assert found["cold"].quantiles == [1.0] * 3 and found["cold"].deviation is None
 
 
 def test_scalers_on_a_constant_column(obs):
