@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gustline import versions
 from gustline.functions.timeline import epoch_micros
 from gustline.operators.dtw import SLICE, as_matrix, as_series, dtw_labels, nearest_center, path_sums
 from gustline.schema import KEYS
@@ -316,23 +317,20 @@ def with_labels(split: DataFrame, labels: DataFrame, group: Sequence[str] = GROU
 
 def stored_dtw_model(df: DataFrame, path: str, clusters: int = 5, refit: bool = False, group: Sequence[str] = GROUP,
                      **options) -> DataFrame:
-    """Model from the store; groups not in it are fitted and added. A stored model is reused as it is."""
-    from pyspark.sql.utils import AnalysisException
-
-    spark = df.sparkSession
-    try:
-        stored = spark.read.parquet(path)
-    except AnalysisException:
-        stored = None
-    todo = df if stored is None or refit else df.join(stored.select(*group).distinct(), list(group), "left_anti")
-    if stored is not None and not refit and todo.isEmpty():
-        return stored
-    fresh = materialize(fit_dtw_kmeans(todo, clusters, group, **options), "model")
-    if stored is not None and refit:
-        kept = stored.join(fresh.select(*group).distinct(), list(group), "left_anti")
-        fresh = materialize(kept.unionByName(fresh), "model")
-    fresh.write.mode("append" if stored is not None and not refit else "overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """Model from the store; groups not in it are fitted and added. A stored model is reused as it is; ``refit`` replaces the
+    models of the frame's groups. A version of the store is changed as a whole (:mod:`gustline.versions`)."""
+    group = list(group)
+
+    def made(stored: DataFrame | None) -> DataFrame | None:
+        todo = df if stored is None or refit else df.join(stored.select(*group).distinct(), group, "left_anti")
+        if stored is not None and not refit and todo.isEmpty():
+            return None
+        fresh = materialize(fit_dtw_kmeans(todo, clusters, group, **options), "model")
+        if stored is None or not refit:
+            return fresh
+        return stored.join(fresh.select(*group).distinct(), group, "left_anti").unionByName(fresh)
+
+    return versions.append(df.sparkSession, path, "dtw", made, instead=refit)
 
 
 def model_json(model: DataFrame, group: Sequence[str] = GROUP, **hyper_params) -> DataFrame:

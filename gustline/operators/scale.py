@@ -11,8 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from gustline import versions
 from gustline.schema import KEYS
 from gustline.storage import materialize
 
@@ -105,32 +105,20 @@ def stored_scaler(df: DataFrame, path: str, scaler: str, variant: str = "", refi
     """Parameters from the store; stations not in it are fitted and added.
 
     The store's key is station, scaler and variant; a stored fit is reused whatever the time range.
-    ``refit`` fits every station of the frame anew and replaces its rows.
+    ``refit`` fits every station of the frame anew and replaces its rows. A version of the store is changed as a whole
+    (:mod:`gustline.versions`), so readers and other writers are not disturbed.
     """
-    spark = df.sparkSession
     identity = list(keys)
-    wanted = (F.col("scaler") == scaler) & (F.col("variant") == variant)
-    try:
-        stored = spark.read.parquet(f"{path}/scaler={scaler}/variant={variant or 'all'}")
-        stored = stored.withColumn("scaler", F.lit(scaler)).withColumn("variant", F.lit(variant))
-    except AnalysisException:
-        stored = None
-    fresh_rows = df if stored is None or refit else df.join(stored.select(*identity).distinct(), identity, "left_anti")
-    fresh = fit_scaler(fresh_rows, scaler, keys=keys, time=time, variant=variant, **options).where(wanted)
     order = [*identity, "scaler", "variant", "column", *PARAMETERS]
-    target = f"{path}/scaler={scaler}/variant={variant or 'all'}"
-    # Written aside first: the store is still being read while new rows are fitted.
-    fresh = materialize(fresh.select(*order), "scaler")
-    if stored is None:
-        result = fresh
-        mode = "errorifexists"
-    elif refit:
-        kept = stored.select(*order).join(fresh.select(*identity).distinct(), identity, "left_anti")
-        result = materialize(kept.unionByName(fresh), "scaler")
-        mode = "overwrite"
-    else:
-        result = fresh
-        mode = "append"
-    result.drop("scaler", "variant").write.mode(mode).parquet(target)
-    return (spark.read.parquet(target).withColumn("scaler", F.lit(scaler))
-            .withColumn("variant", F.lit(variant)).select(*order))
+    wanted = (F.col("scaler") == scaler) & (F.col("variant") == variant)
+
+    def made(stored: DataFrame | None) -> DataFrame:
+        fresh_rows = df if stored is None or refit else df.join(stored.select(*identity).distinct(), identity, "left_anti")
+        fresh = fit_scaler(fresh_rows, scaler, keys=keys, time=time, variant=variant, **options).where(wanted).select(*order)
+        if stored is None or not refit:
+            return fresh
+        # Written aside first: it decides which stored rows stay, and is one of both parts.
+        fresh = materialize(fresh, "scaler")
+        return stored.join(fresh.select(*identity).distinct(), identity, "left_anti").select(*order).unionByName(fresh)
+
+    return versions.append(df.sparkSession, path, f"{scaler} {variant}", made, instead=refit).select(*order)

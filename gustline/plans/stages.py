@@ -1,5 +1,5 @@
 """The stored stages: ingest, clean, scale, split, cluster. Each reads a table, writes one, and covers all
-stations in one plan. Tables live under one root, by category and subcategory, in folders by station."""
+stations in one plan. Tables live under one root, by category and subcategory, in buckets of stations."""
 
 from __future__ import annotations
 
@@ -21,7 +21,7 @@ from gustline.schema import KEYS, MAIN_COLUMNS
 from gustline.sources.documents import network_options
 from gustline.sources.payloads import parse_payloads
 from gustline.sources.sinks import write_networks, write_observations, write_split
-from gustline.sources.tables import observations, scan_observations
+from gustline.sources.tables import observations, read_stored, scan_observations
 
 # Fixed value: share of a day that one smoothing window covers.
 DAY_FRAC = 0.4
@@ -117,7 +117,7 @@ def run_scale(spark: SparkSession, layout: Layout, stations=None, since=None, un
     for name in scalers_wanted(scaler or "minmax"):
         params = stored_scaler(table, layout.scalers, name, "main" if main else "", refit, columns=columns)
         write_observations(apply_scaler(table, params), layout.scaled(name))
-        written[name] = spark.read.parquet(layout.scaled(name))
+        written[name] = read_stored(spark, layout.scaled(name))
     return written
 
 
@@ -130,7 +130,7 @@ def run_split(spark: SparkSession, layout: Layout, stations=None, since=None, un
     for name, path in sources.items():
         table = scan_observations(spark, path, "preprocessed", _hour(since), until, stations=stations, main=main)
         write_split(split_days(drop_empty_columns(table)), layout.split(name))
-    return {name: spark.read.parquet(layout.split(name)) for name in sources}
+    return {name: read_stored(spark, layout.split(name)) for name in sources}
 
 
 def run_preprocess(spark: SparkSession, layout: Layout, stations=None, since=None, until=None, main: bool = True,
@@ -145,7 +145,7 @@ def run_preprocess(spark: SparkSession, layout: Layout, stations=None, since=Non
 
 def stored_days(spark: SparkSession, layout: Layout, stations=None, since=None, until=None) -> DataFrame:
     """Split clean rows of the stations whose day starts in the range."""
-    return observations(spark.read.parquet(layout.split("clean")), _hour(since), until, stations=stations, time="day")
+    return observations(read_stored(spark, layout.split("clean"), stations=stations), _hour(since), until, stations=stations, time="day")
 
 
 def run_cluster(spark: SparkSession, layout: Layout, stations=None, since=None, until=None, clusters: int = 5,
@@ -156,4 +156,4 @@ def run_cluster(spark: SparkSession, layout: Layout, stations=None, since=None,
     model = stored_dtw_model(split, layout.models, clusters, refit, **options)
     labels = align_labels(assign_dtw(split, model), MAIN_COLUMNS)
     write_observations(labels, layout.clusters)
-    return spark.read.parquet(layout.clusters)
+    return read_stored(spark, layout.clusters)

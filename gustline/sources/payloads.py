@@ -89,5 +89,5 @@ def request_all(spark: SparkSession, base: str, since, until, **options) -> Data
     """The one request for all stations; no row if the range is longer than a day."""
     settings = {"report": "", "timezone": "Etc/UTC", "trace": False, "latlon": False, "elevation": False, **options}
     span = [F.lit(str(t)).cast("timestamp_ntz") for t in (since, until)]
-    return spark.range(1).where(F.timestamp_diff("SECOND", *span) <= 86400).select(
+    return spark.range(1).where(F.timestamp_diff("MICROSECOND", *span) <= 86_400_000_000).select(
         _address(base, since, until, **settings).alias("request"))

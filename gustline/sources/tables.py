@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gustline import schema as S
+from gustline import versions
 from gustline.functions.timeline import from_year
 from gustline.operators.select import main_columns as pick_main
 from gustline.operators.select import members, min_spread, overlapping
@@ -24,17 +26,43 @@ def _csv(spark: SparkSession, path, schema: T.StructType) -> DataFrame:
     return without_nan(spark.read.schema(schema).option("header", True).csv(path))
 
 
+def read_stored(spark: SparkSession, path: str, networks=None, stations=None) -> DataFrame | None:
+    """The newest version of a table of stations, of the buckets that the stations asked for are in by the table's contents; None
+    if there is no such table. Rows of other stations in these buckets are left to the caller's filter."""
+    version = versions.current(spark, path)
+    if not version.number:
+        return None
+    schema = T.StructType.fromJson(json.loads(version.info["schema"]))
+    parts = None
+    if (networks is not None or stations is not None) and version.of(["contents"]):
+        contents = spark.read.parquet(*[f"{path}/{f}" for f in version.of(["contents"])])
+        # At most a row per bucket.
+        parts = {str(r[0]) for r in _of_stations(contents, networks, stations).select("__bucket").distinct().collect()}
+    found = [f for p, names in version.folders.items() if p != "contents" and (parts is None or p in parts) for f in names]
+    return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in sorted(found)]) if found else spark.createDataFrame([], schema)
+
+
+def _of_stations(df: DataFrame, networks, stations) -> DataFrame:
+    df = members(df, "network", networks, "network")
+    if isinstance(stations, DataFrame):
+        shared = [F.col("sid").alias("station")] + (["network"] if "network" in stations.columns else [])
+        wanted = stations.select(*shared)
+        return df.join(wanted, wanted.columns, "left_semi")
+    return members(df, "station", stations)
+
+
 def scan_observations(spark: SparkSession, path, category: str = "fetched", since=None, until=None,
                       networks=None, stations=None, main: bool = False, columns: Sequence[str] | None = None,
                       kind: str = "parquet") -> DataFrame:
     """Observations of the stations and time range asked for.
 
     ``category`` fixes the types of CSV files: fetched reports, or preprocessed doubles (``columns`` names
-    them). In a table written by station, network and station prune folders; the time range and the columns
+    them). In a stored table, network and station choose buckets; stations, the time range and the columns
     reach the file scan. ``until`` is included.
     """
     if kind == "parquet":
-        df = without_nan(spark.read.parquet(path))
+        stored = read_stored(spark, path, networks, stations)
+        df = without_nan(spark.read.parquet(path) if stored is None else stored)
     elif category == "fetched":
         df = _csv(spark, path, S.OBSERVATIONS)
     elif category in ("preprocessed", "modeled"):
@@ -51,13 +79,7 @@ def observations(df: DataFrame, since=None, until=None, networks=None, stations=
         df = df.where(F.col(time) >= F.lit(str(since)).cast("timestamp_ntz"))
     if until is not None:
         df = df.where(F.col(time) <= F.lit(str(until)).cast("timestamp_ntz"))
-    df = members(df, "network", networks, "network")
-    if isinstance(stations, DataFrame):
-        shared = [F.col("sid").alias("station")] + (["network"] if "network" in stations.columns else [])
-        wanted = stations.select(*shared)
-        df = df.join(wanted, wanted.columns, "left_semi")
-    else:
-        df = members(df, "station", stations)
+    df = _of_stations(df, networks, stations)
     if columns is not None:
         df = df.select(*[c for c in (*S.KEYS, "valid", *columns) if c in df.columns])
     return pick_main(df) if main else df
@@ -101,10 +123,3 @@ def with_network(df: DataFrame, stations: DataFrame) -> DataFrame:
     """Add the network of each row's station from the station table."""
     lookup = stations.select(F.col("sid").alias("station"), "network")
     return df.join(lookup, "station")
-
-
-def resolve_stations(stations, station_table: DataFrame | None = None) -> DataFrame | str | list[str] | None:
-    """One ID, a list or a frame, as a frame of (sid, network) when the station table is at hand."""
-    if stations is None or isinstance(stations, DataFrame) or station_table is None:
-        return stations
-    return station_info(station_table, stations=stations, main=True)

@@ -6,12 +6,14 @@ checkpoint or a written table in the folder named by ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_own: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -20,10 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_SETTING} to a folder every executor can reach")
-    # One machine only: driver and executors share this disk.
-    folder = tempfile.mkdtemp(prefix="gustline-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    # One machine only: driver and executors share this disk. The folder goes when the program ends.
+    application = spark.sparkContext.applicationId
+    if application not in _own:
+        _own[application] = tempfile.TemporaryDirectory(prefix="gustline-", ignore_cleanup_errors=True)
+        atexit.register(_own[application].cleanup)
+    return _own[application].name
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -170,30 +170,57 @@ def test_pruning_reaches_the_scan(spark, obs, tmp_path):
     sinks.write_observations(obs(rows, ["tmpf", "gust"]), str(tmp_path / "o"))
     df = tables.scan_observations(spark, str(tmp_path / "o"), since="2024-01-02", until="2024-01-03", stations="a", columns=["tmpf"])
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(station" in plan and "GreaterThanOrEqual(valid" in plan and "gust" not in plan
+    assert " = a)" in plan and "__bucket" in df.inputFiles()[0] and "GreaterThanOrEqual(valid" in plan and "gust" not in plan
     assert df.count() == 2
 
 
+def test_scan_of_a_station_reads_its_bucket(spark, obs, tmp_path):
+    path = str(tmp_path / "o")
+    names = [f"s{i}" for i in range(40)]
+    sinks.write_observations(obs([(s, f"2024-01-0{d} 00:00", float(d)) for s in names for d in (1, 2)], ["tmpf"]), path, buckets=8)
+    sinks.write_observations(obs([("new", "2024-01-01 00:00", 7.0)], ["tmpf"]), path)
+    every = tables.read_stored(spark, path)
+    assert every.count() == 81
+    assert len({f.split("__bucket=")[1].split("/")[0] for f in every.inputFiles()}) == 8
+    for wanted in ("s3", ["s3"], spark.createDataFrame([("N", "s3")], "network string, sid string")):
+        one = tables.scan_observations(spark, path, stations=wanted)
+        assert len({f.split("__bucket=")[1].split("/")[0] for f in one.inputFiles()}) == 1 and one.count() == 2
+    assert tables.scan_observations(spark, path, stations="none").count() == 0
+    assert tables.scan_observations(spark, path, networks="N").count() == 81
+
+
+def test_sink_keeps_and_adds_columns(spark, obs, tmp_path):
+    path = str(tmp_path / "o")
+    sinks.write_observations(obs([("a", "2024-01-01 00:00", 1.0)], ["tmpf"]), path, buckets=1)
+    sinks.write_observations(obs([("b", "2024-01-01 00:00", 2.0)], ["gust"]), path)
+    sinks.write_observations(obs([("b", "2024-01-02 00:00", 3.0)], ["gust"]), path, mode="append")
+    assert table(tables.read_stored(spark, path).select("station", "tmpf", "gust"), "station", "gust") == [
+        ("a", 1.0, None), ("b", None, 2.0), ("b", None, 3.0)]
+    with pytest.raises(ValueError):
+        sinks.write_observations(obs([("b", "2024-01-01 00:00", "x")], ["gust string"]), path)
+    assert tables.read_stored(spark, path).count() == 3
+
+
 def test_sink_replaces_only_the_stations_written(spark, obs, tmp_path):
     path = str(tmp_path / "o")
     sinks.write_observations(obs([("a", "2024-01-01 00:00", 1.0), ("b", "2024-01-01 00:00", 2.0)], ["tmpf"]), path)
     sinks.write_observations(obs([("b", "2024-01-01 00:00", 9.0)], ["tmpf"]), path)
-    assert table(spark.read.parquet(path).select("station", "tmpf"), "station") == [("a", 1.0), ("b", 9.0)]
+    assert table(tables.read_stored(spark, path).select("station", "tmpf"), "station") == [("a", 1.0), ("b", 9.0)]
 
 
 def test_stages_end_to_end(spark, landed, obs, tmp_path):
     layout = stages.Layout(str(tmp_path / "data"))
     stages.run_ingest(landed, layout, order=("part",))
-    assert spark.read.parquet(layout.fetched).count() == 4
+    assert tables.read_stored(spark, layout.fetched).count() == 4
     hours = [(s, f"2024-02-{d:02d} {h:02d}:10", float(h + d), "FEW", None) for s in "ab" for d in range(1, 7) for h in range(24)]
     sinks.write_observations(obs(hours, ["tmpf", "skyc1 string", "dwpf"]), layout.fetched)
     cleaned = stages.run_clean(spark, layout)
     # A measurement nobody has is dropped.
     assert set(cleaned.columns) == {"network", "station", "valid", "tmpf", "skyc1"} and cleaned.count() == 288
     stages.run_preprocess(spark, layout, stations=["a"], split="all", scaler="minmax standard")
-    assert spark.read.parquet(layout.scaled("minmax")).agg(F.max("tmpf")).first()[0] == 1.0
-    assert set(spark.read.parquet(layout.split("scaled_standard")).select("station").distinct().collect()[0]) == {"a"}
-    assert spark.read.parquet(layout.split("clean")).count() == 12
+    assert tables.read_stored(spark, layout.scaled("minmax")).agg(F.max("tmpf")).first()[0] == 1.0
+    assert set(tables.read_stored(spark, layout.split("scaled_standard")).select("station").distinct().collect()[0]) == {"a"}
+    assert tables.read_stored(spark, layout.split("clean")).count() == 12
     part = stages.run_cluster(spark, layout, since="2024-02-02", until="2024-02-03 12:00:00", clusters=1, max_iter=1)
     assert part.count() == 2
     labels = stages.run_cluster(spark, layout, clusters=2, refit=True, seed=1, max_iter=2)
