@@ -41,18 +41,22 @@ def encoded(columns) -> tuple[str, str]:
     return "enc", f"SELECT network, station, valid, {', '.join(map(one, columns))} FROM obs"
 
 
-def buckets(columns, source: str = "enc") -> tuple[str, str]:
+def buckets(columns, source: str = "enc", label: str = "date_trunc('hour', valid)") -> tuple[str, str]:
     def one(c: str) -> str:
         rule = "avg" if c in MEANS else "max" if c in ("p01i", "gust") else "median"
         return f"{rule}({c}) AS {c}"
-    return "hourly", (f"SELECT network, station, date_trunc('hour', valid)::TIMESTAMP AS valid, {', '.join(map(one, columns))} "
+    return "hourly", (f"SELECT network, station, ({label})::TIMESTAMP AS valid, {', '.join(map(one, columns))} "
                       f"FROM {source} GROUP BY 1, 2, 3")
 
 
-def grid(columns) -> tuple[str, str]:
+#: Rows with the first time of their series, from which some buckets are counted.
+FROM_FIRST = "(SELECT *, min(valid) OVER (PARTITION BY network, station) AS first FROM enc) e"
+
+
+def grid(columns, steps: str = "generate_series(min(valid), max(valid), INTERVAL 1 HOUR)") -> tuple[str, str]:
     return "grid", (
         f"SELECT g.network, g.station, g.valid, {', '.join('h.' + c for c in columns)} FROM ("
-        "SELECT network, station, unnest(generate_series(min(valid), max(valid), INTERVAL 1 HOUR)) AS valid "
+        f"SELECT network, station, unnest({steps})::TIMESTAMP AS valid "
         "FROM hourly GROUP BY 1, 2) g LEFT JOIN hourly h USING (network, station, valid)")
 
 
@@ -151,6 +155,38 @@ def lowess_steps(n: int, k: int, source: str = "cells", name: str = "smooth") ->
     return steps
 
 
+def long_lowess_steps(frac: str, source: str, name: str = "smooth") -> list[tuple[str, str]]:
+    """As ``lowess_steps``, for series (network, station, slot, value) of any length without missing slots."""
+    steps = [
+        ("shape", f"SELECT network, station, count(*) AS n, least(count(*), CAST(floor(count(*) * {frac} + 1e-10) AS BIGINT)) AS k FROM {source} GROUP BY ALL"),
+        ("win", f"""SELECT network, station, i, j, CASE WHEN d <= 1e-3 * r THEN 1e0 WHEN d > 999e-3 * r THEN 0e0
+            ELSE power(1 - power(d / r, 3), 3) END AS w FROM (
+            SELECT network, station, i, s + o AS j, abs(i - s - o) * 1e0 AS d, greatest(i - s, s + k - 1 - i) * 1e0 AS r FROM (
+              SELECT network, station, slot AS i, k, least(greatest(slot - k // 2, 0), n - k) AS s, unnest(range(k)) AS o
+              FROM {source} JOIN shape USING (network, station)) b) c"""),
+        ("p0", f"SELECT network, station, slot, value, 1e0 AS rw FROM {source}"),
+    ]
+    for t in range(4):
+        steps.append((f"m{t}", f"""SELECT p.network, p.station, i, sum(w * rw) AS sw,
+            sum(w * rw * j) / nullif(sum(w * rw), 0) AS xb, sum(w * rw * value) / nullif(sum(w * rw), 0) AS yb
+            FROM p{t} p JOIN win ON win.network = p.network AND win.station = p.station AND j = slot GROUP BY ALL"""))
+        steps.append((f"f{t}", f"""SELECT m.network, m.station, m.i AS slot, any_value(m.sw) AS sw,
+            any_value(m.yb) + any_value(m.i - m.xb) * CASE WHEN sum(w * rw * power(j - m.xb, 2)) / any_value(m.sw) > 1e-12
+              THEN sum(w * rw * (j - m.xb) * p.value) / sum(w * rw * power(j - m.xb, 2)) ELSE 0e0 END AS fit
+            FROM m{t} m JOIN win ON win.i = m.i AND win.network = m.network AND win.station = m.station
+              JOIN p{t} p ON p.slot = j AND p.network = m.network AND p.station = m.station GROUP BY ALL"""))
+        steps.append((f"e{t}", f"""SELECT p.network, p.station, p.slot, value, CASE WHEN sw > 0 THEN f.fit ELSE value END AS fit,
+            abs(value - CASE WHEN sw > 0 THEN f.fit ELSE value END) AS e FROM p{t} p JOIN f{t} f USING (network, station, slot)"""))
+        steps.append((f"p{t + 1}", f"""SELECT network, station, slot, value, fit,
+            CASE WHEN s > 0 THEN CASE WHEN e / s >= 1 - 1e-9 THEN 0e0 ELSE power(1 - power(e / s, 2), 2) END
+                 WHEN e > 0 THEN 0e0 ELSE 1e0 END AS rw
+            FROM (SELECT *, 6 * median(e) OVER (PARTITION BY network, station) AS s
+              FROM (SELECT * REPLACE (CASE WHEN e <= 1e-10 * max(abs(value)) OVER (PARTITION BY network, station)
+                THEN 0e0 ELSE e END AS e) FROM e{t}) z) q"""))
+    steps.append((name, "SELECT network, station, slot, value, fit AS smooth FROM p4"))
+    return steps
+
+
 def minmax_params(columns, source: str = "clean", where: str = "") -> tuple[str, str]:
     parts = " UNION ALL ".join(
         f"SELECT network, station, '{c}' AS \"column\", min({c}) AS center, "

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,10 +12,10 @@ from pyspark.sql import functions as F
 from gustline.functions import encode, geo, text, timeline
 from gustline.functions.describe import describe_columns, descriptions
 from gustline.functions.popup import attributes
-from gustline.operators import cluster, dedup, dtw, fill, holdout, nearest, profile, resample, scale, select, smooth, split
+from gustline.operators import cluster, dedup, dtw, fill, holdout, nearest, profile, resample, scale, select, smooth, smooth_long, split
 from gustline.plans import layers, reports, stages
 from gustline.plans.clean import SERIES_START, clean
-from gustline.schema import KEYS, MAIN_COLUMNS
+from gustline.schema import KEYS, MAIN_COLUMNS, RULES, report_type
 from gustline.sources import documents, payloads, sinks, tables
 from gustline.sources import text as files
 from gustline.storage import materialize, scratch_path
@@ -78,7 +80,7 @@ def scan_obs(spark, folder):
 def sink_roundtrip(spark, folder):
     path = scratch_path(spark, "fetched")
     sinks.write_observations(V.obs(spark, folder), path)
-    return spark.read.parquet(path)
+    return tables.read_stored(spark, path)
 
 
 @query("q_network_info", """SELECT concat('NET_', CAST(n_nationkey AS VARCHAR)) AS network, n_name AS network_name
@@ -199,6 +201,17 @@ def html_options(spark, folder):
     return found.withColumn("position", F.col("position").cast("bigint"))
 
 
+@query("q_option_list", "SELECT concat('NET_', CAST(n_nationkey AS VARCHAR)) AS network, concat(n_name, ' <&> \"', CAST(n_regionkey AS VARCHAR), '\"') AS network_name FROM nation")
+def option_list(spark, folder):
+    """Selection pages, one a region, with an option for every nation."""
+    option = F.concat(F.lit('<option class="n" value="NET_'), F.col("n_nationkey").cast("string"), F.lit('">\n<b>'),
+                      F.col("n_name"), F.lit("</b> &lt;&amp;&gt; &quot;"), F.col("n_regionkey").cast("string"), F.lit("&quot;</option>"))
+    pages = V.table(spark, folder, "nation").groupBy("n_regionkey").agg(
+        F.concat(F.lit("<form><select name=n>"), F.array_join(F.collect_list(option), "\n"), F.lit("</select></form>")).alias("page"))
+    found = documents.network_options(pages, "page")
+    return found.withColumn("network_name", F.trim(F.regexp_replace("network_name", "^\\s+", "")))
+
+
 def _geojson(spark, folder) -> DataFrame:
     """Documents of station features, a bounded number of stations in each."""
     s = V.stations(spark, folder)
@@ -262,6 +275,31 @@ def request_manifest(spark, folder):
         V.stations(spark, folder), _BASE, "2018-01-01 00:00:00", "2022-01-01 06:30:00", report="combined", latlon=True)
 
 
+@query("q_request_all", f"""
+    WITH e AS (SELECT min(ts) AS first, max(ts) AS last FROM events)
+    SELECT concat('{_BASE}data=all&tz=Etc/UTC&format=onlycomma&missing=empty&trace=empty&',
+      strftime(first, 'year1=%Y&month1=%m&day1=%d&hour1=%H&minute1=%M&'),
+      strftime(first + INTERVAL 24 HOUR, 'year2=%Y&month2=%m&day2=%d&hour2=%H&minute2=%M&')) AS request FROM e""")
+def request_all(spark, folder):
+    """All stations at once: granted for a day from the first report on, refused for the whole range of the reports."""
+    first, last = V.table(spark, folder, "events").agg(F.min("ts"), F.max("ts")).first()
+    day = payloads.request_all(spark, _BASE, first, first + timedelta(days=1))
+    return day.union(payloads.request_all(spark, _BASE, first, last)).union(
+        payloads.request_all(spark, _BASE, first, first + timedelta(days=1, microseconds=1)))
+
+
+@query("q_report_types", O.chain(O.observations(), final=" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {'NULL' if kind is None else f"'{kind}'"} AS kind, count({c}) AS present FROM obs"""
+    for c, kind in (("network", None), ("station", "string"), ("valid", "timestamp"), ("skyc1", "string"), ("src_seq", None),
+                    *((c, "double") for c in O.ALL if c != "skyc1")))))
+def report_types(spark, folder):
+    """Type that a report's column is read with, beside the cells that the observations have of it."""
+    counted = profile.missing_counts(V.obs(spark, folder), ["network", "station", "valid", "src_seq", *O.ALL])
+    kinds = {c: report_type(c) for c in ("network", "station", "valid", "src_seq", *O.ALL)}
+    known = F.create_map(*[x for c, k in kinds.items() for x in (F.lit(c), F.lit(k).cast("string"))])
+    return counted.select("column", known[F.col("column")].alias("kind"), "present")
+
+
 _EARLY = "TIMESTAMP '2024-01-15 00:00:00'"
 
 
@@ -416,16 +454,91 @@ def scale_stored(spark, folder):
 
 @query("q_resample_hourly", O.chain(O.observations(), O.encoded(_ALL), O.buckets(_ALL), final=O.rounded(_ALL, source="hourly")))
 def resample_hourly(spark, folder):
-    df = V.obs(spark, folder).withColumns({
+    return rounded(resample.resample(_encoded(spark, folder), dense=False), _ALL)
+
+
+def _encoded(spark, folder, station: str = "type") -> DataFrame:
+    return V.obs(spark, folder, station).withColumns({
         "skyc1": encode.ordinal_code(F.col("skyc1")),
         **{c: encode.positive_indicator(F.col(c)) for c in ("p01i", "gust")}})
-    return rounded(resample.resample(df, dense=False), _ALL)
 
 
-@query("q_dense_grid", O.chain(O.observations("user"), O.buckets(["tmpf", "skyl1"], "obs"), O.grid(["tmpf", "skyl1"]),
-                               final=O.rounded(["tmpf", "skyl1"], source="grid")))
+def _method(c: str) -> str:
+    return "linear" if c in O.MEANS else "zero" if c in ("p01i", "gust") else "ffill_bfill"
+
+
+def _regular(columns, label: str, steps: str, source: str = O.FROM_FIRST, first=(O.observations(), O.encoded(O.ALL))) -> str:
+    """Dense and filled buckets named by ``label``, of the steps ``steps``."""
+    def filled(c: str) -> str:
+        how = {"linear": O.linear, "zero": lambda x: f"coalesce({x}, 0e0)", "ffill_bfill": O.both_fills}[_method(c)]
+        return f"{how(c)} AS {c}"
+    return O.chain(*first, O.buckets(columns, source, label), O.grid(columns, steps),
+                   ("filled", f"SELECT network, station, valid, {', '.join(map(filled, columns))} FROM grid"),
+                   final=O.rounded(columns, source="filled"))
+
+
+def _regularly(df: DataFrame, columns, frequency: str) -> DataFrame:
+    rules = {c: RULES[c] for c in columns}
+    return rounded(fill.resample_filled(df, rules, {c: _method(c) for c in columns}, frequency), columns)
+
+
+_MIDNIGHT = "date_trunc('day', first)"
+
+
+@query("q_resample_5h", _regular(
+    _ALL, f"{_MIDNIGHT} + to_hours(5 * CAST(floor((epoch(valid) - epoch({_MIDNIGHT})) / 18000) AS BIGINT))",
+    "generate_series(min(valid), max(valid), INTERVAL 5 HOUR)"))
+def resample_5h(spark, folder):
+    """A width that does not divide a day: buckets begin at the midnight before a station's first report."""
+    return _regularly(_encoded(spark, folder), _ALL, "5h")
+
+
+_SUNDAY = "date_trunc('week', {}) + INTERVAL 6 DAY"
+
+
+@query("q_resample_2week", _regular(
+    _ALL, f"{_SUNDAY.format('first')} + to_days(14 * CAST(ceil(date_diff('day', {_SUNDAY.format('first')}, "
+          f"{_SUNDAY.format('valid')}) / 14) AS INT))", "generate_series(min(valid), max(valid), INTERVAL 14 DAY)"))
+def resample_2week(spark, folder):
+    """Pairs of calendar weeks, named by their last Sunday, from the week of a station's first report."""
+    return _regularly(_encoded(spark, folder), _ALL, "2W")
+
+
+_ORDERED = ["tmpf", "skyl1", "gust"]
+_ORDER_SERIES = """SELECT 'orders' AS network, CAST(o_custkey AS VARCHAR) AS station, o_orderdate::TIMESTAMP AS valid,
+    CAST(o_totalprice AS DOUBLE) AS tmpf, CAST(o_totalprice AS DOUBLE) AS skyl1, CAST(o_totalprice AS DOUBLE) AS gust FROM orders"""
+
+
+def _order_series(spark, folder) -> DataFrame:
+    """Orders of a customer as a series of years with long gaps."""
+    price = F.col("o_totalprice").cast("double")
+    return V.table(spark, folder, "orders").select(
+        F.lit("orders").alias("network"), F.col("o_custkey").cast("string").alias("station"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("valid"), *[price.alias(c) for c in _ORDERED])
+
+
+@query("q_resample_month", _regular(
+    _ORDERED, "last_day(valid)", "list_transform(generate_series(date_trunc('month', min(valid)), max(valid), INTERVAL 1 MONTH), "
+    "lambda m: last_day(m))", "enc", [("enc", _ORDER_SERIES)]))
+def resample_month(spark, folder):
+    """Calendar months, named by their last day; lines are drawn over steps of unequal length."""
+    return _regularly(_order_series(spark, folder), _ORDERED, "M")
+
+
+@query("q_resample_2quarter", _regular(
+    _ORDERED, "date_trunc('quarter', first) + to_months(6 * CAST(floor(date_diff('quarter', first, valid) / 2) AS INT))",
+    "generate_series(min(valid), max(valid), INTERVAL 6 MONTH)", O.FROM_FIRST, [("enc", _ORDER_SERIES)]))
+def resample_2quarter(spark, folder):
+    """Pairs of quarters, named by their first day, from the quarter of the first order."""
+    return _regularly(_order_series(spark, folder), _ORDERED, "2QS")
+
+
+_FILL_SQL = [O.observations("user"), O.encoded(_ALL), O.buckets(_ALL), O.grid(_ALL)]
+
+
+@query("q_dense_grid", O.chain(*_FILL_SQL, final=O.rounded(_ALL, source="grid")))
 def dense_grid(spark, folder):
-    return rounded(resample.resample(V.obs(spark, folder, "user"), {"tmpf": "mean", "skyl1": "median"}), ("tmpf", "skyl1"))
+    return rounded(resample.resample(_encoded(spark, folder, "user")), _ALL)
 
 
 _PARAMS = f"""SELECT network, station, "column", {O.r6('center')} AS center, {O.r6('scale')} AS scale FROM params"""
@@ -586,17 +699,14 @@ def dedup_best(spark, folder):
     return dedup.dedup_best(V.obs(spark, folder, time="hour"))
 
 
-_GAPPED = [O.observations("user"), O.buckets(["tmpf", "skyl1"], "obs"), O.grid(["tmpf", "skyl1"])]
-
-
 def _filled_sql(expression) -> str:
-    return O.chain(*_GAPPED, ("filled", f"SELECT network, station, valid, {expression('tmpf')} AS tmpf, {expression('skyl1')} AS skyl1 FROM grid"),
-                   final=O.rounded(["tmpf", "skyl1"], source="filled"))
+    cells = ", ".join(f"{expression(c)} AS {c}" for c in _ALL)
+    return O.chain(*_FILL_SQL, ("filled", f"SELECT network, station, valid, {cells} FROM grid"), final=O.rounded(_ALL, source="filled"))
 
 
 def _filled(spark, folder, method: str) -> DataFrame:
-    rules = {"tmpf": "mean", "skyl1": "median"}
-    return rounded(fill.resample_filled(V.obs(spark, folder, "user"), rules, dict.fromkeys(rules, method)), tuple(rules))
+    rules = {c: RULES[c] for c in _ALL}
+    return rounded(fill.resample_filled(_encoded(spark, folder, "user"), rules, dict.fromkeys(rules, method)), _ALL)
 
 
 @query("q_ffill", _filled_sql(O.ffill))
@@ -644,6 +754,18 @@ def lowess(spark, folder):
 _ROW_WINDOW = 'OVER (PARTITION BY network, station, "column", day)'
 
 
+@query("q_lowess_long", O.chain(
+    *O.clean_steps(), ("series", """SELECT network, station, valid, tmpf AS value,
+        row_number() OVER (PARTITION BY network, station ORDER BY valid) - 1 AS slot FROM clean WHERE tmpf IS NOT NULL"""),
+    *O.long_lowess_steps("1e-1", "series"),
+    final=f"SELECT network, station, valid, {O.r6('series.value')} AS tmpf, {O.r6('smooth')} AS tmpf_smooth "
+          "FROM series JOIN smooth USING (network, station, slot)"))
+def lowess_long(spark, folder):
+    """A station's whole series as one column."""
+    table = materialize(clean(V.obs(spark, folder)).select(*KEYS, "valid", "tmpf"), "clean")
+    return rounded(smooth_long.smooth_column(table, "tmpf", frac=0.1), ("tmpf", "tmpf_smooth"))
+
+
 @query("q_scale_rows", O.chain(*_SPLIT_STEPS, ("rows_scaled", f"""
     SELECT network, station, "column", day, slot,
       (value - min(value) {_ROW_WINDOW}) / CASE WHEN max(value) {_ROW_WINDOW} = min(value) {_ROW_WINDOW} THEN 1e0
@@ -805,6 +927,22 @@ def train_test_exact(spark, folder):
     return holdout.mark_test(V.table(spark, folder, "events").select("event_id"), "event_id", 0.3, 7, exact=True)
 
 
+_STRATA_PARTS = "SELECT event_id, event_type, CASE WHEN event_id % 5 <> 0 THEN CAST(user_id % 10 AS BIGINT) END AS part FROM {}"
+
+
+@query("q_train_test_strata", O.chain(
+    ("e", "SELECT *, concat('{\"s0\":\"', event_type, '\",\"s1\":', coalesce(CAST(part AS VARCHAR), 'null'), '}') AS s FROM (" + _STRATA_PARTS.format("events") + ") x"),
+    ("sizes", "SELECT s, count(*) AS n, round(count(*) * 3e-1, 9) AS share FROM e GROUP BY 1"),
+    ("quotas", """SELECT s, floor(share) + CASE WHEN row_number() OVER (ORDER BY share - floor(share) DESC, s)
+        <= ceil(round(sum(n) OVER () * 3e-1, 9)) - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS quota FROM sizes"""),
+    final="""SELECT event_id, event_type, part, row_number() OVER (PARTITION BY s ORDER BY md5(concat('7:', CAST(event_id AS VARCHAR))))
+      <= quota AS is_test FROM e JOIN quotas USING (s)"""))
+def train_test_strata(spark, folder):
+    V.table(spark, folder, "events").createOrReplaceTempView("strata_events")
+    parts = spark.sql(_STRATA_PARTS.format("strata_events"))
+    return holdout.mark_test_within(parts, "event_id", ["event_type", "part"], 0.3, 7)
+
+
 def _vectors(spark, folder) -> DataFrame:
     return V.table(spark, folder, "embeddings").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
 
@@ -945,7 +1083,7 @@ def split_stage(spark, folder):
 def preprocess(spark, folder):
     layout = _stored(spark, folder)
     stages.run_preprocess(spark, layout, split="all", scaler="minmax")
-    return flat(spark.read.parquet(layout.split("scaled_minmax")).select(*_SERIES, "values"))
+    return flat(tables.read_stored(spark, layout.split("scaled_minmax")).select(*_SERIES, "values"))
 
 
 @query("q_cluster_days", O.chain(*_SPLIT_STEPS, _COMPLETE_DAYS,
@@ -955,13 +1093,36 @@ def preprocess(spark, folder):
 def cluster_days(spark, folder):
     layout, apart = _stored(spark, folder), stages.Layout(scratch_path(spark, "data"))
     stages.run_preprocess(spark, layout, split="clean")
-    sinks.write_split(_apart(spark.read.parquet(layout.split("clean"))), apart.split("clean"))
+    sinks.write_split(_apart(tables.read_stored(spark, layout.split("clean"))), apart.split("clean"))
     labels = stages.run_cluster(spark, apart, clusters=3, seed=1)
     # One row per station and day: a window holds the days of one station's cluster.
     first = {c: F.when(F.col(c).isNotNull(), F.min("day").over(Window.partitionBy(*KEYS, c))) for c in MAIN_COLUMNS}
     return labels.select(*KEYS, "day", *[f.alias(c) for c, f in first.items()])
 
 
+@query("q_model_json", O.chain(*_SPLIT_STEPS, ("ranked", """SELECT *, row_number() OVER (PARTITION BY network, station, "column" ORDER BY day) AS k
+        FROM split"""), final=f"""
+    SELECT network, station, "column", CAST(k - 1 AS INT) AS cluster, 3 AS n_clusters, 'dtw' AS metric, CAST(slot AS INT) AS slot,
+      {O.r6('vals[slot + 1]')} AS value, {O.r6('list_sum(vals)')} AS inertia
+    FROM ranked, (SELECT unnest(range(24)) AS slot) s WHERE k <= 3"""))
+def model_json(spark, folder):
+    """Models written as JSON documents and read back; the first days of a series stand for its centers."""
+    days = _split(spark, folder)
+    place = F.row_number().over(Window.partitionBy(*cluster.GROUP).orderBy("day")) - 1
+    total = F.aggregate("values", F.lit(0.0), lambda a, v: a + v)
+    model = days.withColumn("cluster", place).where("cluster < 3").select(
+        *cluster.GROUP, "cluster", F.col("values").alias("center"), total.alias("inertia"), F.lit(1).alias("iterations"))
+    # A document has one inertia: a center's own is told by a document of that center alone.
+    parts = [cluster.model_json(model.where(F.col("cluster") == i), n_clusters=3, metric="dtw").withColumn("cluster", F.lit(i)) for i in range(3)]
+    body = F.from_json("document", "hyper_params struct<n_clusters: int, metric: string>, "
+                                   "model_params struct<cluster_centers_: array<array<double>>, inertia_: double, n_iter_: int>")
+    back = parts[0].union(parts[1]).union(parts[2]).withColumn("d", body)
+    return rounded(back.select(
+        *cluster.GROUP, "cluster", "d.hyper_params.n_clusters", "d.hyper_params.metric",
+        F.posexplode(F.col("d.model_params.cluster_centers_")[0]).alias("slot", "value"), F.col("d.model_params.inertia_").alias("inertia")),
+        ("value", "inertia"))
+
+
 _LAYER = """SELECT '{network}' AS network, '{layer}' AS layer, lat, lon, {radius} AS radius_m, CAST(NULL AS DOUBLE) AS lat2,
     CAST(NULL AS DOUBLE) AS lon2, {props} AS props FROM {source}"""
 
@@ -1011,6 +1172,35 @@ def profile_distribution(spark, folder):
     return rounded(reports.distribution_profile(V.obs(spark, folder), _PROFILE_COLUMNS), ("value",))
 
 
+def _by_station(step: tuple[str, str]) -> tuple[str, str]:
+    """A step of the profile with a station's rows apart."""
+    name, text = step
+    text = re.sub(r"""SELECT ('\w+' AS )?"column\"""", r'SELECT network, station, \1"column"', text)
+    text = text.replace('SELECT v."column"', 'SELECT v.network, v.station, v."column"').replace('("column")', '(network, station, "column")')
+    return name, re.sub(r"GROUP BY [0-9, ]+", "GROUP BY ALL ", text)
+
+
+_STATION_PART = _PART.replace('SELECT "column"', 'SELECT network, station, "column"')
+
+
+@query("q_station_reports", O.chain(
+    O.observations(), *map(_by_station, (_VALUES, _QUARTILES, _BINS, _HIST, _BOX, _CURVE)),
+    ("missing", " UNION ALL ".join(f"""SELECT network, station, '{c}' AS "column", count({c}) AS present, count(*) - count({c}) AS missing
+        FROM obs GROUP BY ALL""" for c in _PROFILE_COLUMNS)),
+    ("cats", """SELECT network, station, 'skyc1' AS "column", skyc1 AS value, count(*) AS n FROM obs WHERE skyc1 IS NOT NULL GROUP BY ALL"""),
+    ("parts", " UNION ALL ".join((
+        *[_STATION_PART.format(part="missing", item=f"'{c}'", value=c, source="missing") for c in ("present", "missing")],
+        _STATION_PART.format(part="histogram", item="bin", value="n", source="hist"),
+        _STATION_PART.format(part="density", item="point", value="density", source="curve"),
+        *[_STATION_PART.format(part="box", item=f"'{c}'", value=c, source="box") for c in ("n", "outliers", *_BOX_FIELDS)],
+        _STATION_PART.format(part="category", item="value", value="n", source="cats")))),
+    final=f"""SELECT network, station, "column", part, item, {O.r6('value')} AS value FROM parts"""))
+def station_reports(spark, folder):
+    """The stored reports of the fetched category, every station on its own."""
+    found = reports.station_reports(spark, _stored(spark, folder), "fetched")
+    return rounded(reports.profile_rows(found, KEYS), ("value",))
+
+
 @query("q_profile_time", O.chain(("m", _MONTHS), _COMPLETE, ("s", _QUARTERS), ("parts", """
     SELECT "column", 'monthly' AS part, strftime(period, '%b') AS season, CAST(year(period) AS INT) AS year, value,
       CAST(NULL AS DOUBLE) AS season_mean, (month(period) - 1) * (2 * pi()) / 12 AS angle FROM m UNION ALL
@@ -1042,4 +1232,4 @@ def profile_clusters(spark, folder):
 def ingest(spark, folder):
     layout = stages.Layout(scratch_path(spark, "data"))
     stages.run_ingest(_payloads(spark, folder, time="hour"), layout, order=("part",))
-    return spark.read.parquet(layout.fetched).select(*KEYS, "valid", *O.ALL)
+    return tables.read_stored(spark, layout.fetched).select(*KEYS, "valid", *O.ALL)
