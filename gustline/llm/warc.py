@@ -12,7 +12,9 @@ skipped by Content-Length. Paths are anything pyarrow's file systems know, not o
 
 A record's payload is the entity of the HTTP response; ``payload_length`` and ``payload_digest`` (bare lower-case hex SHA-1)
 are those of the full payload, also for a revisit, which has none itself. Null html is an empty payload, a null url an
-empty target. An empty frame writes no file, and an empty folder reads as no rows. Repeated rows are a record each.
+empty target. An empty frame writes no file, and an empty folder reads as no rows. Repeated rows are a record each. Where an
+archive is damaged (a member that cannot be inflated or ends early, a head that is none, a length that is no number), one row of
+type ``error`` without anything else stands for what could not be read, and reading goes on with the next record that can be.
 """
 
 from __future__ import annotations
@@ -53,8 +55,18 @@ _ALGORITHM = re.compile(r"sha1:([A-Z2-7]{32})$")
 _ENDS = b"\r\n\r\n"
 
 
+#: What is known of a record that cannot be read.
+_DAMAGE = {"warc-type": "error"}
+
+
 # Records
 
+def _size(h: dict[str, str]) -> int | None:
+    """Length of the record's block, None if the head has no such number."""
+    text = h.get("content-length", "0").strip()
+    return int(text) if text.isascii() and text.isdigit() else None
+
+
 def member(body: bytes, level: int = 6) -> bytes:
     """A gzip member whose extra field SL holds its own length and that of its content."""
     packer = zlib.compressobj(level, zlib.DEFLATED, -15)
@@ -99,14 +111,14 @@ def _row(h: dict[str, str], block: bytes | None) -> dict:
     row = {"record_id": h.get("warc-record-id", "").strip("<>") or None, "warc_type": h.get("warc-type"),
            "target_uri": h.get("warc-target-uri", ""), "date": h.get("warc-date"), "payload_digest": digest,
            "refers_to": h.get("warc-refers-to", "").strip("<>") or None,
-           "content_length": int(h["content-length"]) if h.get("content-length", "").isdigit() else None,
+           "content_length": _size(h) if "content-length" in h else None,
            "payload_length": None, "payload": None}
     if block is not None:
         payload, length = block, None
         if "application/http" in h.get("content-type", ""):
             http, _, payload = block.partition(_ENDS)
-            stated = _headers(http).get("content-length", "")
-            length = int(stated) if stated.isdigit() else None
+            stated = _headers(http)
+            length = _size(stated) if "content-length" in stated else None
         if row["warc_type"] == "revisit":
             row["payload_length"] = length
         else:
@@ -132,75 +144,129 @@ class _Reader:
         wanted = self.wanted(h)
         return h, wanted, wanted and self.block
 
+    def _lost(self) -> Iterator[dict]:
+        """The row that stands for what cannot be read, if it is asked for."""
+        if self.wanted(_DAMAGE):
+            yield _row(_DAMAGE, None)
+
     def _plain(self) -> Iterator[dict]:
-        while True:
-            raw = b""
-            while not raw.endswith(_ENDS):
+        line = self.file.readline()
+        lost = False
+        while line:
+            if not line.startswith(b"WARC/"):
+                # Between records there are empty lines; anything else is looked through for the next head.
+                if line.strip() and not lost:
+                    lost = True
+                    yield from self._lost()
                 line = self.file.readline()
-                if not line:
-                    return
-                if raw or line.strip():
-                    raw += line
+                continue
+            raw = line
+            while not raw.endswith(_ENDS) and (line := self.file.readline()):
+                raw += line
+            size = _size(_headers(raw)) if raw.endswith(_ENDS) else None
+            if size is None:
+                lost = True
+                yield from self._lost()
+                line = self.file.readline()
+                continue
+            lost = False
             h, wanted, block = self._take(raw)
-            size = int(h.get("content-length", "0"))
             if block:
                 body = self.file.read(size)
-                self.inflated += size
+                self.inflated += len(body)
+                if len(body) < size:
+                    yield from self._lost()
+                    return
             else:
                 self.file.seek(size, io.SEEK_CUR)
             if wanted:
                 yield _row(h, body if block else None)
+            line = self.file.readline()
 
-    def _packed(self) -> Iterator[dict]:
-        at = 0
+    def _member_after(self, at: int) -> int | None:
+        """Where the next gzip member may begin."""
+        held = b""
         while True:
+            self.file.seek(at + len(held))
+            piece = self.file.read(1 << 16)
+            found = (held + piece).find(b"\x1f\x8b\x08")
+            if found >= 0:
+                return at + found
+            if not piece:
+                return None
+            at, held = at + len(held) + len(piece) - 2, (held + piece)[-2:]
+
+    def _packed(self) -> Iterator[dict]:
+        at: int | None = 0
+        lost = False
+        while at is not None:
             self.file.seek(at)
             start = self.file.read(24)
-            if len(start) < 18:
+            if not start:
                 return
-            known = start[3] & 4 and start[10:16] == struct.pack("<H2sH", 12, b"SL", 8)
-            length = struct.unpack("<I", start[16:20])[0] if known else None
-            self.file.seek(at)
-            unpack = zlib.decompressobj(31)
-            got, read = b"", 0
-
-            def more(most: int = 0) -> bytes:
-                """Inflate a little more; empty at the end of the member."""
-                nonlocal read
-                while not unpack.eof:
-                    source = unpack.unconsumed_tail
+            try:
+                row, at = self._member(at, start)
+                lost = False
+                if row is not None:
+                    yield row
+            except (zlib.error, ValueError):
+                if not lost:
+                    yield from self._lost()
+                # What looks like a member and is none belongs to the same damage.
+                lost = True
+                at = self._member_after(at + 1)
+
+    def _member(self, at: int, start: bytes) -> tuple[dict | None, int]:
+        """The record of the member that begins there, if it is wanted, and where the next one begins. A member that cannot be
+        read raises an error."""
+        known = len(start) >= 20 and start[3] & 4 and start[10:16] == struct.pack("<H2sH", 12, b"SL", 8)
+        length = struct.unpack("<I", start[16:20])[0] if known else None
+        self.file.seek(at)
+        unpack = zlib.decompressobj(31)
+        got, read = b"", 0
+
+        def more(most: int = 0) -> bytes:
+            """Inflate a little more; empty at the end of the member."""
+            nonlocal read
+            while not unpack.eof:
+                source = unpack.unconsumed_tail
+                if not source:
+                    source = self.file.read(1 << 12 if most else 1 << 16)
                     if not source:
-                        source = self.file.read(1 << 12 if most else 1 << 16)
-                        if not source:
-                            return b""
-                        read += len(source)
-                    out = unpack.decompress(source, most)
-                    self.inflated += len(out)
-                    if out:
-                        return out
-                return b""
-
-            while _ENDS not in got and (piece := more(1 << 10)):
-                got += piece
-            raw, _, rest = got.partition(_ENDS)
-            h, wanted, block = self._take(raw + b"\r\n")
-            size = int(h.get("content-length", "0"))
-            if block:
-                body = [rest]
-                have = len(rest)
-                while have < size and (piece := more()):
-                    body.append(piece)
-                    have += len(piece)
-                yield _row(h, b"".join(body)[:size])
-            elif wanted:
-                yield _row(h, None)
-            if length:
-                at += length
-                continue
-            # A member of another writer: its end is found by inflating it.
-            while more():
-                pass
-            at += read - len(unpack.unused_data)
+                        raise ValueError("the archive ends within a member")
+                    read += len(source)
+                out = unpack.decompress(source, most)
+                self.inflated += len(out)
+                if out:
+                    return out
+            return b""
+
+        while _ENDS not in got and (piece := more(1 << 10)):
+            got += piece
+        raw, _, rest = got.partition(_ENDS)
+        h = _headers(raw + b"\r\n")
+        size = _size(h)
+        if not raw.startswith(b"WARC/") or size is None:
+            raise ValueError("no head of a record")
+        h, wanted, block = self._take(raw + b"\r\n")
+        row = None
+        if block:
+            body = [rest]
+            have = len(rest)
+            while have < size and (piece := more()):
+                body.append(piece)
+                have += len(piece)
+            if have < size:
+                raise ValueError("the record is shorter than its head says")
+            row = _row(h, b"".join(body)[:size])
+        elif wanted:
+            row = _row(h, None)
+        if length:
+            return row, at + length
+        # A member of another writer: its end is found by inflating it.
+        while more():
+            pass
+        return row, at + read - len(unpack.unused_data)
 
 
 # Files
@@ -300,7 +366,7 @@ class WarcReader(DataSourceReader):
         for path in partition.paths:
             with fs.open_input_file(path) as file:
                 rows, size = [], 0
-                for row in _Reader(file, wanted, block):
+                for row in _Reader(io.BufferedReader(file, 1 << 16), wanted, block):
                     rows.append(row)
                     size += len(row["payload"] or b"") + 256
                     if size > 4 << 20:
