@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Callable
 from datetime import date, timedelta
 from functools import lru_cache
@@ -119,6 +120,16 @@ def _ipv4(text: str) -> bool:
 _FIRST, _DAYS = date(1900, 1, 1), (date(2100, 1, 1) - date(1900, 1, 1)).days
 
 
+@lru_cache(maxsize=1 << 14)
+def _letters(c: str) -> str:
+    """For a letter outside ASCII: the letters of its kind (case) in its block of 64 code points, so that it stays in its script."""
+    kind = unicodedata.category(c)
+    if c.isascii() or kind not in ("Ll", "Lu", "Lo"):
+        return ""
+    low = ord(c) & ~63
+    return "".join(x for x in map(chr, range(low, low + 64)) if unicodedata.category(x) == kind)
+
+
 class Codec:
     """Pseudonyms under one key. ``swap`` replaces a validated value by its pseudonym, or gives None if it is not one."""
 
@@ -135,7 +146,7 @@ class Codec:
         if hexadecimal:
             alphabets = [_DIGITS + ("ABCDEF" if re.search("[A-F]", text) else "abcdef")] * len(text)
         else:
-            alphabets = [_DIGITS if c in _DIGITS else _LOWER if c in _LOWER else _UPPER if c in _UPPER else "" for c in text]
+            alphabets = [_DIGITS if c in _DIGITS else _LOWER if c in _LOWER else _UPPER if c in _UPPER else _letters(c) for c in text]
         x, n = 0, 1
         for c, a in zip(text, alphabets):
             if a:
@@ -275,7 +286,7 @@ def _vague_day(i: int) -> date:
 
 #: Kinds in the order they are tried at a place.
 KINDS: tuple[tuple[str, str, Callable], ...] = (
-    ("email", r"[A-Za-z0-9](?:[A-Za-z0-9._%+\-]{0,63})@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62})\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])", Codec.email),
+    ("email", r"(?u:(?<!\w)[^\W_][\w.%+\-]{0,63})@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62})\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])", Codec.email),
     ("iban", r"[A-Z]{2}\d{2}(?:\s?[A-Z0-9]{4}){2,7}(?:\s?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", Codec.iban),
     ("secret", r"(?:[0-9a-f]{24,128}|[0-9A-F]{24,128}|(?:sk|pk|ghp|gho|xox[abp]|AKIA)[\-_]?[A-Za-z0-9\-_]{16,128})(?![A-Za-z0-9])", Codec.secret),
     ("ip", r"\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)", Codec.address),
@@ -286,8 +297,10 @@ KINDS: tuple[tuple[str, str, Callable], ...] = (
 )
 #: A value begins where no letter or digit stands before it. All kinds begin with one of these characters.
 _START = r"(?<![A-Za-z0-9_])(?:"
-_ANY = re.compile(_START + "|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS) + ")")
-_EACH = {name: (re.compile(r"(?<![A-Za-z0-9_])" + pattern), swap) for name, pattern, swap in KINDS}
+#: Digits and blanks are those of ASCII; digits of other scripts are read as these and written back in their own.
+_ANY = re.compile(_START + "|".join(f"(?P<{name}>{pattern})" for name, pattern, _ in KINDS) + ")", re.ASCII)
+_EACH = {name: (re.compile(r"(?<![A-Za-z0-9_])" + pattern, re.ASCII), swap) for name, pattern, swap in KINDS}
+_OTHER_DIGIT = re.compile(r"(?![0-9])\d")
 _MAYBE = re.compile(r"[0-9@]|(?:[0-9a-fA-F]{24})")
 
 
@@ -321,11 +334,26 @@ def _iban_ends(m: re.Match) -> list[int]:
 _ENDS = {"card": _card_ends, "iban": _iban_ends}
 
 
+def _in_script(value: str, original: str) -> str:
+    """The value's digits in the script of the original's first digit; the original's other characters where they were."""
+    first = _OTHER_DIGIT.search(original)
+    digit = re.search(r"\d", original)
+    if first is None or digit is None or digit.start() != first.start():
+        return value
+    zero = ord(first[0]) - unicodedata.decimal(first[0])
+    return "".join(chr(zero + int(c)) if c in _DIGITS else c for c in value)
+
+
 def replace(text: str, codec: Codec, forward: bool = True) -> tuple[str, dict[str, int]]:
-    """The text with pseudonyms, and how many values of each kind it had."""
+    """The text with pseudonyms, and how many values of each kind it had. Digits of any script count; a value's are written back
+    in the script of its first one."""
     found: dict[str, int] = {}
+    original = text
+    if not text.isascii() and _OTHER_DIGIT.search(text):
+        # A digit is one character in any script, so places stay the same.
+        text = _OTHER_DIGIT.sub(lambda m: str(unicodedata.decimal(m[0])), text)
     if not _MAYBE.search(text):
-        return text, found
+        return original, found
     out, done, at = [], 0, 0
     while m := _ANY.search(text, at):
         new = None
@@ -339,14 +367,16 @@ def replace(text: str, codec: Codec, forward: bool = True) -> tuple[str, dict[st
                         hit = part
                         break
                 if new is not None:
-                    out += [text[done:hit.start()], new]
+                    if text is not original:
+                        new = _in_script(new, original[hit.start():hit.end()])
+                    out += [original[done:hit.start()], new]
                     done = at = hit.end()
                     found[name] = found.get(name, 0) + 1
                     break
         if new is None:
             # Not a value: go on behind the digits and letters it began with.
             at = m.start() + max(1, len(re.match(r"[A-Za-z0-9]*", text[m.start():m.start() + 64])[0]))
-    return "".join(out) + text[done:], found
+    return "".join(out) + original[done:], found
 
 
 def pseudonymize(df: DataFrame, key: bytes, keep=None, text: str = "text", forward: bool = True) -> DataFrame:
