@@ -11,7 +11,8 @@ paths of their host by a join on the host; the pages' side is split where it is
 
 Null and empty html give empty text. A null url or one without a host counts as host ''. Repeated rows each get their own
 result. Broken markup is read as browsers do where it is cheap: unclosed elements end with their parent, a stray end tag
-is passed over.
+is passed over. What is known of an element is handed down from the one around it or summed up from those in it, so time grows
+with the page's length, however deep its elements lie in each other.
 """
 
 from __future__ import annotations
@@ -34,15 +35,15 @@ PATHS = 4
 
 _TAG = re.compile(r"<(?:!--(?:>|->|.*?(?:--!?>|\Z))|[!?][^>]*>?|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|(/?)([a-zA-Z][^\s/>]*)([^>]*)>?)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
-_SPACE = re.compile(r"[\s​﻿]+")
+_SPACE = re.compile(r"\s+")
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Everything up to the end tag is no markup.
-_RAW = frozenset("script style noscript template iframe noembed noframes xmp textarea title svg math object select".split())
+_RAW = frozenset("script style noscript template iframe noembed noframes xmp textarea title svg annotation annotation-xml select".split())
 #: Elements that do not part words.
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rp rt s samp small span strike strong "
-    "sub sup time tt u var wbr".split())
+    "sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover semantics".split())
 #: A start tag of these ends an open paragraph.
 _ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
@@ -70,12 +71,13 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 class Box:
     """An element that holds blocks."""
     tag: str
-    path: str
+    path: int  # number of its path in the page
     above: int
     depth: int
     mark: int  # 0, or _LOOSE or _FIRM: what the element itself says
     head: bool = False  # shows where the article is
     out: bool = False  # not part of the article
+    inside: bool = False  # lies in an article or main element
     begin: int = 0
     end: int = 0
     prose: int = 0
@@ -87,6 +89,37 @@ class Page:
     boxes: list[Box] = field(default_factory=list)
     #: (text, characters in links, box)
     blocks: list[tuple[str, int, int]] = field(default_factory=list)
+    #: Paths by number: the path above and the last step; and the number of each.
+    steps: list[tuple[int, str]] = field(default_factory=lambda: [(-1, "")])
+    numbers: dict[tuple[int, str], int] = field(default_factory=dict)
+
+    def number(self, above: int, step: str) -> int:
+        found = self.numbers.setdefault((above, step), len(self.steps))
+        if found == len(self.steps):
+            self.steps.append((above, step))
+        return found
+
+    def path(self, number: int) -> str:
+        steps = []
+        while number > 0:
+            number, step = self.steps[number]
+            steps.append(step)
+        return ">".join(reversed(steps))
+
+    def known(self, path: str) -> int:
+        """Number of a path, -1 if the page has no such path."""
+        at = 0
+        for step in path.split(">"):
+            at = self.numbers.get((at, step), -1)
+            if at < 0:
+                return -1
+        return at
+
+    def summed(self, own: list[int]) -> list[int]:
+        """Sums over every box and the boxes in it; a box comes after the one it lies in."""
+        for i in range(len(own) - 1, 0, -1):
+            own[self.boxes[i].above] += own[i]
+        return own
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -98,7 +131,7 @@ def _name_parts(value: str) -> set[str]:
 
 
 def _signature(tag: str, attrs: dict[str, str]) -> str:
-    classes = sorted({re.sub(r"\d+", "#", c) for c in attrs.get("class", "").split()})
+    classes = sorted({re.sub(r"\d+", "#", c).replace(">", "") for c in attrs.get("class", "").split()})
     return ".".join([tag, *classes[:4]])
 
 
@@ -106,8 +139,13 @@ def _signature(tag: str, attrs: dict[str, str]) -> str:
 _LOOSE, _FIRM = 1, 2
 
 
-def _named(attrs: dict[str, str]) -> bool:
-    return bool(_NAMES & (_name_parts(attrs.get("class", "")) | _name_parts(attrs.get("id", ""))))
+#: Of these names, a box inside the article may be the head of it, as a header element may.
+_HEADS = frozenset({"header"})
+
+
+def _named(attrs: dict[str, str], inside: bool = False) -> bool:
+    names = _NAMES - _HEADS if inside else _NAMES
+    return bool(names & (_name_parts(attrs.get("class", "")) | _name_parts(attrs.get("id", ""))))
 
 
 def _mark(tag: str, attrs: dict[str, str], inside: bool) -> int:
@@ -120,15 +158,16 @@ def _mark(tag: str, attrs: dict[str, str], inside: bool) -> int:
         return _FIRM
     if tag == "form" or role == "form":
         return _LOOSE
-    return _LOOSE if tag not in ("article", "main", "body", "html") and _named(attrs) else 0
+    return _LOOSE if tag not in ("article", "main", "body", "html") and _named(attrs, inside) else 0
 
 
 def read(text: str) -> Page:
     """Blocks in page order and the elements they lie in."""
     page = Page()
     boxes = page.boxes
-    boxes.append(Box("", "", -1, 0, 0))
+    boxes.append(Box("", 0, -1, 0, 0))
     stack: list[tuple[str, int]] = [("", 0)]  # open elements: tag, box
+    count: dict[str, int] = {}  # open elements by tag
     links = 0
     parts: list[str] = []
     linked = 0
@@ -149,6 +188,7 @@ def read(text: str) -> Page:
             flush()
         for t, b in reversed(stack[k:]):
             links -= t == "a"
+            count[t] -= 1
             if t not in _INLINE:
                 boxes[b].end = len(page.blocks)
         del stack[k:]
@@ -179,6 +219,8 @@ def read(text: str) -> Page:
             if tag == "br":
                 parts.append(" ")
                 continue
+            if not count.get(tag) and not count.get(tag + "!"):
+                continue
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in (tag, tag + "!"):
                     close(k)
@@ -203,21 +245,23 @@ def read(text: str) -> Page:
             if attrs and (mark := _mark(tag, attrs, True)):
                 flush()
                 above = stack[-1][1]
-                boxes.append(Box(tag, boxes[above].path, above, boxes[above].depth + 1, mark, begin=len(page.blocks)))
+                boxes.append(Box(tag, boxes[above].path, above, boxes[above].depth + 1, mark, begin=len(page.blocks), inside=boxes[above].inside))
                 # Its own block: hidden or foreign text must not run into the article's.
                 stack.append((tag + "!", len(boxes) - 1))
+                count[tag + "!"] = count.get(tag + "!", 0) + 1
                 continue
             stack.append((tag, stack[-1][1]))
+            count[tag] = count.get(tag, 0) + 1
             links += tag == "a"
             continue
-        if tag in _ENDS_P:
+        if tag in _ENDS_P and count.get("p"):
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == "p":
                     close(k)
                     break
                 if stack[k][0] not in _INLINE:
                     break
-        if tag in _SIBLING:
+        if tag in _SIBLING and any(map(count.get, _SIBLING[tag][0])):
             same, bounds = _SIBLING[tag]
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in bounds:
@@ -230,11 +274,12 @@ def read(text: str) -> Page:
         attrs = _attributes(raw) if raw else {}
         above = stack[-1][1]
         box = boxes[above]
-        inside = any(boxes[b].tag in ("article", "main") for _, b in stack[1:])
-        step = _signature(tag, attrs)
+        inside = box.inside or box.tag in ("article", "main")
+        number = page.number(box.path, _signature(tag, attrs))
         head = tag in ("h1", "main") or (tag == "article" and not _named(attrs))
-        boxes.append(Box(tag, f"{box.path}>{step}" if box.path else step, above, box.depth + 1, _mark(tag, attrs, inside), head, begin=len(page.blocks)))
+        boxes.append(Box(tag, number, above, box.depth + 1, _mark(tag, attrs, inside), head, begin=len(page.blocks), inside=inside))
         stack.append((tag, len(boxes) - 1))
+        count[tag] = count.get(tag, 0) + 1
     flush()
     for _, b in stack:
         boxes[b].end = len(page.blocks)
@@ -256,47 +301,56 @@ def _judge(page: Page) -> None:
     """What is not part of the article: boxes with a mark and all in them. A loose mark does not count on a box with most of
     the page's prose, unless the article is seen to be outside: its heading is, and more than a little prose."""
     boxes = page.boxes
+    if any(b.mark == _LOOSE for b in boxes):
+        _look_around(page)
+    for box in boxes[1:]:
+        box.out = box.mark > 0 or boxes[box.above].out
 
-    def spread() -> None:
-        for box in boxes[1:]:
-            box.out = box.mark > 0 or boxes[box.above].out
 
-    spread()
-    if not any(b.mark == _LOOSE for b in boxes):
-        return
+def _look_around(page: Page) -> None:
+    """Take loose marks off boxes around the page."""
+    boxes = page.boxes
     firm = [False] * len(boxes)
     for i, box in enumerate(boxes[1:], 1):
         firm[i] = box.mark == _FIRM or firm[box.above]
-    held, heads = [0] * len(boxes), [0] * len(boxes)
+    own = [0] * len(boxes)
     for body, linked, b in page.blocks:
-        n = 0 if firm[b] else _prose(body, linked)
-        while n and b >= 0:
-            held[b] += n
-            b = boxes[b].above
-    for i, box in enumerate(boxes):
-        b = i if box.head and not firm[i] else -1
-        while b >= 0:
-            heads[b] += 1
-            b = boxes[b].above
+        own[b] += 0 if firm[b] else _prose(body, linked)
+    held = page.summed(list(own))
+    heads = page.summed([int(box.head and not firm[i]) for i, box in enumerate(boxes)])
+    # Boxes with more than half lie in each other: a chain, from the outermost on.
+    chain = [i for i, box in enumerate(boxes) if box.mark == _LOOSE and not firm[i] and held[i] > _AROUND * held[0]]
+    place = {i: k for k, i in enumerate(chain)}
+    # Prose that no other mark takes, by the number of boxes of the chain around it.
+    other, depth, outside = [False] * len(boxes), [0] * len(boxes), [0] * (len(chain) + 1)
     for i, box in enumerate(boxes):
-        # Boxes with more than half lie in each other, so there are few; those around others come first.
-        if box.mark != _LOOSE or firm[i] or held[i] <= _AROUND * held[0]:
-            continue
-        rest = sum(_prose(body, linked) for body, linked, b in page.blocks if not boxes[b].out)
+        if i:
+            other[i], depth[i] = other[box.above], depth[box.above]
+        if i in place:
+            depth[i] += 1
+        elif box.mark:
+            other[i] = True
+        if not other[i]:
+            outside[depth[i]] += own[i]
+    rest, stays = 0, False
+    for k, i in enumerate(chain):
+        # What lies outside of the first box that keeps its mark is not taken by the chain.
+        rest += 0 if stays else outside[k]
         if heads[i] or not heads[0] or rest < _REST * held[0]:
-            box.mark = 0
-            spread()
+            boxes[i].mark = 0
+        else:
+            stays = True
 
 
 def _weigh(page: Page) -> None:
     """Prose and linked characters in every box."""
+    prose, other = [0] * len(page.boxes), [0] * len(page.boxes)
     for body, linked, b in page.blocks:
         n = 0 if page.boxes[b].out else _prose(body, linked)
-        k = len(body) - n if not n else linked
-        while b >= 0:
-            page.boxes[b].prose += n
-            page.boxes[b].linked += k
-            b = page.boxes[b].above
+        prose[b] += n
+        other[b] += len(body) - n if not n else linked
+    for box, n, k in zip(page.boxes, page.summed(prose), page.summed(other)):
+        box.prose, box.linked = n, k
 
 
 _CONTAINERS = frozenset("article main section div td body html center blockquote".split())
@@ -304,19 +358,23 @@ _WHOLE = 0.8
 
 
 def votes(page: Page) -> list[tuple[str, float]]:
-    """Paths of the page's containers that hold most of its prose, with their scores, best first: of those, the deeper
-    one and the one with the larger share of prose; an article element counts for more."""
+    """Path of the page's container that holds most of its prose, with its score: of several, the deeper one and the one with the
+    larger share of prose; an article element counts for more. Such containers lie in each other; of equal ones the outer."""
+    found = _vote(page)
+    return [(page.path(found[0]), found[1])] if found else []
+
+
+def _vote(page: Page) -> tuple[int, float] | None:
     _weigh(page)
     total = page.boxes[0].prose
-    if not total:
-        return []
-    found: dict[str, float] = {}
-    for box in page.boxes[1:]:
+    best = None
+    for box in page.boxes[1:] if total else ():
         if box.tag in _CONTAINERS and not box.out and box.prose >= _WHOLE * total:
             pure = box.prose / (box.prose + box.linked)
             score = box.prose / total + pure + 0.05 * min(box.depth, 20) + (0.5 if box.tag in ("article", "main") else 0)
-            found[box.path] = max(found.get(box.path, 0), score)
-    return sorted(found.items(), key=lambda v: (-v[1], v[0]))
+            if best is None or score > best[1]:
+                best = box.path, score
+    return best
 
 
 #: Share of a page's prose that a host's path must hold to be taken. It need not be most of it; of a main element, which a
@@ -328,27 +386,21 @@ def extract(text: str, paths: list[str]) -> tuple[str, str]:
     """The article's text and the path it was taken from: the first of the paths that holds enough of the page's prose, or
     else the page's own best."""
     page = read(text)
-    own = votes(page)
-    if not own:
+    own = _vote(page)
+    if own is None:
         # No prose that stands out: whatever is not foreign to the article.
         return " ".join(b for b, _, x in page.blocks if not page.boxes[x].out), ""
-    have: dict[str, int] = {}
-    enough: dict[str, float] = {}
+    have: dict[int, int] = {}
+    enough: dict[int, float] = {}
     for b in page.boxes[1:]:
         if b.prose and not b.out:
             have[b.path] = have.get(b.path, 0) + b.prose
             enough[b.path] = (_MAIN_SHARE if b.tag == "main" else _SHARE) * page.boxes[0].prose
-    path = next((p for p in paths if have.get(p, 0) >= enough.get(p, 1)), own[0][0])
-    keep = []
-    for body, _, x in page.blocks:
-        b = x
-        if page.boxes[b].out:
-            continue
-        while b >= 0 and page.boxes[b].path != path:
-            b = page.boxes[b].above
-        if b >= 0:
-            keep.append(body)
-    return " ".join(keep), path
+    path = next((p for p in map(page.known, paths) if have.get(p, 0) >= enough.get(p, 1)), own[0])
+    held = [box.path == path for box in page.boxes]
+    for i, box in enumerate(page.boxes[1:], 1):
+        held[i] = held[i] or held[box.above]
+    return " ".join(body for body, _, x in page.blocks if held[x] and not page.boxes[x].out), page.path(path)
 
 
 def host(url: Column) -> Column:
