@@ -6,9 +6,11 @@ last. A window of words compresses better with the toxic dictionary only if it h
 not. The difference of the two lengths, over the windows of a text, is mapped to a probability by limits and weights that
 are calibrated on labelled texts the dictionaries have not seen.
 
-The fit reads a bounded sample of labelled rows (``Settings``); scoring reads every whole text. Null and empty texts have
-one empty window, so a defined low score. Without labels of both kinds the score is the share of toxic labels (0.0
-without labels). Repeated rows each get their own result.
+The fit reads whole texts of a bounded number of labelled rows (``Settings``); words and figures of these are counted in the
+tasks, and the driver gets counts, the windows that a dictionary is trained on, and seven figures a row. Scoring reads every
+whole text. Null and empty texts have one empty window, so a defined low score. Without labels of both kinds, or where a class
+has too few rows to hold some back, the score is the share of toxic labels (0.0 without labels). Repeated rows each get their own
+result; in the fit, a row repeated with its text counts once.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,9 +26,10 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructField, StructType
 
 from gustline.llm.arrow import annotate, strings
+from gustline.storage import materialize
 
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -34,12 +38,14 @@ _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 class Settings:
     toxic_rows: int = 2_000
     ordinary_rows: int = 6_000
-    #: Words read of a sampled text, in evenly spaced windows; the sample stays small whatever the texts' length.
-    sample_words: int = 4_096
     window: int = 16
     level: int = 6
     shared_bytes: int = 112_640
-    own_bytes: int = 1_024
+    #: Windows of ordinary texts that the shared part is trained on: those with the smallest hashes.
+    trained_windows: int = 60_000
+    #: Bytes of the own parts: as many as the toxic words need, between these.
+    least_bytes: int = 1_024
+    most_bytes: int = 16_384
     #: Texts that a word must be in before it can be overrepresented.
     support: int = 4
 
@@ -56,18 +62,25 @@ class Model:
     #: Calibrated difference from which a window counts as marked.
     limit: int
     prior: float
+    #: Shares of ordinary windows that are marked, and that are strongly marked.
+    rates: tuple[float, float] = (0.0, 0.0)
+    #: Largest difference of an ordinary window.
+    most: float = 0.0
 
 
-FIELDS = ("largest", "mean", "marked")
+FIELDS = ("mean", "marked", "strong", "beyond")
 
 
-def _windows(text: str, size: int, most: int | None = None) -> list[bytes]:
+def _strong(limit: int) -> int:
+    """Difference from which a window is strongly marked: more than one word's worth."""
+    return 2 * limit + 4
+
+
+
+
+def _windows(text: str, size: int) -> list[bytes]:
     words = text.lower().encode().split()
-    starts = list(range(0, len(words), size)) or [0]
-    if most and len(starts) * size > most:
-        keep = max(1, most // size)
-        starts = [starts[i * len(starts) // keep] for i in range(keep)]
-    return [b" ".join(words[i:i + size]) for i in starts]
+    return [b" ".join(words[i:i + size]) for i in range(0, len(words), size)] or [b""]
 
 
 def _compressor(content: bytes, level: int) -> zstandard.ZstdCompressor:
@@ -87,22 +100,45 @@ class Distance:
         return np.fromiter((len(ordinary(w)) - len(toxic(w)) for w in windows), np.int64, len(windows))
 
 
-def _summary(d: np.ndarray, limit: int) -> tuple[float, float, float]:
-    return float(d.max()), float(d.mean()), math.log1p(float((d >= limit).sum()))
+def _excess(marked: np.ndarray | float, windows: np.ndarray | float, rate: float) -> np.ndarray:
+    """Logarithm of the marked windows beyond those that ordinary text of this length has, three deviations above the mean: the
+    length of a text by itself marks nothing."""
+    expected = rate * windows
+    return np.log1p(np.maximum(0.0, marked - expected - 3 * np.sqrt(expected)))
+
+
+def _summary(d: np.ndarray, m: Model) -> tuple[float, ...]:
+    return (float(d.mean()), float(_excess((d >= m.limit).sum(), len(d), m.rates[0])),
+            float(_excess((d >= _strong(m.limit)).sum(), len(d), m.rates[1])), math.log1p(max(0.0, d.max() - m.most)))
+
+
+_LIMITS = (2, 3, 4, 5, 6)
+
+
+def _words(sample: DataFrame) -> DataFrame:
+    """(word, ordinary, toxic): texts of either kind that a word is in, of the rows (y, text) not held back."""
+    schema = StructType([StructField("word", BinaryType()), StructField("ordinary", LongType()), StructField("toxic", LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: tuple[Counter, Counter] = (Counter(), Counter())
+            for y, text in zip(batch.column(0).to_pylist(), strings(batch.column(1))):
+                seen[y].update(set(_WORD.findall(text.lower().encode())))
+            words = sorted(set(seen[0]) | set(seen[1]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.binary()), *[pa.array([n[w] for w in words], pa.int64()) for n in seen]], names=schema.names)
+
+    return sample.select("y", "text").mapInArrow(run, schema).groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
-def _overrepresented(own: Counter, own_rows: int, other: Counter, other_rows: int, support: int) -> list[tuple[float, bytes]]:
-    """Words with their z-score, at least twice as frequent per text in this class; strongest last."""
-    out = []
-    for w, n in own.items():
-        if n < support or len(w) < 4:
-            continue
-        p, q = (n + 0.5) / (own_rows + 1), (other[w] + 0.5) / (other_rows + 1)
-        pool = (n + other[w] + 0.5) / (own_rows + other_rows + 1)
-        z = (p - q) / math.sqrt(pool * (1 - pool) * (1 / (own_rows + 1) + 1 / (other_rows + 1)))
-        if z > 4 and p > 2 * q:
-            out.append((z, w))
-    return sorted(out)
+def _overrepresented(words: DataFrame, own: str, other: str, rows: dict[str, int], support: int, size: int) -> list[bytes]:
+    """Words at least twice as frequent per text in a class, by z-score, strongest last; as many as fill ``size`` bytes."""
+    p = (F.col(own) + 0.5) / (rows[own] + 1)
+    q = (F.col(other) + 0.5) / (rows[other] + 1)
+    pool = (F.col(own) + F.col(other) + 0.5) / (rows[own] + rows[other] + 1)
+    z = (p - q) / F.sqrt(pool * (1 - pool) * (1 / (rows[own] + 1) + 1 / (rows[other] + 1)))
+    found = words.where((F.col(own) >= support) & (F.octet_length("word") >= 4)).withColumn("z", z).where((F.col("z") > 4) & (p > 2 * q))
+    return [bytes(r["word"]) for r in found.orderBy(F.desc("z"), "word").limit(size // 5 + 1).collect()][::-1]
 
 
 def _own_part(words: list[bytes], size: int) -> bytes:
@@ -131,76 +167,89 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return w
 
 
-def train(texts: list[list[bytes]], toxic: np.ndarray, s: Settings = Settings()) -> Model:
-    """From the windows of sampled texts. Two of three texts make the dictionaries, the third calibrates."""
-    prior = float(toxic.mean()) if len(toxic) else 0.0
-    none = Model(b"", b"", s.level, s.window, (), (), (), 0, prior)
-    if len(set(toxic.tolist())) < 2:
-        return none
-    # Every third text of either class is held back, so that both parts have both.
-    held = np.zeros(len(toxic), bool)
-    for kind in (0, 1):
-        held[np.flatnonzero(toxic == kind)[2::3]] = True
-    seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-    rows = {0: 0, 1: 0}
-    for windows, kind, back in zip(texts, toxic.tolist(), held.tolist()):
-        if not back:
-            seen[kind].update({w for window in windows for w in _WORD.findall(window)})
-            rows[kind] += 1
-    strong = [w for _, w in _overrepresented(seen[1], rows[1], seen[0], rows[0], s.support)]
-    chosen = set(strong)
-    # Ordinary text has hardly any word of its own: rare words that tell nothing fill its part, so that both parts
-    # help equally with any other word. Ordered by a hash of the word.
-    rare = sorted((w for w, n in seen[0].items() if 3 <= n <= 40 and len(w) >= 4 and w not in chosen), key=hash_key)
-    ordinary = [w for _, w in _overrepresented(seen[0], rows[0], seen[1], rows[1], s.support)]
-    windows = [w for ws, kind, back in zip(texts, toxic.tolist(), held.tolist()) if not kind and not back for w in ws]
-    shared = _shared(windows[::max(1, len(windows) // 60_000)], s.shared_bytes)
-    made = _own_part(strong, s.own_bytes) + shared, _own_part(rare + ordinary, s.own_bytes) + shared
-    distance = Distance(*made, s.level)
-    back = [distance(ws) for ws, b in zip(texts, held.tolist()) if b]
-    y = toxic[held].astype(float)
-    best = None
-    for limit in range(2, 7):
-        x = np.array([_summary(d, limit) for d in back])
-        center, scale = x.mean(0), x.std(0) + 1e-9
-        w = _logistic((x - center) / scale, y)
-        z = np.column_stack([(x - center) / scale, np.ones(len(x))]) @ w
-        loss = float(np.logaddexp(0, np.where(y > 0, -z, z)).mean())
-        if best is None or loss < best[0]:
-            best = loss, limit, center, scale, w
-    _, limit, center, scale, w = best
-    return Model(*made, s.level, s.window, tuple(center), tuple(scale), tuple(w), limit, prior)
-
-
-def hash_key(word: bytes) -> int:
-    return int.from_bytes(word, "little") * 0x9E3779B97F4A7C15 % (1 << 64)
-
-
-def fit(df: DataFrame, labels: DataFrame, where: Column | None = None, settings: Settings = Settings(), key: str = "doc_id",
-        text: str = "text", label: str = "toxic") -> Model:
-    """A model from the labelled rows for which ``where`` holds; at most the settings' rows of each class, those with the
-    smallest hashed keys. Of contradicting labels of a key the larger counts."""
+def _sample(df: DataFrame, labels: DataFrame, where: Column | None, s: Settings, key: str, text: str, label: str) -> DataFrame:
+    """(y, part, text): at most the settings' rows of each class, those with the smallest hashed keys, each with its text once.
+    Every third is held back (part 2)."""
     marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     marks = marks if where is None else marks.where(where)
-    marks = marks.groupBy(key).agg(F.max(label).alias("y"))
-    most = {1: settings.toxic_rows, 0: settings.ordinary_rows}
+    marks = marks.groupBy(key).agg(F.max(label).cast("int").alias("y"))
+    rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).join(
+        marks.withColumnRenamed(key, "key"), "key").select("key", "y", "text", F.xxhash64("key").alias("h"), F.xxhash64("text").alias("t"))
+    names = materialize(rows.select("key", "y", "h", "t"), "labelled").distinct()
     chosen = None
-    for kind, n in most.items():
-        part = marks.where(F.col("y") == kind).orderBy(F.xxhash64(key), key).limit(n)
+    for kind, n in ((1, s.toxic_rows), (0, s.ordinary_rows)):
+        part = names.where(F.col("y") == kind).orderBy("h", "key", "t").limit(n)
         chosen = part if chosen is None else chosen.union(part)
-    # At most toxic_rows + ordinary_rows keys are sent to the tasks.
-    rows = df.select(key, text).join(F.broadcast(chosen), key).select(F.xxhash64(key).alias("h"), "y", text)
-    size, words = settings.window, settings.sample_words
-    fields = StructType([StructField("w", StringType())])
+    # At most toxic_rows + ordinary_rows names are sent to the tasks.
+    return materialize(rows.drop("y", "h").join(F.broadcast(chosen), ["key", "t"]).dropDuplicates(["key", "t"]).select(
+        "y", F.pmod(F.xxhash64("h"), F.lit(3)).alias("part"), "text"), "sample")
+
+
+def fit(df: DataFrame, labels: DataFrame, where: Column | None = None, settings: Settings = Settings(), key: str = "doc_id",
+        text: str = "text", label: str = "toxic") -> Model:
+    """A model from whole texts of the labelled rows for which ``where`` holds; at most the settings' rows of each class. Two of
+    three rows make the dictionaries, the third calibrates. Of contradicting labels of a key the larger counts."""
+    s = settings
+    sample = _sample(df, labels, where, s, key, text, label)
+    count = {(r["y"], r["back"]): r["count"] for r in sample.groupBy("y", (F.col("part") == 2).alias("back")).count().collect()}
+    every = sum(count.values())
+    prior = sum(n for (y, _), n in count.items() if y) / every if every else 0.0
+    if len(count) < 4:
+        return Model(b"", b"", s.level, s.window, (), (), (), 0, prior)
+    made = sample.where("part <> 2")
+    rows = {"ordinary": count[0, False], "toxic": count[1, False]}
+    words = materialize(_words(made), "words")
+    strong = _overrepresented(words, "toxic", "ordinary", rows, s.support, s.most_bytes)
+    size = min(s.most_bytes, max(s.least_bytes, len(b" ".join(strong))))
+    # Ordinary text has hardly any word of its own: rare words that tell nothing fill its part, so that both parts
+    # help equally with any other word. Ordered by a hash of the word.
+    rare = words.where(F.col("ordinary").between(3, 40) & (F.octet_length("word") >= 4)).orderBy(F.xxhash64("word"), "word").limit(size // 5 + 257)
+    chosen = set(strong)
+    fill = [w for w in (bytes(r["word"]) for r in rare.collect()) if w not in chosen]
+    ordinary = fill + _overrepresented(words, "ordinary", "toxic", rows, s.support, size)
 
     def work():
         def run(texts: pa.Array) -> list[pa.Array]:
-            return [pa.array(["\n".join(w.decode("utf-8", "replace") for w in _windows(t, size, words)) for t in strings(texts)])]
+            return [pa.array([_windows(t, s.window) for t in strings(texts)], pa.list_(pa.binary()))]
         return run
 
-    sample = annotate(rows, work, fields, ["h", "y"], text).toPandas().sort_values(["h", "w"], kind="stable")
-    texts = [w.encode().split(b"\n") for w in sample["w"]]
-    return train(texts, sample["y"].to_numpy(), settings)
+    windows = annotate(made.where("y = 0"), work, StructType([StructField("w", ArrayType(BinaryType()))]), [], "text", 1 << 20)
+    trained = windows.select(F.explode("w").alias("w")).orderBy(F.xxhash64("w"), "w").limit(s.trained_windows)
+    shared = _shared([bytes(r["w"]) for r in trained.collect()], s.shared_bytes)
+    parts = _own_part(strong, size) + shared, _own_part(ordinary, size) + shared
+
+    def figures():
+        distance = Distance(*parts, s.level)
+
+        def run(texts: pa.Array) -> list[pa.Array]:
+            found = [distance(_windows(t, s.window)) for t in strings(texts)]
+            return [pa.array([float(d.mean()) for d in found]), pa.array([float(len(d)) for d in found]), pa.array([float(d.max()) for d in found]),
+                    pa.array([[float((d >= x).sum()) for x in over] for d in found], pa.list_(pa.float64()))]
+        return run
+
+    over = [*_LIMITS, *map(_strong, _LIMITS)]
+    kinds = StructType([StructField("mean", DoubleType()), StructField("windows", DoubleType()), StructField("largest", DoubleType()),
+                        StructField("over", ArrayType(DoubleType()))])
+    # At most the settings' rows, thirteen numbers each; sorted, as rows come in any order.
+    got = sorted((r["y"], r["mean"], r["windows"], r["largest"], tuple(r["over"])) for r in annotate(sample.where("part = 2"), figures, kinds, ["y"], "text", 1 << 20).collect())
+    y, mean, windows, largest = (np.array([r[i] for r in got], float) for i in range(4))
+    marked = np.array([r[4] for r in got])
+    most = float(largest[y == 0].max())
+    beyond = np.log1p(np.maximum(0, largest - most))
+    # Half a window more, as none of a few windows is not none of many.
+    shares = (marked[y == 0].sum(0) + 0.5) / (windows[y == 0].sum() + 1)
+    best = None
+    for i, limit in enumerate(_LIMITS):
+        rates = float(shares[i]), float(shares[i + len(_LIMITS)])
+        x = np.column_stack([mean, _excess(marked[:, i], windows, rates[0]), _excess(marked[:, i + len(_LIMITS)], windows, rates[1]), beyond])
+        center, scale = x.mean(0), x.std(0) + 1e-9
+        w = _logistic((x - center) / scale, y)
+        z = np.column_stack([(x - center) / scale, np.ones(len(x))]) @ w
+        loss = float(np.logaddexp(0, np.where(y > 0, -z, z)).mean())
+        if best is None or loss < best[0]:
+            best = loss, limit, center, scale, w, rates
+    _, limit, center, scale, w, rates = best
+    return Model(*parts, s.level, s.window, tuple(center), tuple(scale), tuple(w), limit, prior, rates, most)
 
 
 def score(df: DataFrame, model: Model, keep=("doc_id",), text: str = "text") -> DataFrame:
@@ -215,11 +264,11 @@ def score(df: DataFrame, model: Model, keep=("doc_id",), text: str = "text") ->
         def run(texts: pa.Array) -> list[pa.Array]:
             windows = [_windows(t, model.window) for t in strings(texts)]
             if distance is None:
-                x, p = np.zeros((len(windows), 3)), np.full(len(windows), model.prior)
+                x, p = np.zeros((len(windows), len(FIELDS))), np.full(len(windows), model.prior)
             else:
-                x = np.array([_summary(distance(ws), model.limit) for ws in windows]).reshape(-1, 3)
+                x = np.array([_summary(distance(ws), model) for ws in windows]).reshape(-1, len(FIELDS))
                 p = 1 / (1 + np.exp(-np.clip((x - center) / scale @ w[:-1] + w[-1], -30, 30)))
-            return [pa.array(p), pa.array([len(ws) for ws in windows], pa.int64()), *[pa.array(x[:, i].copy()) for i in range(3)]]
+            return [pa.array(p), pa.array([len(ws) for ws in windows], pa.int64()), *[pa.array(x[:, i].copy()) for i in range(len(FIELDS))]]
         return run
 
     return annotate(df, work, fields, keep, text)

@@ -5,9 +5,10 @@ import io
 import re
 import time
 
+import numpy as np
 import pytest
 
-from gustline.llm import html, pseudonyms, warc
+from gustline.llm import html, pseudonyms, toxicity, warc
 
 KEY = b"a key for tests"
 
@@ -140,3 +141,34 @@ def test_paths_with_odd_class_names():
     (path, _), = html.votes(html.read(text))
     assert path == "body>div.ab.c#"
     assert html.extract(text, [path]) == ((PROSE * 4).strip(), path)
+
+
+# 2, toxicity
+
+def test_a_passage_in_the_middle_of_a_long_text(spark):
+    """Long labelled texts are learned from and calibrated on as a whole; rows that repeat a key do not add to the bound."""
+    rng = np.random.default_rng(5)
+    syllables = [a + b for a in "bdfgklmnprst" for b in "aeiou"]
+    pool = ["".join(rng.choice(syllables, rng.integers(2, 5))) for _ in range(3000)]
+    bad = ["zqxwpathetic", "zqxwmoron", "zqxwscum", "zqxwidiot", "zqxwtrash"]
+
+    def text(words, passage):
+        w = list(rng.choice(pool, words))
+        return " ".join(w[:words // 2] + (list(rng.choice(bad, 6)) if passage else []) + w[words // 2:])
+
+    rows = [(i, text(6000 if i % 10 == 0 else 60, i % 3 == 0)) for i in range(240)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(240)], "doc_id bigint, toxic int")
+    model = toxicity.fit(frame, labels)
+    long = spark.createDataFrame([(1, text(100_000, True)), (2, text(100_000, False)), (3, text(60, True)), (4, text(60, False))], frame.schema)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(long, model).collect()}
+    assert got[1] > got[2] and got[1] >= 0.5 > got[2] and got[3] >= 0.5 > got[4]
+
+
+def test_limits_are_on_rows_after_the_join(spark):
+    frame = spark.createDataFrame([(i % 3, f"text {i} word{i}") for i in range(600)] + [(1, "same")] * 50, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 0)], "doc_id bigint, toxic int")
+    settings = toxicity.Settings(toxic_rows=20, ordinary_rows=60)
+    sample = toxicity._sample(frame, labels, None, settings, "doc_id", "text", "toxic")
+    assert sorted((r["y"], r["count"]) for r in sample.groupBy("y").count().collect()) == [(0, 60), (1, 20)]
+    assert sample.select("y", "text").distinct().count() == 80
