@@ -564,7 +564,7 @@ def test_mix(spark):
 
 
 def test_a_template_costs_few_pairs_of_texts(spark, monkeypatch):
-    """Texts that share most of their words and are no copies: their sketches are compared in tiles, hardly any texts are."""
+    """Texts that share most of their words and are no copies: no pair of them is a row, and hardly any two are compared."""
     rng = np.random.default_rng(9)
     shared = [f"shared{i}" for i in range(100)]
     texts = [" ".join(shared + [f"own{rng.integers(1 << 40)}" for _ in range(40)]) for _ in range(300)]
