@@ -22,6 +22,7 @@ HEADLINE = (
     "q_scale_standard", "q_split_daily", "q_lowess", "q_nearest", "q_box_stats", "q_histogram", "q_kde", "q_payload_parse",
     "q_station_lookup", "q_dtw_assign", "q_info_layers", "q_nearest_outside", "q_kmeans_fit", "q_dtw_kmeans", "q_cluster_days",
     "q_scale_stage", "q_split_stage", "q_preprocess", "q_profile_distribution", "q_split_rows", "q_train_test_exact",
+    "q_resample_5h", "q_resample_month", "q_train_test_strata", "q_distinct_counts", "q_sink_roundtrip",
 )
 
 
