@@ -7,7 +7,7 @@ not. The difference of the two lengths, over the windows of a text, is mapped to
 are calibrated on labelled texts the dictionaries have not seen.
 
 The fit reads whole texts of a bounded number of labelled rows (``Settings``); words and figures of these are counted in the
-tasks, and the driver gets counts, the windows that a dictionary is trained on, and seven figures a row. Scoring reads every
+tasks, and the driver gets counts, the windows that a dictionary is trained on, and a few figures a row. Scoring reads every
 whole text. Null and empty texts have one empty window, so a defined low score. Without labels of both kinds, or where a class
 has too few rows to hold some back, the score is the share of toxic labels (0.0 without labels). Repeated rows each get their own
 result; in the fit, a row repeated with its text counts once.
@@ -172,16 +172,19 @@ def _sample(df: DataFrame, labels: DataFrame, where: Column | None, s: Settings,
     Every third is held back (part 2)."""
     marks = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     marks = marks if where is None else marks.where(where)
-    marks = marks.groupBy(key).agg(F.max(label).cast("int").alias("y"))
-    rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).join(
-        marks.withColumnRenamed(key, "key"), "key").select("key", "y", "text", F.xxhash64("key").alias("h"), F.xxhash64("text").alias("t"))
-    names = materialize(rows.select("key", "y", "h", "t"), "labelled").distinct()
-    chosen = None
-    for kind, n in ((1, s.toxic_rows), (0, s.ordinary_rows)):
-        part = names.where(F.col("y") == kind).orderBy("h", "key", "t").limit(n)
-        chosen = part if chosen is None else chosen.union(part)
-    # At most toxic_rows + ordinary_rows names are sent to the tasks.
-    return materialize(rows.drop("y", "h").join(F.broadcast(chosen), ["key", "t"]).dropDuplicates(["key", "t"]).select(
+    marks = marks.groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("y")).withColumn("h", F.xxhash64("key"))
+    most = {1: s.toxic_rows, 0: s.ordinary_rows}
+
+    def first(rows: DataFrame, *order: str) -> DataFrame:
+        """At most so many of each class; no more are sent to the tasks."""
+        toxic, ordinary = (rows.where(F.col("y") == kind).orderBy(*order).limit(most[kind]) for kind in (1, 0))
+        return materialize(toxic.union(ordinary), "chosen")
+
+    # Keys first, then their rows, of which one key may have many: texts are not exchanged to find them.
+    rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
+    keys = first(marks, "h", "key")
+    names = first(rows.select("key", "t").join(F.broadcast(keys), "key").distinct(), "h", "key", "t")
+    return materialize(rows.join(F.broadcast(names), ["key", "t"]).dropDuplicates(["key", "t"]).select(
         "y", F.pmod(F.xxhash64("h"), F.lit(3)).alias("part"), "text"), "sample")
 
 
