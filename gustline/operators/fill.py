@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from gustline.functions.frequency import Frequency, frequency_of
 from gustline.functions.timeline import epoch_micros
-from gustline.operators.neighbours import NEXT_POSITION, after, before, with_neighbours
+from gustline.operators.neighbours import NEXT_POSITION, after, before, tasks_for, with_neighbours
 from gustline.operators.resample import BUCKET, CHUNK_BUCKETS, bucket_aggregate, expand_gaps
 from gustline.schema import KEYS
+from gustline.storage import materialize
 
 _POSITION = "__micros"
 # Rows of one station and this many days are handled together.
@@ -71,8 +72,9 @@ def resample_filled(df: DataFrame, rules: dict[str, str], methods: dict[str, str
     filled value and, for a line, its change over time, so the dense series meets no sort and no exchange."""
     frequency, carried = frequency_of(frequency), _carried(methods)
     place = frequency.place
-    buckets = bucket_aggregate(df, rules, frequency, keys, time)
-    near = with_neighbours(buckets, BUCKET, carried, keys, CHUNK_BUCKETS)
+    # Written, so that their number is known before they are dealt out.
+    buckets = materialize(bucket_aggregate(df, rules, frequency, keys, time), "filled")
+    near = with_neighbours(buckets, BUCKET, carried, keys, CHUNK_BUCKETS, tasks_for(buckets))
 
     def known(c: str) -> list[Column]:
         if methods.get(c) == "ffill":

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 CHUNK = "__chunk"
 NEXT_POSITION = "__next_position"
 FIRST_POSITION = "__first_position"
+# Rows that a task sorts, on average: some 700 bytes each with ten columns, in both orders together.
+TASK_ROWS = 200_000
 
 
 def before(column: str) -> Column:
@@ -67,14 +69,23 @@ def _chunks(spread: DataFrame, group: Sequence[str], aggregates: Sequence[Column
     return spread.groupBy(*group).agg(*aggregates, read).where("__read >= 0").drop("__read")
 
 
+def tasks_for(df: DataFrame) -> int | None:
+    """Tasks among which a written table is dealt so that what one of them sorts is bounded, however large the table; None if
+    a single task could hold it."""
+    rows = df.count()
+    return max(-(-rows // TASK_ROWS), df.sparkSession.sparkContext.defaultParallelism) if rows > TASK_ROWS else None
+
+
 def with_neighbours(df: DataFrame, position: str, columns: Sequence[str], keys: Sequence[str],
-                    chunk: int) -> DataFrame:
-    """Add the neighbour structs, the next row's position and the series' first position."""
+                    chunk: int, tasks: int | None = None) -> DataFrame:
+    """Add the neighbour structs, the next row's position and the series' first position. ``tasks``: how many the rows are dealt
+    to (:func:`tasks_for`), the session's number unless given."""
     keys = list(keys)
     # Both branches below start from this one exchange. The join would push its null checks into one branch
     # only and so make the exchanges differ; stated here, they are part of both.
     spread = placed(df, keys, position).withColumn(CHUNK, F.floor(F.col(position) / F.lit(chunk)))
-    spread = spread.where(F.col(CHUNK).isNotNull()).repartition(*keys, CHUNK)
+    spread = spread.where(F.col(CHUNK).isNotNull())
+    spread = spread.repartition(*keys, CHUNK) if tasks is None else spread.repartition(tasks, *keys, CHUNK)
 
     present = {c: f"CASE WHEN `{c}` IS NOT NULL THEN `{position}` END" for c in columns}
     edges = _chunks(spread, [*keys, CHUNK], [
@@ -95,16 +106,18 @@ def with_neighbours(df: DataFrame, position: str, columns: Sequence[str], keys:
           f"AS `__carry_after_{c}`" for c in columns],
     )
 
-    # One row per chunk, so a hash table of it fits each task; the series rows keep their spread by chunk.
-    joined = spread.join(carries.hint("shuffle_hash"), [*keys, CHUNK])
     local = f"PARTITION BY {_names([*keys, CHUNK])} ORDER BY `{position}`"
     so_far = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     # The later neighbour is read in falling order: a frame to the end of the partition would be quadratic.
+    within = spread.selectExpr(
+        "*", f"lead(`{position}`) OVER ({local}) AS {NEXT_POSITION}",
+        *[f"last({_pair(f'`{position}`', f'`{c}`')}, true) OVER ({local} {so_far}) AS `__before_{c}`" for c in columns],
+        *[f"last({_pair(f'`{position}`', f'`{c}`')}, true) OVER ({local} DESC {strictly_before}) AS `__after_{c}`" for c in columns])
+    # Joined last, so that no sort holds what a chunk is told, and by merging: the rows lie by chunk already, and no task holds
+    # a table of its chunks, which may be as many as its rows.
+    joined = within.join(carries.hint("merge"), [*keys, CHUNK])
     return joined.selectExpr(
-        *[f"`{c}`" for c in df.columns], CHUNK, FIRST_POSITION,
-        f"coalesce(lead(`{position}`) OVER ({local}), __next_low) AS {NEXT_POSITION}",
-        *[f"coalesce(last({_pair(f'`{position}`', f'`{c}`')}, true) OVER ({local} {so_far}), `__carry_before_{c}`) "
-          f"AS `__before_{c}`" for c in columns],
-        *[f"coalesce(last({_pair(f'`{position}`', f'`{c}`')}, true) OVER ({local} DESC {strictly_before}), "
-          f"`__carry_after_{c}`) AS `__after_{c}`" for c in columns],
+        *[f"`{c}`" for c in df.columns], CHUNK, FIRST_POSITION, f"coalesce({NEXT_POSITION}, __next_low) AS {NEXT_POSITION}",
+        *[f"coalesce(`__before_{c}`, `__carry_before_{c}`) AS `__before_{c}`" for c in columns],
+        *[f"coalesce(`__after_{c}`, `__carry_after_{c}`) AS `__after_{c}`" for c in columns],
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import table
 from gustline.functions import encode, timeline
-from gustline.operators import dedup, fill, resample
+from gustline.operators import dedup, fill, neighbours, resample
 from gustline.operators import quantiles as Q
 from gustline.operators.neighbours import with_neighbours
 from gustline.plans.clean import clean
@@ -64,6 +64,20 @@ def test_fill_methods(obs, method, expected, days):
     assert hours(fill.fill_gaps(obs(rows, ["tmpf"]), {"tmpf": method}, chunk_days=days)) == expected
 
 
+def test_what_a_task_sorts_is_bounded(obs, monkeypatch):
+    rows = [(s, f"2024-01-{d:02d} {h:02d}:10", float(h) if h % 3 else None) for s in "ab" for d in range(1, 29) for h in range(0, 24, 5)]
+
+    def found():
+        return fill.resample_filled(obs(rows, ["tmpf"]), {"tmpf": "mean"}, {"tmpf": "linear"})
+
+    want = table(found(), "station", "valid")
+    monkeypatch.setattr(neighbours, "TASK_ROWS", 20)
+    plan = found()._jdf.queryExecution().executedPlan().toString()
+    # 280 buckets, 20 a task; no hash table of the chunks, and the windows are below the join.
+    assert ", 14), REPARTITION_BY_NUM" in plan and "ShuffledHashJoin" not in plan and "SortMergeJoin" in plan
+    assert table(found(), "station", "valid") == want
+
+
 @pytest.mark.parametrize("method", ["linear", "ffill", "ffill_bfill", "zero"])
 def test_filling_buckets_equals_filling_the_dense_series(obs, method):
     rng = random.Random(5)
