@@ -103,6 +103,9 @@ def _looked_into(df: DataFrame, keys: list[str], value: str, held: DataFrame) ->
     """Pass 2: (keys, first, last, value) of the wanted ranks inside the cells ``held``."""
     v = F.col(value).cast("double")
     cell, inside = _placed(v)
+    # Never null, and so declared: else the join's null check is the whole expression once more, without the steps that its parts
+    # share, in code too long for the JVM to compile.
+    cell = F.coalesce(cell, F.lit(0).cast("bigint"))
     rows = df.where(v.isNotNull()).select(*keys, v.alias("value"), cell.alias("__cell"), F.floor(inside * F.lit(float(1 << PART_BITS))).alias("part"))
     level = [*keys, "__cell"]
     inner = materialize(rows.join(held.select(*level, "ranks", (F.col("first") - 1).alias("before")), level).groupBy(

@@ -6,7 +6,7 @@ import uuid
 import numpy as np
 import pytest
 
-from gustline.operators import profile
+from gustline.operators import profile, quantiles
 from gustline.plans import reports
 
 
@@ -51,6 +51,16 @@ def test_profile_reads_four_times(spark, tmp_path):
     assert by["x", "missing", "missing"] == 286 and sum(v for k, v in by.items() if k[:2] == ("x", "histogram")) == 1714
 
 
+def test_places_of_values_are_computed_once(spark, monkeypatch):
+    """The second pass of the quantiles does not repeat the long expression of a value's cell in a null check."""
+    plans = []
+    write = quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda df, name: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), write(df, name))[1])
+    found = quantiles.exact_quantiles(rows(spark), ["station"], "x", [0.5]).collect()
+    assert len(found) == 3 and any("LOG2" in p for p in plans)
+    assert not [line for p in plans for line in p.splitlines() if "Filter" in line and "LOG2" in line]
+
+
 def test_tables_by_station_are_those_of_each_station(spark):
     df = rows(spark)
     every = reports.distribution_profile(df, ["x", "y"], ["station"]).collect()
