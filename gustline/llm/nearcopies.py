@@ -1,9 +1,10 @@
 """Near copies by word shingles: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates share a band of minimum hashes: 40 bands of 6, so that of pairs at exactly 0.8 about 5 in a million share none,
-and fewer above. Every candidate is then checked on the shingles of both texts, so no pair below the limit is linked. SimHash
-does not do for this: at 0.8 two fingerprints differ in about 10 of 64 bits, and a radius that finds most of such pairs
-leaves too few tiles to skip.
+Candidates are, first, texts whose SimHash fingerprints (of the same shingles) :mod:`gustline.llm.simhash` links. At 0.8 two
+fingerprints differ in about 10 of 64 bits, and a radius that finds most of such pairs leaves too few tiles to skip; so what
+is further apart than that module's radius are candidates if they share a band of minimum hashes: 40 bands of 6, so that of
+pairs at exactly 0.8 about 5 in a million share none, and fewer above. Every candidate is then checked on the shingles of both
+texts, so no pair below the limit is linked.
 
 Texts with the same words in the same order are one text before any of this. Of every bucket, the text that shares most buckets
 with others is its hub; all others of the bucket are held against it, which joins what was copied from one text in a pair a
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
+from gustline.llm import simhash
 from gustline.llm.arrow import annotate, col, mix, utf8
 from gustline.llm.components import components
 from gustline.storage import materialize, scratch_path
@@ -46,13 +48,18 @@ _DRAWN = np.random.default_rng(SEED).integers(0, 1 << 32, (2, BANDS * ROWS), np.
 _TURN, _FACTOR = _DRAWN[0], _DRAWN[1] | np.uint32(1)
 
 
-def shingles(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
-    """Sorted, distinct hashes of the shingles."""
+def hashes(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of the shingles, repeats included."""
     words = text.lower().split()
     if len(words) <= shingle:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), SEED)], np.uint64)
     rows = zip(*[words[i:] for i in range(shingle)])
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in map(b" ".join, rows)), np.uint64, len(words) - shingle + 1))
+    return np.fromiter((xxhash.xxh64_intdigest(s, SEED) for s in map(b" ".join, rows)), np.uint64, len(words) - shingle + 1)
+
+
+def shingles(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted, distinct hashes of the shingles."""
+    return np.unique(hashes(text, shingle))
 
 
 def minima(found: np.ndarray) -> np.ndarray:
@@ -85,25 +92,27 @@ def agreement(least: float = LEAST) -> int:
 
 
 _MARKS = StructType([StructField("d0", LongType()), StructField("d1", LongType()), StructField("buckets", ArrayType(LongType())),
-                     StructField("sketch", BinaryType())])
+                     StructField("sketch", BinaryType()), StructField("fp", LongType())])
 
 
 def _marks(texts: pa.Array) -> list[pa.Array]:
-    """A digest of the words in two parts, the buckets and the sketch."""
+    """A digest of the words in two parts, the buckets, the sketch and the fingerprint."""
     data, at = utf8(texts)
     raw, at = data.tobytes(), at.tolist()
-    digests, found, sketches = [], [], []
+    digests, found, sketches, prints = [], [], [], []
     for a, b in zip(at, at[1:]):
         text = raw[a:b]
         digests.append(xxhash.xxh128_digest(b" ".join(text.lower().split()), SEED))
-        least = minima(shingles(text))
+        every = hashes(text)
+        prints.append(simhash.majority(every))
+        least = minima(np.unique(every))
         found.append(buckets(least))
         sketches.append(least.astype(np.uint8).tobytes())
     parts = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
     every = np.concatenate(found).view(np.int64) if found else np.zeros(0, np.int64)
     lists = pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype=np.int32) * BANDS, pa.array(every))
     return [pa.array(np.ascontiguousarray(parts[:, 0])), pa.array(np.ascontiguousarray(parts[:, 1])), lists,
-            pa.array(sketches, pa.binary())]
+            pa.array(sketches, pa.binary()), pa.array(np.array(prints, np.uint64).view(np.int64))]
 
 
 def _short_batches(df: DataFrame):
@@ -229,16 +238,30 @@ def _outsiders(members: DataFrame, texts: DataFrame, least: float) -> DataFrame:
     return blocks.repartition("bucket", "block", "part").sortWithinPartitions("bucket", "block", "part").mapInArrow(run, _LINKS)
 
 
+def _printed(rows: DataFrame) -> DataFrame:
+    """Pairs (u, v) of rows (row, fp) by their fingerprints: each row with the first of its fingerprint, and the first rows of
+    fingerprints that SimHash links. No more pairs than rows and links."""
+    rows = materialize(rows, "prints")
+    first = materialize(rows.groupBy("fp").agg(F.min("row").alias("first")), "first")
+    same = rows.join(first, "fp").where("row <> first").select(F.col("first").alias("u"), F.col("row").alias("v"))
+    sides = [first.select(F.col("fp").alias(c), F.col("first").alias(f"first_{c}")) for c in ("u", "v")]
+    met = simhash.links(first.select("fp")).join(sides[0], "u").join(sides[1], "v")
+    return same.union(met.select(F.col("first_u").alias("u"), F.col("first_v").alias("v")))
+
+
 def links(rows: DataFrame, least: float = LEAST) -> DataFrame:
-    """Links (u, v) that connect whatever rows are near copies, of rows (row, t, buckets, sketch) with distinct texts."""
+    """Links (u, v) that connect whatever rows are near copies, of rows (row, t, buckets, sketch, fp) with distinct texts."""
+    printed = materialize(_printed(rows.select("row", "fp")), "printed")
     members = rows.select("row", F.explode("buckets").alias("bucket"))
     busy = materialize(members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "busy")
     shared = materialize(members.join(busy, "bucket"), "shared")
     # The more buckets a text shares with others, the nearer it is to what they were copied from.
     degree = shared.groupBy("row").agg(F.sum("n").alias("degree"))
     hubs = shared.join(degree, "row").groupBy("bucket").agg(F.max_by("row", F.struct("degree", -F.col("row"))).alias("hub"))
-    texts = materialize(rows.join(degree.select("row"), "row", "left_semi").select("row", "t", "sketch"), "texts")
-    pairs = shared.join(hubs, "bucket").where("row <> hub").select(F.col("hub").alias("u"), F.col("row").alias("v")).distinct()
+    wanted = degree.select("row").union(printed.select("u")).union(printed.select("v"))
+    texts = materialize(rows.join(wanted, "row", "left_semi").select("row", "t", "sketch"), "texts")
+    pairs = shared.join(hubs, "bucket").where("row <> hub").select(F.col("hub").alias("u"), F.col("row").alias("v"))
+    pairs = pairs.union(printed.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))).distinct()
     near = _alike(materialize(_promising(pairs, texts, least), "pairs"), texts, least)
     known = components(near).withColumnRenamed("node", "row")
     named = materialize(shared.join(known, "row", "left").select("bucket", "row", F.coalesce("root", "row").alias("root")), "named")
@@ -259,7 +282,7 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", least: f
     order = F.struct(F.col(k).isNull().alias("n"), F.col(k).alias("key"), F.col("row").alias("row"))
     best = materialize(rows.select("d0", "d1", order.alias("best")).groupBy("d0", "d1").agg(F.min("best").alias("best"))
                        .select(F.col("best.row").alias("row"), "best"), "best")
-    distinct = rows.select("row", F.col(t).cast("string").alias("t"), "buckets", "sketch").join(best.select("row"), "row", "left_semi")
+    distinct = rows.select("row", F.col(t).cast("string").alias("t"), "buckets", "sketch", "fp").join(best.select("row"), "row", "left_semi")
     found = components(links(distinct, least)).withColumnRenamed("node", "row")
     kept = best.join(found, "row", "left").groupBy(F.coalesce("root", "row").alias("root")).agg(F.min("best").alias("best"))
     return rows.join(kept.select(F.col("best.row").alias("row")), "row", "left_semi").select(

@@ -46,7 +46,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
         return xxhash.xxh64_intdigest(b" ".join(words), SEED)
     digest = xxhash.xxh64_intdigest
     rows = zip(*[words[i:] for i in range(shingle)])
-    h = np.fromiter((digest(s, SEED) for s in map(b" ".join, rows)), np.uint64, len(words) - shingle + 1)
+    return majority(np.fromiter((digest(s, SEED) for s in map(b" ".join, rows)), np.uint64, len(words) - shingle + 1))
+
+
+def majority(h: np.ndarray) -> int:
+    """64 bits: each is set if it is set in more than half of the hashes."""
     # How often each value of each byte occurs; then the bits of those values.
     place = h.astype("<u8").view(np.uint8).reshape(-1, 8) + (np.arange(8) << 8)
     counts = np.bincount(place.ravel(), minlength=2048).reshape(8, 256) @ _BITS

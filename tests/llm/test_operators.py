@@ -417,6 +417,22 @@ def test_near_copies_of_odd_rows(spark):
     assert nearcopies.one_of_each(docs(spark, [])).count() == 0
 
 
+def test_near_copies_meet_by_their_fingerprints(spark):
+    """Texts that share no bucket are candidates if SimHash links them; one with a borrowed fingerprint fails the exact check."""
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in rng.integers(0, 5000, 800)]
+    texts = [" ".join(words)] + [" ".join(words[:i] + ["new"] + words[i + 1:]) for i in range(0, 800, 20)] + ["quite another text of nine words with no copy"]
+    prints = [simhash.fingerprint(t.encode(), nearcopies.SHINGLE) for t in texts]
+    prints[-1] = prints[0]
+    near = {i for i, p in enumerate(prints[:-1]) if i and (p ^ prints[0]).bit_count() <= simhash.RADIUS}
+    assert near
+    rows = [(i, t, [100 * i + b for b in range(nearcopies.BANDS)], bytearray(nearcopies.minima(nearcopies.shingles(t.encode())).astype(np.uint8).tobytes()),
+             int(np.array(p, np.uint64).view(np.int64))) for i, (t, p) in enumerate(zip(texts, prints))]
+    df = spark.createDataFrame(rows, "row bigint, t string, buckets array<bigint>, sketch binary, fp bigint")
+    roots = {r["node"]: r["root"] for r in components(nearcopies.links(df)).collect()}
+    assert {0, *near} <= {i for i, r in roots.items() if r == 0} and len(texts) - 1 not in roots
+
+
 # 8, personal data
 
 @pytest.mark.parametrize("n", [2, 3, 10, 97, 1000])
